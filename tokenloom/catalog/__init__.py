@@ -1,7 +1,6 @@
 """Registered queries over the given tables, each with its SQL equivalent."""
 
+from tokenloom.catalog import corpus, files, model_output, runlog  # noqa: F401
 from tokenloom.catalog.registry import ORACLES, QUERIES
 
-from tokenloom.catalog import corpus  # noqa: F401  isort: skip
-
 __all__ = ["ORACLES", "QUERIES"]

@@ -10,6 +10,7 @@ from tokenloom.functions.arrays import chunk_array, flatten_once
 from tokenloom.functions.text import characters
 from tokenloom.operators.blocks import cut_blocks, draw_starts
 from tokenloom.operators.chunks import count_tokens, pack_chunks, token_positions, unpack_chunks
+from tokenloom.operators.layout import spread_small
 from tokenloom.operators.filters import remove_rows
 from tokenloom.operators.split import (
     count_characters,
@@ -53,19 +54,16 @@ VOCAB_SQL = """
 )
 """
 
-# One list of token ids per split.
+# One row per token, numbered inside its split.
 TOKENS_SQL = (
     SPLIT_SQL
     + VOCAB_SQL
     + """
-, encoded AS (
-  SELECT split, doc_id, i, id AS token_id
+, stream AS (
+  SELECT split, row_number() OVER (PARTITION BY split ORDER BY doc_id, i) - 1 AS pos, id AS token_id
   FROM (SELECT split, doc_id, unnest(string_split(text, '')) AS ch,
                generate_subscripts(string_split(text, ''), 1) AS i FROM split_text)
   JOIN vocab USING (ch)
-), stream AS (
-  SELECT split, list(token_id ORDER BY doc_id, i) AS ids, count(*)::BIGINT AS n
-  FROM encoded GROUP BY split
 )
 """
 )
@@ -74,9 +72,8 @@ CHUNKS_SQL = (
     TOKENS_SQL
     + f"""
 , chunks AS (
-  SELECT split, chunk_id, list_slice(ids, chunk_id * {BLOCK_SIZE} + 1,
-                                     least((chunk_id + 1) * {BLOCK_SIZE}, n)) AS tokens
-  FROM (SELECT *, unnest(range(0, (n + {BLOCK_SIZE} - 1) // {BLOCK_SIZE})) AS chunk_id FROM stream)
+  SELECT split, pos // {BLOCK_SIZE} AS chunk_id, list(token_id ORDER BY pos) AS tokens
+  FROM stream GROUP BY split, pos // {BLOCK_SIZE}
 )
 """
 )
@@ -98,7 +95,7 @@ STARTS_SQL = f"""
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
 def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,9 +253,7 @@ def token_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "token_stream",
-    TOKENS_SQL
-    + """
-SELECT split, unnest(range(0, n))::BIGINT AS pos, unnest(ids)::BIGINT AS token_id FROM stream""",
+    TOKENS_SQL + "SELECT split, pos::BIGINT AS pos, token_id::BIGINT AS token_id FROM stream",
 )
 def token_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = unpack_chunks(char_chunks(spark, sf_dir), BLOCK_SIZE)
@@ -299,9 +294,11 @@ def block_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     + STARTS_SQL
     + f"""
 SELECT split, batch_id, row_id, start,
-       list_slice(ids, start + 1, start + {BLOCK_SIZE}) AS x,
-       list_slice(ids, start + 2, start + {BLOCK_SIZE} + 1) AS y
-FROM starts JOIN stream USING (split)""",
+       list(token_id ORDER BY pos) FILTER (WHERE pos < start + {BLOCK_SIZE}) AS x,
+       list(token_id ORDER BY pos) FILTER (WHERE pos > start) AS y
+FROM (SELECT *, start + unnest(range(0, {BLOCK_SIZE} + 1)) AS pos FROM starts)
+JOIN stream USING (split, pos)
+GROUP BY split, batch_id, row_id, start""",
 )
 def training_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = char_tokens(spark, sf_dir)

@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.operators.prefix import WIDE_FANOUT, exclusive_prefix, key_bounds
+from tokenloom.operators.prefix import WIDE_FANOUT, exclusive_prefix
 
 TRAIN = "train"
 VAL = "val"
@@ -66,7 +66,8 @@ def locate_cut(
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
-        total = totals.agg(F.sum("n")).first()[0] or 0
+        total, low, high = totals.agg(F.sum("n"), F.min("bucket"), F.max("bucket")).first()
+        total = total or 0
         position = int(total * float(ratio))
         if position >= total:
             return Cut(total, position, None, 0)
@@ -79,7 +80,7 @@ def locate_cut(
                 value="n",
                 how="sum",
                 out="start",
-                bounds=key_bounds(totals, "bucket"),
+                bounds=(low, high),
             )
             .filter((start <= position) & (start + F.col("n") > position))
             .select("bucket", start)

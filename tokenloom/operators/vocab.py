@@ -52,7 +52,7 @@ def char_encoder(vocab: DataFrame):
     vocabulary is an error.
     """
     table = np.full(CODE_POINTS, -1, dtype=np.int32)
-    for row in vocab.select("id", "ch").toLocalIterator():
+    for row in vocab.select("id", "ch").collect():
         table[ord(row["ch"])] = row["id"]
     used = np.flatnonzero(table >= 0)
     table = table[: used[-1] + 1].copy() if len(used) else table[:1].copy()
@@ -95,7 +95,7 @@ def encode_chars(pieces: DataFrame, vocab: DataFrame) -> DataFrame:
 
 def char_decoder(vocab: DataFrame):
     """A function array<int> column -> text column, the inverse of `char_encoder`."""
-    rows = sorted((row["id"], row["ch"]) for row in vocab.select("id", "ch").toLocalIterator())
+    rows = sorted((row["id"], row["ch"]) for row in vocab.select("id", "ch").collect())
     shared = vocab.sparkSession.sparkContext.broadcast([ch for _, ch in rows])
 
     @F.arrow_udf(T.StringType())

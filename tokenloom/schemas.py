@@ -71,15 +71,15 @@ CHECKPOINTS = T.StructType(
 
 # The keys of a run configuration and their types.
 _RUN_CONFIG_KEYS = {
-    "int": (
+    T.IntegerType: (
         "batch_size block_size vocab_size n_layers n_head n_embed warmup_iters lr_decay_iters "
         "max_iters eval_interval eval_iters log_interval gradient_accumulation_steps"
     ),
-    "double": "dropout weight_decay beta1 beta2 learning_rate min_lr grad_clip",
-    "boolean": "bias compile decay_lr",
-    "string": "device dataset",
+    T.DoubleType: "dropout weight_decay beta1 beta2 learning_rate min_lr grad_clip",
+    T.BooleanType: "bias compile decay_lr",
+    T.StringType: "device dataset",
 }
-RUN_CONFIG = T.StructType.fromDDL(
-    "run_id string, "
-    + ", ".join(f"{key} {kind}" for kind, keys in _RUN_CONFIG_KEYS.items() for key in keys.split())
+RUN_CONFIG = T.StructType(
+    [T.StructField("run_id", T.StringType())]
+    + [T.StructField(key, kind()) for kind, keys in _RUN_CONFIG_KEYS.items() for key in keys.split()]
 )
