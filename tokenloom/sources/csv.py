@@ -112,9 +112,9 @@ def _shift_jis_lines(
         spark, [files[0]], unit="line", encoding="shift_jis", errors="ignore", range_bytes=1 << 40
     ).filter("byte_offset = 0")
     names = pd.read_csv(io.StringIO(first.first()["text"]), sep=delimiter, nrows=0).columns
-    strings = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    strings = ", ".join(f"`{name.replace('`', '``')}` string" for name in names)
     options = {"sep": delimiter, "quote": '"', "escape": '"', "nullValue": "", "emptyValue": ""}
-    parsed = F.from_csv("text", strings.simpleString(), options)
+    parsed = F.from_csv("text", strings, options)
     return lines.filter("byte_offset > 0 AND text <> ''").select(parsed.alias("r")).select("r.*")
 
 
