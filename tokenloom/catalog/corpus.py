@@ -13,8 +13,10 @@ from tokenloom.operators.chunks import count_tokens, pack_chunks, token_position
 from tokenloom.operators.layout import spread_small
 from tokenloom.operators.filters import remove_rows
 from tokenloom.operators.split import (
+    Cut,
     count_characters,
     document_offsets,
+    locate_cut,
     split_corpus,
 )
 from tokenloom.operators.vocab import (
@@ -102,21 +104,20 @@ def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_corpus(documents(spark, sf_dir))
 
 
-def char_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+def char_tokens(spark: SparkSession, sf_dir: str, cut: Cut | None = None) -> DataFrame:
     """(split, doc_id, n_tokens, tokens) with character ids."""
     docs = documents(spark, sf_dir)
-    return encode_chars(split_corpus(docs), build_vocab(docs))
+    return encode_chars(split_corpus(docs, cut=cut), build_vocab(docs))
 
 
-def char_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_chunks(char_tokens(spark, sf_dir), BLOCK_SIZE)
+def char_chunks(spark: SparkSession, sf_dir: str, cut: Cut | None = None) -> DataFrame:
+    cut = cut or locate_cut(documents(spark, sf_dir))
+    return pack_chunks(char_tokens(spark, sf_dir, cut), BLOCK_SIZE, bounds=cut.bounds)
 
 
-def epoch_sizes(encoded: DataFrame) -> tuple[dict[str, int], dict[str, int]]:
-    """Tokens per split, and the number of batches that draw about one epoch."""
-    sizes = {row["split"]: row["n_tokens"] for row in count_tokens(encoded).collect()}
-    batches = {s: max(n // (BATCH_SIZE * BLOCK_SIZE), 1) for s, n in sizes.items()}
-    return sizes, batches
+def epoch_batches(sizes: dict[str, int]) -> dict[str, int]:
+    """Batches per split that draw about one epoch."""
+    return {s: max(n // (BATCH_SIZE * BLOCK_SIZE), 1) for s, n in sizes.items()}
 
 
 @query("corpus_split", SPLIT_SQL + "SELECT split, doc_id, text FROM split_text")
@@ -239,8 +240,9 @@ SELECT split, doc_id, length(text)::BIGINT AS n_tokens,
 FROM split_text""",
 )
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = char_tokens(spark, sf_dir).select("split", "doc_id", "n_tokens")
-    return token_positions(encoded)
+    cut = locate_cut(documents(spark, sf_dir))
+    encoded = char_tokens(spark, sf_dir, cut).select("split", "doc_id", "n_tokens")
+    return token_positions(encoded, bounds=cut.bounds)
 
 
 @query(
@@ -282,9 +284,15 @@ def chunk_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     SPLIT_SQL + STARTS_SQL + "SELECT split, batch_id, row_id, start FROM starts",
 )
 def block_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes, batches = epoch_sizes(char_tokens(spark, sf_dir))
+    encoded = char_tokens(spark, sf_dir)
+    sizes = {row["split"]: row["n_tokens"] for row in count_tokens(encoded).collect()}
     return draw_starts(
-        spark, sizes, block_size=BLOCK_SIZE, batch_size=BATCH_SIZE, batches=batches, seed=SEED
+        spark,
+        sizes,
+        block_size=BLOCK_SIZE,
+        batch_size=BATCH_SIZE,
+        batches=epoch_batches(sizes),
+        seed=SEED,
     )
 
 
@@ -301,14 +309,15 @@ JOIN stream USING (split, pos)
 GROUP BY split, batch_id, row_id, start""",
 )
 def training_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = char_tokens(spark, sf_dir)
-    sizes, batches = epoch_sizes(encoded)
+    # One character is one token, so the cut already gives the tokens per split.
+    cut = locate_cut(documents(spark, sf_dir))
+    batches = epoch_batches(cut.sizes)
     starts = draw_starts(
-        spark, sizes, block_size=BLOCK_SIZE, batch_size=BATCH_SIZE, batches=batches, seed=SEED
+        spark, cut.sizes, block_size=BLOCK_SIZE, batch_size=BATCH_SIZE, batches=batches, seed=SEED
     )
     return cut_blocks(
         starts,
-        pack_chunks(encoded, BLOCK_SIZE),
+        char_chunks(spark, sf_dir, cut),
         BLOCK_SIZE,
         n_starts=BATCH_SIZE * sum(batches.values()),
     )

@@ -15,6 +15,7 @@ from tokenloom.functions.training import (
     reported_loss,
 )
 from tokenloom.operators.filters import every_n, quick_test, until_last
+from tokenloom.operators.prefix import key_bounds
 from tokenloom.operators.runlog import (
     best_per_run,
     checkpoints,
@@ -63,25 +64,21 @@ MFU_SQL = (
 
 
 def eval_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(run_id, iter, ts, val_loss)."""
+    """(run_id, iter, ts, val_loss), stored, because the operators read it several times."""
     events = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("run_id"), "event_id", "ts", F.col("value").alias("val_loss")
     )
-    return number_iterations(events, run="run_id", order="event_id").drop("event_id")
-
-
-def iter_bounds(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
-    """A range that holds every iteration number, from the row count alone."""
-    return 0, table(spark, sf_dir, "events").count()
+    path = shared_dir(spark, "log")
+    number_iterations(events, run="run_id", order="event_id").drop("event_id").write.parquet(path)
+    return spark.read.parquet(path)
 
 
-def utilisation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def utilisation(log: DataFrame) -> DataFrame:
     """(run_id, iter, seconds, mfu)."""
-    timed = step_seconds(eval_log(spark, sf_dir), bounds=iter_bounds(spark, sf_dir))
     mfu = model_flops_utilisation(
         F.col("seconds"), parameters=parameter_count(**MODEL), passes=PASSES, **SHAPE
     )
-    return timed.select("run_id", "iter", "seconds", mfu.alias("mfu"))
+    return step_seconds(log).select("run_id", "iter", "seconds", mfu.alias("mfu"))
 
 
 @query(
@@ -116,7 +113,7 @@ FROM prior""",
 )
 def run_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = eval_log(spark, sf_dir).drop("ts")
-    return running_best(log, bounds=iter_bounds(spark, sf_dir))
+    return running_best(log)
 
 
 @query(
@@ -132,8 +129,7 @@ SELECT run_id, iter, val_loss AS best_val_loss, 'runs/' || run_id || '/iter-' ||
 FROM prior WHERE val_loss < best AND iter > 0""",
 )
 def checkpoint_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = eval_log(spark, sf_dir)
-    return checkpoints(log, "runs", bounds=iter_bounds(spark, sf_dir))
+    return checkpoints(eval_log(spark, sf_dir), "runs")
 
 
 @query(
@@ -153,7 +149,7 @@ def run_minimum(spark: SparkSession, sf_dir: str) -> DataFrame:
     MFU_SQL + "SELECT run_id, iter, seconds, round(mfu, 9) AS mfu FROM used",
 )
 def step_time_mfu(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return utilisation_log(spark, sf_dir).withColumn("mfu", F.round("mfu", 9))
+    return utilisation(eval_log(spark, sf_dir)).withColumn("mfu", F.round("mfu", 9))
 
 
 @query(
@@ -172,8 +168,9 @@ def step_time_mfu(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT run_id, iter, round(mfu, 6) AS mfu, round(coalesce(running, -1), 6) AS running FROM folded""",
 )
 def mfu_ema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = utilisation_log(spark, sf_dir).withColumn("mfu", F.col("mfu") * 1000)
-    averaged = moving_average(log, log_interval=LOG_INTERVAL, bounds=iter_bounds(spark, sf_dir))
+    log = eval_log(spark, sf_dir)
+    timed = utilisation(log).withColumn("mfu", F.col("mfu") * 1000)
+    averaged = moving_average(timed, log_interval=LOG_INTERVAL, bounds=key_bounds(log, "iter"))
     return averaged.withColumn("mfu", F.round("mfu", 6)).withColumn(
         "running", F.round("running", 6)
     )

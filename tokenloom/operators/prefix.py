@@ -2,15 +2,18 @@
 
 A plain running window puts one whole partition (or the whole table, when there is
 no partition key) into one task. Here the order key is cut into buckets of `fanout`
-consecutive values. Totals per bucket are aggregated first, scanned by the same
-method, and joined back; every window then holds at most `fanout` rows, because
-(partition, key) is unique. The bucketing depends on key values only, so a retried
-task sees the same buckets.
+consecutive values. Totals per bucket are aggregated first and scanned by the same
+method; each bucket's result so far then joins the bucket as one more row in front, so
+the rows themselves are shuffled once and no join is needed. A window holds at most
+`fanout` rows and that one, because (partition, key) is unique. The bucketing depends on
+key values only, so a retried task sees the same buckets.
+
+The input is read twice (totals, rows): store it first if it is expensive.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,21 +32,6 @@ def bucket_of(key: str, low: int, fanout: int) -> Column:
     return F.shiftright(F.col(key).cast("bigint") - F.lit(low), fanout.bit_length() - 1)
 
 
-def join_on_groups(left: DataFrame, right: DataFrame, names: Sequence[str], how: str) -> DataFrame:
-    """Equi-join on `names` that also matches null groups; the right copies are dropped."""
-    renamed = right.select(
-        *[F.col(n).alias(f"__right_{n}") if n in names else F.col(n) for n in right.columns]
-    )
-    condition = [left[n].eqNullSafe(renamed[f"__right_{n}"]) for n in names]
-    return left.join(renamed, condition, how).drop(*[f"__right_{n}" for n in names])
-
-
-# How two partial results combine; a null side is "no rows".
-_MERGE: dict[str, Callable[[Column, Column], Column]] = {
-    "sum": lambda a, b: F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b),
-    "min": F.least,
-    "max": F.greatest,
-}
 _AGGREGATE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
@@ -89,17 +77,23 @@ def _scan(
         )
         return df.withColumn(out, aggregate(value).over(window))
 
-    bucket, inside, before, total = (f"__{key}_{part}" for part in ("b", "in", "before", "total"))
+    bucket, before, first = (f"__{key}_{part}" for part in ("bucket", "before", "first"))
     groups = [*partition, bucket]
     bucketed = df.withColumn(bucket, bucket_of(key, low, fanout))
-    totals = bucketed.groupBy(*groups).agg(aggregate(value).alias(total))
-    totals = _scan(
-        totals, partition, bucket, total, how, before, fanout, (0, (high - low) // fanout)
-    ).drop(total)
-    window = Window.partitionBy(*groups).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    scanned = bucketed.withColumn(inside, aggregate(value).over(window))
+    totals = bucketed.groupBy(*groups).agg(aggregate(value).alias(value))
+    fronts = (
+        _scan(totals, partition, bucket, value, how, before, fanout, (0, (high - low) // fanout))
+        .filter(F.col(before).isNotNull())
+        .select(*groups, F.col(before).alias(value), F.lit(True).alias(first))
+    )
+    rows = bucketed.withColumn(first, F.lit(False)).unionByName(fronts, allowMissingColumns=True)
+    window = (
+        Window.partitionBy(*groups)
+        .orderBy(F.desc(first), key)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     return (
-        join_on_groups(scanned, totals, groups, "inner")
-        .withColumn(out, _MERGE[how](F.col(before), F.col(inside)))
-        .drop(bucket, inside, before)
+        rows.withColumn(out, aggregate(value).over(window))
+        .filter(~F.col(first))
+        .select(*df.columns, out)
     )

@@ -1,7 +1,8 @@
 """Analytics over training-run logs, keyed by (run_id, iter).
 
 Running values go through `exclusive_prefix`, so a run of any length is split into
-buckets of iterations; a short run stays a plain window.
+buckets of iterations; a short run stays a plain window. Logs are read more than once:
+store a computed log before using it here.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.operators.prefix import NARROW_FANOUT, exclusive_prefix, join_on_groups
+from tokenloom.operators.prefix import NARROW_FANOUT, exclusive_prefix
 
 # The best loss before any evaluation, the moving average before it starts,
 # its weights, and the iterations it waits for.
@@ -161,45 +162,53 @@ def moving_average(
 
     shift = GROUP_ROWS.bit_length() - 1
     n = F.col("__n")
-    keep = F.lit(KEEP)
     # Rows that do not count only need a group of bounded size.
     group = F.when(counted, F.shiftright(n, shift)).otherwise(-1 - F.shiftright("iter", shift))
     power = n.bitwiseAND(F.lit(GROUP_ROWS - 1)) + 1
     weight = F.when(n == 0, F.lit(1.0)).otherwise(F.lit(TAKE))
-    window = Window.partitionBy("run_id", "__group").orderBy("iter").rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    inside = (
-        numbered.withColumn("__group", group)
-        .withColumn("__keep", F.pow(keep, power))
-        .withColumn(
-            "__inside",
-            F.col("__keep") * F.sum(F.when(counted, weight * F.col(value) / F.col("__keep"))).over(window),
-        )
+    keep = F.pow(F.lit(KEEP), power)
+    rows = numbered.select(
+        "run_id",
+        "iter",
+        value,
+        group.alias("__group"),
+        keep.alias("__keep"),
+        F.when(counted, weight * F.col(value) / keep).alias("__part"),
+        F.lit(False).alias("__first"),
     )
-    ends = (
-        inside.filter(counted)
+    # What a full group leaves to the next two groups; it goes in front of their rows.
+    fronts = (
+        rows.filter("__group >= 0")
         .groupBy("run_id", "__group")
-        .agg(F.max_by("__inside", "iter").alias("end"))
+        .agg((F.sum("__part") * F.min("__keep")).alias("end"))
         .select(
             "run_id",
             F.inline(
                 F.array(
-                    F.struct((F.col("__group") + 1).alias("__group"), F.col("end")),
+                    F.struct((F.col("__group") + 1).alias("__group"), F.col("end").alias("__part")),
                     F.struct(
                         (F.col("__group") + 2).alias("__group"),
-                        (F.col("end") * F.pow(keep, F.lit(GROUP_ROWS))).alias("end"),
+                        (F.col("end") * F.pow(F.lit(KEEP), F.lit(GROUP_ROWS))).alias("__part"),
                     ),
                 )
             ),
+            F.lit(True).alias("__first"),
         )
-        .groupBy("run_id", "__group")
-        .agg(F.sum("end").alias("__before"))
     )
-    whole = F.col("__inside") + F.col("__keep") * F.coalesce("__before", F.lit(0.0))
-    return join_on_groups(inside, ends, ["run_id", "__group"], "left").select(
-        "run_id",
-        "iter",
-        value,
-        F.when(counted, whole).when(~settled, F.lit(NO_AVERAGE)).alias("running"),
+    window = (
+        Window.partitionBy("run_id", "__group")
+        .orderBy(F.desc("__first"), "iter")
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    average = F.col("__keep") * F.sum("__part").over(window)
+    return (
+        rows.unionByName(fronts, allowMissingColumns=True)
+        .withColumn("__average", average)
+        .filter("NOT __first")
+        .select(
+            "run_id",
+            "iter",
+            value,
+            F.when(counted, F.col("__average")).when(~settled, F.lit(NO_AVERAGE)).alias("running"),
+        )
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
@@ -16,12 +16,19 @@ VAL = "val"
 
 @dataclass(frozen=True)
 class Cut:
-    """Where the corpus is cut: `head` characters of document `doc_id` belong to train."""
+    """Where the corpus is cut: `head` characters of document `doc_id` belong to train.
+    All document ids lie within `bounds`."""
 
     total: int
     position: int
     doc_id: int | None
     head: int
+    bounds: tuple[int, int] = field(default=(0, 0), compare=False)
+
+    @property
+    def sizes(self) -> dict[str, int]:
+        """Characters per split."""
+        return {TRAIN: self.position, VAL: self.total - self.position}
 
 
 def count_characters(corpus: DataFrame) -> DataFrame:
@@ -69,8 +76,9 @@ def locate_cut(
         total, low, high = totals.agg(F.sum("n"), F.min("bucket"), F.max("bucket")).first()
         total = total or 0
         position = int(total * float(ratio))
+        bounds = (0, 0) if low is None else (low << shift, ((high + 1) << shift) - 1)
         if position >= total:
-            return Cut(total, position, None, 0)
+            return Cut(total, position, None, 0, bounds)
         start = F.coalesce("start", F.lit(0).cast("bigint"))
         bucket, before = (
             exclusive_prefix(
@@ -98,7 +106,7 @@ def locate_cut(
         .select("doc_id", F.lit(position) - F.col("start"))
         .first()
     )
-    return Cut(total, position, doc_id, head)
+    return Cut(total, position, doc_id, head, bounds)
 
 
 def split_corpus(corpus: DataFrame, ratio: float = 0.9, *, cut: Cut | None = None) -> DataFrame:

@@ -15,6 +15,9 @@ from tokenloom.session import shared_dir
 from tokenloom.sources.files import join, publish, resolve
 
 PART_BYTES = 8 << 20
+ROWS_PER_FRAME = 1000
+# Neighbouring members that stay together, so that not every task opens every archive.
+MEMBERS_PER_RUN = 16
 
 _MEMBERS = "zip_path string, ordinal int, member string, n_bytes bigint"
 
@@ -51,20 +54,26 @@ def read_members(
 ) -> DataFrame:
     """(zip_path, ordinal, member, part, content): the bytes of every file in the archives.
 
-    Members, not archives, are spread over tasks, so one large archive is read in
+    Runs of members, not archives, are spread over tasks, so one large archive is read in
     parallel; a large member is streamed in parts of at most `part_bytes`.
     """
 
+    columns = ["zip_path", "ordinal", "member", "part", "content"]
+
     def contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ready, held = [], 0
         for row, archive, info in _opened(batches):
             with archive.open(info) as stream:
                 part, block = 0, stream.read(part_bytes)
                 while part == 0 or block:
-                    yield pd.DataFrame(
-                        [(row.zip_path, row.ordinal, row.member, part, block)],
-                        columns=["zip_path", "ordinal", "member", "part", "content"],
-                    )
+                    ready.append((row.zip_path, row.ordinal, row.member, part, block))
+                    held += len(block)
+                    if held >= part_bytes or len(ready) >= ROWS_PER_FRAME:
+                        yield pd.DataFrame(ready, columns=columns)
+                        ready, held = [], 0
                     part, block = part + 1, stream.read(part_bytes)
+        if ready:
+            yield pd.DataFrame(ready, columns=columns)
 
     return _spread(list_members(spark, paths)).mapInPandas(
         contents, "zip_path string, ordinal int, member string, part int, content binary"
@@ -84,6 +93,7 @@ def unzip_files(spark: SparkSession, paths: str | list[str], dir_save: str) -> D
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         filesystem, root = resolve(dir_save)
+        written = []
         for row, archive, info in _opened(batches):
             name = posixpath.normpath(row.member)
             if name.startswith(("/", "..")):
@@ -95,7 +105,12 @@ def unzip_files(spark: SparkSession, paths: str | list[str], dir_save: str) -> D
                 while block := stream.read(PART_BYTES):
                     out.write(block)
             publish(filesystem, temporary, final)
-            yield pd.DataFrame([row._asdict()]).drop(columns="Index", errors="ignore")
+            written.append(row)
+            if len(written) >= ROWS_PER_FRAME:
+                yield pd.DataFrame(written)
+                written = []
+        if written:
+            yield pd.DataFrame(written)
 
     listing = shared_dir(spark, "unzipped")
     _spread(members).mapInPandas(extract, _MEMBERS).write.parquet(listing)
@@ -103,7 +118,8 @@ def unzip_files(spark: SparkSession, paths: str | list[str], dir_save: str) -> D
 
 
 def _spread(members: DataFrame) -> DataFrame:
-    return members.repartition("zip_path", "ordinal")
+    run = F.floor(F.col("ordinal") / MEMBERS_PER_RUN)
+    return members.repartition("zip_path", run)
 
 
 def _opened(batches: Iterator[pd.DataFrame]):

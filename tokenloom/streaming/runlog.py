@@ -43,6 +43,7 @@ _STATE = T.StructType(
 )
 _WAITING = T.StructType(
     [
+        T.StructField("iter", T.LongType()),
         T.StructField("ts", T.TimestampType()),
         T.StructField("val_loss", T.DoubleType()),
         T.StructField("work", T.DoubleType()),
@@ -80,37 +81,32 @@ class RunTracker(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.run = handle.getValueState("run", _STATE)
-        self.waiting = handle.getMapState("waiting", "iter bigint", _WAITING)
+        self.waiting = handle.getListState("waiting", _WAITING)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        applied = self.run.get()[3] if self.run.exists() else -1
-        earliest = None
-        for row in rows:
-            if row.iter <= applied or self.waiting.containsKey((row.iter,)):
-                continue
-            self.waiting.updateValue((row.iter,), (row.ts, row.val_loss, row.work))
-            due = _millis(row.ts)
-            earliest = due if earliest is None else min(earliest, due)
-        if earliest is not None:
-            self.handle.registerTimer(earliest)
+        new = [(row.iter, row.ts, row.val_loss, row.work) for row in rows]
+        self.waiting.appendList(new)
+        self.handle.registerTimer(min(_millis(row[1]) for row in new))
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        due, later = [], None
-        for (iteration,), (ts, val_loss, work) in self.waiting.iterator():
+        due: dict[int, Row] = {}
+        later = []
+        for iteration, ts, val_loss, work in self.waiting.get():
             if _millis(ts) <= watermark:
-                due.append(Row(iter=iteration, ts=ts, val_loss=val_loss, work=work))
-            elif later is None or _millis(ts) < later:
-                later = _millis(ts)
-        if later is not None:
-            self.handle.registerTimer(later)
+                due.setdefault(iteration, Row(iter=iteration, ts=ts, val_loss=val_loss, work=work))
+            else:
+                later.append((iteration, ts, val_loss, work))
+        self.waiting.clear()
+        if later:
+            self.waiting.put(later)
+            self.handle.registerTimer(min(_millis(row[1]) for row in later))
         state = tuple(self.run.get()) if self.run.exists() else None
-        for row in sorted(due, key=lambda r: r.iter):
-            self.waiting.removeKey((row.iter,))
-            if state is not None and row.iter <= state[3]:
+        for iteration in sorted(due):
+            if state is not None and iteration <= state[3]:
                 continue
-            state, report = advance(state, row, self.log_interval)
+            state, report = advance(state, due[iteration], self.log_interval)
             yield Row(**dict(zip(LIVE_LOG.names, (*key, *report))))
         if state is not None:
             self.run.update(state)
