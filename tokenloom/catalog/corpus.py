@@ -23,6 +23,7 @@ from tokenloom.operators.vocab import (
     build_vocab,
     char_decoder,
     encode_chars,
+    lookup_ids,
     vocab_maps,
     vocab_size,
     widen_id,
@@ -192,6 +193,20 @@ def char_vocab_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "char_histogram",
+    VOCAB_SQL.replace(",", "WITH", 1)
+    + """
+SELECT id AS token_id, ch, count(*)::BIGINT AS n
+FROM (SELECT unnest(string_split(text, '')) AS ch FROM documents) JOIN vocab USING (ch) GROUP BY id, ch""",
+)
+def char_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    chars = docs.select(F.explode(characters(F.col("text"))).alias("ch")).filter("ch <> ''")
+    counts = chars.groupBy("ch").agg(F.count("*").alias("n"))
+    return lookup_ids(counts, build_vocab(docs))
+
+
 @query(
     "char_encode",
     SPLIT_SQL

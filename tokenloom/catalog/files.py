@@ -21,6 +21,7 @@ from tokenloom.catalog.corpus import (
 )
 from tokenloom.catalog.registry import query, table
 from tokenloom.operators.vocab import build_vocab
+from tokenloom.plans.prepare import prepare_corpus
 from tokenloom.session import shared_dir
 from tokenloom.sinks.files import export_text, save_csv, save_parquet
 from tokenloom.sinks.tokens import write_chunks, write_token_files, write_vocab
@@ -167,6 +168,16 @@ def token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_chunks(spark, stored, split="train")
 
 
+@query(
+    "prepared_corpus",
+    CHUNKS_SQL + "SELECT split, chunk_id::BIGINT AS chunk_id, tokens FROM chunks",
+)
+def prepared_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus = table(spark, sf_dir, "documents").select("doc_id", "text")
+    data = prepare_corpus(corpus, shared_dir(spark, "prepared"), chunk_size=BLOCK_SIZE)
+    return read_chunks(spark, data.chunks)
+
+
 @query("vocab_roundtrip", VOCAB_SQL.replace(",", "WITH", 1) + "SELECT id, ch FROM vocab")
 def vocab_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "vocab")

@@ -12,6 +12,7 @@ from tokenloom.functions.logits import keep_top_k, next_id, scale, softmax
 from tokenloom.functions.text import characters
 from tokenloom.operators.evaluation import batch_losses, row_losses, split_losses
 from tokenloom.operators.layout import spread_small
+from tokenloom.plans.generate import generate_step, model_context
 
 SEED = 7
 TEMPERATURE = 0.8
@@ -162,3 +163,34 @@ def context_append_crop(spark: SparkSession, sf_dir: str) -> DataFrame:
         keep_last(F.col("grown"), CONTEXT).alias("context"),
         last_element(F.col("ids")).alias("last_id"),
     )
+
+
+@query(
+    "generation_step",
+    SOFTMAX_SQL
+    + f"""
+, uniform AS (
+  SELECT vec_id, p, ('0x' || substr(md5('{SEED}:3:' || vec_id), 1, 13))::BIGINT::DOUBLE
+                    / 4503599627370496::DOUBLE AS u FROM probabilities
+), drawn AS (
+  SELECT vec_id AS conv_id, (coalesce(
+         list_min(list_filter(range(0, len(p)), lambda i: list_sum(list_slice(p, 1, i + 1)) > u)),
+         list_max(list_filter(range(0, len(p)), lambda i: p[i + 1] > 0))))::INTEGER AS next_id
+  FROM uniform
+), contexts AS (
+  SELECT conv_id, turn, list_transform(string_split(right(text, {CONTEXT}), ''), lambda c: ord(c)) AS ids
+  FROM conversations
+)
+SELECT conv_id, turn, next_id, list_append(ids, next_id) AS ids FROM contexts JOIN drawn USING (conv_id)""",
+)
+def generation_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = F.transform(characters(F.col("text")), lambda c: F.ascii(c))
+    sequences = table(spark, sf_dir, "conversations").select("conv_id", "turn", ids.alias("ids"))
+    logits = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("conv_id"), F.col("embedding").alias("logits")
+    )
+    seen = model_context(sequences, CONTEXT).join(logits, "conv_id")
+    stepped = generate_step(
+        seen, key="conv_id", step=3, temperature=TEMPERATURE, top_k=TOP_K, seed=SEED
+    )
+    return stepped.select("conv_id", "turn", "next_id", "ids")

@@ -34,10 +34,12 @@ def build_session(app: str = "tokenloom", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder name that driver and executors can all reach.
 
-    The cluster names the shared parent in `spark.checkpoint.dir`. Only where that
-    is unset (tests, local runs) is a temporary folder of this machine used.
+    The cluster names the shared parent in `spark.checkpoint.dir`. Only a local session
+    (tests) that leaves it unset uses a temporary folder of this machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tokenloom-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -66,6 +66,8 @@ def read_csv(
         if absent:
             raise ValueError(f"columns not in the CSV header: {absent}")
         parts.append(part.select(*[F.col(f"`{c}`") for c in header if c in set(columns)]))
+    if not parts:
+        raise ValueError(f"no rows in {paths}")
     table = parts[0]
     for part in parts[1:]:
         table = table.unionByName(part)

@@ -11,6 +11,8 @@ from tokenloom.sources.ranged_text import read_ranged
 
 # Files up to this size become one row each; larger ones are read by byte range.
 WHOLE_FILE_BYTES = 256 << 20
+# About 200 bytes each.
+BROADCAST_FILES = 100_000
 
 
 def read_text(
@@ -51,6 +53,9 @@ def read_text(
         )
     if not parts:
         return spark.createDataFrame([], "doc_id bigint, text string")
+    # Joined by broadcast while the listing is known to be small, so that no text moves.
+    if len(files) <= BROADCAST_FILES:
+        numbers = F.broadcast(numbers)
     corpus = parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
     return corpus.join(numbers, "path").select(
         (F.col("first_id") + F.col("byte_offset")).alias("doc_id"),
