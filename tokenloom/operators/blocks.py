@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions.core import hashed_bits, int_div
@@ -62,13 +62,13 @@ def cut_blocks(
     if n_starts is not None and n_starts <= BROADCAST_DRAWS:
         wanted = F.broadcast(wanted)
     pairs = chunks.select("split", "chunk_id", "tokens").join(wanted, ["split", "chunk_id"])
+    # At most two rows per start: the chunk it lies in and the one after it.
     draw = ["split", "batch_id", "row_id", "start"]
-    joined = pairs.groupBy(*draw).agg(
-        F.flatten(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("chunk_id", "tokens"))), lambda c: c["tokens"]
-            )
-        ).alias("tokens")
+    following = F.lead("tokens").over(Window.partitionBy(*draw).orderBy("chunk_id"))
+    joined = (
+        pairs.withColumn("following", following)
+        .filter(F.col("chunk_id") == first)
+        .withColumn("tokens", F.concat("tokens", F.coalesce("following", F.array().cast("array<int>"))))
     )
     offset = (F.col("start") % block_size).cast("int")
     return joined.select(

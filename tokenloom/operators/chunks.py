@@ -9,8 +9,8 @@ from tokenloom.functions.core import int_div
 from tokenloom.operators.prefix import WIDE_FANOUT, exclusive_prefix
 from tokenloom.operators.vocab import narrow_id
 
-# Chunks per shard: a shard is the unit that one task assembles and one file holds.
-CHUNKS_PER_SHARD = 1 << 14
+# Chunks per shard: a shard is the unit that one task assembles, in order.
+CHUNKS_PER_SHARD = 1 << 12
 
 
 def count_tokens(encoded: DataFrame) -> DataFrame:

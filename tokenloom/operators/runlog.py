@@ -117,13 +117,9 @@ def step_seconds(
     begin = F.col("__prior.ts")
     if start is not None:
         begin = F.coalesce(begin, start)
-    return prior.withColumn("seconds", _micros(F.col("ts")) - _micros(begin)).withColumn(
-        "seconds", F.col("seconds") / F.lit(1e6)
-    ).drop("__at", "__prior")
-
-
-def _micros(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))
+    # As an interval, so that local times are not moved by the session's time zone.
+    elapsed = (F.col("ts") - begin).cast("interval second").cast("decimal(20,6)").cast("double")
+    return prior.withColumn("seconds", elapsed).drop("__at", "__prior")
 
 
 def moving_average(

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import datetime
 from collections.abc import Iterator
 from typing import Any
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -32,19 +32,20 @@ LIVE_LOG = T.StructType(
     ]
 )
 
-# (best, average, ts, iter) after the last applied row.
+# (best, average, time, iter) after the last applied row; times are microseconds since
+# 1970, free of any time zone.
 _STATE = T.StructType(
     [
         T.StructField("best", T.DoubleType()),
         T.StructField("average", T.DoubleType()),
-        T.StructField("ts", T.TimestampType()),
+        T.StructField("at", T.LongType()),
         T.StructField("iter", T.LongType()),
     ]
 )
 _WAITING = T.StructType(
     [
         T.StructField("iter", T.LongType()),
-        T.StructField("ts", T.TimestampType()),
+        T.StructField("at", T.LongType()),
         T.StructField("val_loss", T.DoubleType()),
         T.StructField("work", T.DoubleType()),
     ]
@@ -58,8 +59,8 @@ def live_best(log: DataFrame) -> DataFrame:
 
 def advance(state: tuple | None, row: Row, log_interval: int) -> tuple[tuple, tuple]:
     """Apply one row to a run's state: the new state, and the values to report."""
-    best, average, last_ts, _ = state or (NO_BEST, NO_AVERAGE, None, -1)
-    seconds = (row.ts - last_ts).total_seconds() if last_ts is not None else None
+    best, average, last, _ = state or (NO_BEST, NO_AVERAGE, None, -1)
+    seconds = (row.at - last) / 1e6 if last is not None else None
     mfu = row.work / seconds if seconds and seconds > 0 else None
     improved = row.val_loss is not None and row.val_loss < best
     if improved:
@@ -67,7 +68,7 @@ def advance(state: tuple | None, row: Row, log_interval: int) -> tuple[tuple, tu
     if row.iter % log_interval == 0 and row.iter >= SETTLE_ITERS and mfu is not None:
         average = mfu if average == NO_AVERAGE else KEEP * average + TAKE * mfu
     report = (row.iter, row.val_loss, best, improved and row.iter > 0, seconds, mfu, average)
-    return (best, average, row.ts, row.iter), report
+    return (best, average, row.at, row.iter), report
 
 
 class RunTracker(StatefulProcessor):
@@ -84,24 +85,24 @@ class RunTracker(StatefulProcessor):
         self.waiting = handle.getListState("waiting", _WAITING)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        new = [(row.iter, row.ts, row.val_loss, row.work) for row in rows]
+        new = [(row.iter, row.at, row.val_loss, row.work) for row in rows]
         self.waiting.appendList(new)
-        self.handle.registerTimer(min(_millis(row[1]) for row in new))
+        self.handle.registerTimer(min(row[1] // 1000 for row in new))
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
         due: dict[int, Row] = {}
         later = []
-        for iteration, ts, val_loss, work in self.waiting.get():
-            if _millis(ts) <= watermark:
-                due.setdefault(iteration, Row(iter=iteration, ts=ts, val_loss=val_loss, work=work))
+        for iteration, at, val_loss, work in self.waiting.get():
+            if at // 1000 <= watermark:
+                due.setdefault(iteration, Row(iter=iteration, at=at, val_loss=val_loss, work=work))
             else:
-                later.append((iteration, ts, val_loss, work))
+                later.append((iteration, at, val_loss, work))
         self.waiting.clear()
         if later:
             self.waiting.put(later)
-            self.handle.registerTimer(min(_millis(row[1]) for row in later))
+            self.handle.registerTimer(min(row[1] // 1000 for row in later))
         state = tuple(self.run.get()) if self.run.exists() else None
         for iteration in sorted(due):
             if state is not None and iteration <= state[3]:
@@ -115,10 +116,6 @@ class RunTracker(StatefulProcessor):
         pass
 
 
-def _millis(ts: datetime.datetime) -> int:
-    return int(ts.timestamp() * 1000)
-
-
 def live_tracking(log: DataFrame, *, delay: str = "0 seconds", log_interval: int = 10) -> DataFrame:
     """New-best flags, step times, utilisation and its moving average of a stream of
     (run_id string, iter, ts, val_loss, work), where `work` is the utilisation that a
@@ -129,7 +126,8 @@ def live_tracking(log: DataFrame, *, delay: str = "0 seconds", log_interval: int
     operators, which also divide a single run.
     """
     return (
-        log.withWatermark("ts", delay)
+        log.withColumn("at", F.unix_micros("ts"))
+        .withWatermark("ts", delay)
         .groupBy("run_id")
         .transformWithState(
             statefulProcessor=RunTracker(log_interval),
