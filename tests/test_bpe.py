@@ -10,7 +10,7 @@ from tokenloom.operators.bpe import (
     Merger,
     bpe_token_counts,
     encode_bpe,
-    load_merger,
+    merger_of,
     piece_counts,
     piece_dictionary,
     pretokens,
@@ -114,4 +114,4 @@ def test_rank_table_is_bounded(spark):
         F.col("id").cast("string").cast("binary").alias("token"), F.col("id").cast("int").alias("rank")
     )
     with pytest.raises(ValueError):
-        load_merger(big)
+        merger_of(big)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tokenloom.catalog.corpus import SPLIT_SQL, documents, split_documents
+from tokenloom.catalog.corpus import SPLIT_SQL, split_documents
 from tokenloom.catalog.registry import query
 from tokenloom.operators.bpe import (
     bpe_token_counts,

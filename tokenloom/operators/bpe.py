@@ -8,7 +8,7 @@ occurrence. Counting jobs join a dictionary of distinct pre-tokens instead.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -26,7 +26,7 @@ PRETOKEN = (
 # Ids are stored in 16 bits, which bounds the rank table.
 MAX_RANKS = 1 << 16
 
-# Merged pre-tokens remembered per Python worker.
+# Merged pre-tokens remembered per task.
 MEMO_SIZE = 1 << 18
 
 
@@ -37,12 +37,6 @@ class Merger:
         self.ranks = ranks
         self.memo: dict[str, list[int]] = {}
 
-    def __getstate__(self):
-        return self.ranks
-
-    def __setstate__(self, ranks):
-        self.__init__(ranks)
-
     def encode(self, piece: str) -> list[int]:
         ids = self.memo.get(piece)
         if ids is None:
@@ -87,23 +81,32 @@ def pretokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PRETOKEN), F.lit(0))
 
 
-def load_merger(ranks: DataFrame):
-    """Broadcast a (token, rank) table, which may hold at most 65,536 rows."""
+def merger_of(ranks: DataFrame) -> Callable[[], Merger]:
+    """Broadcast a (token, rank) table, which may hold at most 65,536 rows; the result
+    gives each task its merger."""
     rows = ranks.select("token", "rank").limit(MAX_RANKS + 1).collect()
     if len(rows) > MAX_RANKS:
         raise ValueError("more ranks than 16-bit ids")
     table = {bytes(row["token"]): row["rank"] for row in rows}
-    return ranks.sparkSession.sparkContext.broadcast(Merger(table))
+    shared = ranks.sparkSession.sparkContext.broadcast(table)
+    ready: list[Merger] = []
+
+    def merger() -> Merger:
+        if not ready:
+            ready.append(Merger(shared.value))
+        return ready[0]
+
+    return merger
 
 
 def bpe_encoder(ranks: DataFrame):
     """A function array<string> column of pre-tokens -> array<int> column of ids."""
-    shared = load_merger(ranks)
+    merger = merger_of(ranks)
 
     @F.arrow_udf(T.ArrayType(T.IntegerType(), containsNull=False))
     def encode(pieces: pa.Array) -> pa.Array:
         words = pieces.flatten().dictionary_encode()
-        ids, counts = _merge_all(shared.value, words.dictionary)
+        ids, counts = _merge_all(merger(), words.dictionary)
         first = np.cumsum(counts) - counts
         index = words.indices.to_numpy(zero_copy_only=False)
         lengths = counts[index]
@@ -150,12 +153,12 @@ def piece_counts(pieces: DataFrame) -> DataFrame:
 
 def piece_dictionary(distinct: DataFrame, ranks: DataFrame) -> DataFrame:
     """(piece, ids) for a table of distinct pre-tokens: each is merged once."""
-    shared = load_merger(ranks)
+    merger = merger_of(ranks)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = batch.column("piece")
-            ids, counts = _merge_all(shared.value, words)
+            ids, counts = _merge_all(merger(), words)
             offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
             lists = pa.ListArray.from_arrays(offsets, pa.array(ids))
             yield pa.RecordBatch.from_arrays([words, lists], names=["piece", "ids"])
