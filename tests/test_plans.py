@@ -73,3 +73,27 @@ def test_listing_archives_reads_no_content(spark, tmp_path):
     (tmp_path / "x.zip").write_bytes(b"PK\x05\x06" + bytes(18))
     plan = plan_of(list_members(spark, str(tmp_path)))
     assert "ReadSchema: struct<>" in plan
+
+
+def test_tasks_need_no_installed_package(tmp_path):
+    """A driver started elsewhere, as the workers' search path does not hold this package."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from __spark_entry__ import entry, queries
+from tokenloom.session import build_session
+spark = build_session("elsewhere", "local[2]", spark__sql__shuffle__partitions="2")
+assert entry(spark).count() > 0
+assert queries()["bpe_encode"](spark, {SF!r}).count() > 0
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH" and not k.startswith("SPARK")
+           and not k.startswith("PYSPARK_GATEWAY")}
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, timeout=300
+    )
+    assert done.returncode == 0, done.stderr.decode()[-2000:]
