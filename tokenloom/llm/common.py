@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,24 +46,25 @@ def parts_for(spark: SparkSession, rows: int, rows_per_part: int) -> int:
     return max(1, min(MOST_PARTS, max(least, -(-rows // rows_per_part))))
 
 
-def cut_points(df: DataFrame, key: str, salt: str, parts: int, rows: int) -> list[tuple]:
+def cut_points(df: DataFrame, key: str, parts: int, rows: int) -> list[tuple]:
     """At most parts - 1 ascending (key, salt) pairs that divide `df` about evenly.
 
-    They come from a hash sample of about 16 rows per part, never more than CUT_SAMPLE
-    expected, so a retried task sees the same cuts. One key that holds many rows is divided by
-    its salt.
+    They come from a sample of about 16 rows per part, never more than CUT_SAMPLE expected. A
+    key that spans several cuts is divided evenly over the range of a 64-bit hash, the salt.
     """
     want = min(CUT_SAMPLE, 16 * parts)
-    share = min(1.0, want / max(rows, 1))
-    picked = df.filter(F.col(key).isNotNull())
-    if share < 1.0:
-        draw = unsigned_share(F.xxhash64(F.lit("cut"), key, salt))
-        picked = picked.filter(draw < F.lit(share))
-    sample = sorted((r[0], r[1]) for r in picked.select(key, salt).collect())
+    picked = df.select(key).dropna()
+    if want < rows:
+        picked = picked.sample(want / rows, seed=7)
+    sample = sorted(r[0] for r in picked.collect())
     if not sample:
         return []
-    cuts = [sample[len(sample) * i // parts] for i in range(1, parts)]
-    return sorted(set(cuts))
+    chosen = Counter(sample[len(sample) * i // parts] for i in range(1, parts))
+    return [
+        (value, -(1 << 63) + (1 << 64) * (j + 1) // (n + 1))
+        for value, n in sorted(chosen.items())
+        for j in range(n)
+    ]
 
 
 def part_of(cuts: list[tuple], key, salt) -> int:

@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenloom.llm import sharding, url_rules
+from tokenloom.llm import byte_bpe, language_id, secret_scan, sharding, token_store, url_rules
 from tokenloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"), PIECES)
+
 
 @query("op2_sharding")
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,3 +51,19 @@ FROM parsed p LEFT JOIN (SELECT * FROM fit WHERE k = 1) f USING (page_id, host,
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(url_rules.RULES, url_rules.RULE_SCHEMA)
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+@query("op5_secret_scans")
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.document_report(table(spark, sf_dir, "documents"))
+
+
+@query("op6_token_store")
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.stored_tokens(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+
+
+@query("op10_byte_bpe")
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return byte_bpe.digest_documents(docs, BYTE_RANKS, public_tokenizers.PATTERN)

@@ -169,7 +169,7 @@ def judge_urls(
     ).withColumns({"key": host_key(F.col("host")), "kind": F.lit(1), "verdict": F.lit(None).cast("string")})
     rows = parsed.count()
     parts = parts_for(spark, rows, ROWS_PER_PART)
-    cuts = cut_points(parsed, "key", "salt", parts, rows)
+    cuts = cut_points(parsed, "key", parts, rows)
     ruled = (
         rules.select("host", "path", "verdict")
         .dropna()
