@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.llm.common import stored, unsigned_share
-from tokenloom.llm.words import RowMemo, mapped_bytes, split_words
+from tokenloom.llm.words import RowMemo, mapped_bytes, small_batches, split_words
 
 # Bound of the fitting sample: labelled rows per language, in expectation.
 FIT_ROWS = 1500
@@ -199,7 +199,7 @@ def _fit_words(sample: DataFrame) -> DataFrame:
     """(lang, word, n) over the sample."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small_batches(batches):
             codes, words, offsets = split_words(mapped_bytes(b["text"], _TABLE))
             langs, lang_of = np.unique(np.array(b["lang"].to_pylist(), dtype=object), return_inverse=True)
             owner = np.repeat(lang_of, np.diff(offsets))
@@ -279,7 +279,7 @@ def predict(docs: DataFrame, vocabulary: str, langs: list[str], probs: np.ndarra
         own = lattice(vocabulary)
         memo = RowMemo(lambda w: own.forward(w, table).astype(np.float32), MEMO_WORDS)
         names = np.array([*langs, UNDECIDED], dtype=object)
-        for b in batches:
+        for b in small_batches(batches):
             best, score = _best(b["text"], memo, len(langs))
             added = [pa.array(names[best], pa.string()), pa.array(score, pa.float64())]
             yield pa.record_batch([*b.columns, *added], [*b.schema.names, "lang_pred", "score"])

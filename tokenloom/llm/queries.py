@@ -5,7 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenloom.llm import byte_bpe, language_id, secret_scan, sharding, token_store, url_rules
+from tokenloom.llm import (
+    byte_bpe,
+    decontaminate,
+    jaccard_join,
+    language_id,
+    secret_scan,
+    sharding,
+    token_store,
+    url_rules,
+    warc,
+)
 from tokenloom.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -53,6 +63,11 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+@query("op4_jaccard_join")
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op5_secret_scans")
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.document_report(table(spark, sf_dir, "documents"))
@@ -67,3 +82,115 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return byte_bpe.digest_documents(docs, BYTE_RANKS, public_tokenizers.PATTERN)
+
+
+@query(
+    "op7_decontamination",
+    r"""
+WITH words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
+), own AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + 5], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 4, 1))) AS i FROM words WHERE len(w) > 0)
+), item_words AS (
+  SELECT item_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM benchmark
+), wanted AS (
+  SELECT DISTINCT item_id, array_to_string(w[i + 1 : i + 5], ' ') AS shingle
+  FROM (SELECT item_id, w, unnest(range(0, greatest(len(w) - 4, 1))) AS i FROM item_words
+        WHERE len(w) > 0)
+), sizes AS (SELECT item_id, count(*)::BIGINT AS item_shingles FROM wanted GROUP BY item_id)
+SELECT doc_id, item_id, count(*)::BIGINT AS shared, item_shingles,
+       count(*)::DOUBLE / item_shingles AS containment
+FROM own JOIN wanted USING (shingle) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id, item_shingles HAVING count(*)::DOUBLE / item_shingles >= 0.75""",
+)
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+WARC_SQL = r"""
+WITH named AS (
+  SELECT page_id, url, coalesce(html, '') AS html,
+         md5(concat_ws(' ', page_id::VARCHAR, url, html)) AS h FROM pages
+), source AS (
+  SELECT *, 'sha256:' || sha256(html) AS payload_digest,
+         '<urn:uuid:' || concat_ws('-', h[1:8], h[9:12], h[13:16], h[17:20], h[21:32]) || '>' AS id
+  FROM named
+), bare AS (
+  SELECT *, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
+    '(?is)<script\b[^>]*>.*?</script\s*>', '', 'g') AS t1 FROM source
+), untagged AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t1,
+    '(?is)<style\b[^>]*>.*?</style\s*>', '', 'g'),
+    '(?is)<noscript\b[^>]*>.*?</noscript\s*>', '', 'g'),
+    '(?is)<template\b[^>]*>.*?</template\s*>', '', 'g'),
+    '(?i)</?({blocks})\b[^>]*>', chr(10), 'g'),
+    '<[a-zA-Z/!?][^>]*>', '', 'g') AS t2,
+    regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title', 1) AS t3,
+    regexp_extract(html, '(?is)<html\b[^>]*\blang="([^"]*)"', 1) AS language,
+    regexp_extract_all(html, '(?i)<a\b[^>]*\bhref="([^"\r\n]*)"', 1) AS links FROM bare
+), decoded AS (
+  SELECT page_id, url, payload_digest, id, language, links, {t2} AS plain,
+         replace({t3}, chr(10), ' ') AS title FROM untagged
+), blocks AS (
+  SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type,
+         CASE WHEN title <> '' THEN 'title: ' || title || chr(13) || chr(10) ELSE '' END ||
+         CASE WHEN language <> '' THEN 'language: ' || language || chr(13) || chr(10) ELSE '' END ||
+         'outlinks: ' || len(links) || chr(13) || chr(10) ||
+         coalesce(array_to_string(list_transform(links, lambda x: 'outlink: ' || x || chr(13) || chr(10)), ''), '')
+         AS block FROM decoded
+  UNION ALL
+  SELECT *, 'conversion', 'text/plain; charset=utf-8', plain FROM decoded
+), ids AS (
+  SELECT *, md5(id || ':' || record_type) AS d, strlen(block)::BIGINT AS content_length,
+         'sha256:' || sha256(block) AS block_digest FROM blocks
+), final AS (
+  SELECT *, '<urn:uuid:' || concat_ws('-', d[1:8], d[9:12], d[13:16], d[17:20], d[21:32]) || '>'
+         AS derived_id FROM ids
+)
+SELECT page_id, id AS refers_to, url AS target_uri, payload_digest, record_type, derived_id,
+       content_type, content_length, block_digest,
+       array_to_string(['WARC/1.1', 'WARC-Type: ' || record_type, 'WARC-Record-ID: ' || derived_id,
+         'WARC-Date: 1970-01-01T00:00:00Z', 'WARC-Target-URI: ' || url, 'WARC-Refers-To: ' || id,
+         'WARC-Refers-To-Target-URI: ' || url, 'WARC-Refers-To-Date: 1970-01-01T00:00:00Z',
+         'WARC-Source-Payload-Digest: ' || payload_digest, 'WARC-Block-Digest: ' || block_digest,
+         'Content-Type: ' || content_type, 'Content-Length: ' || content_length,
+         'WARC-Identified-Payload-Type: text/html', '', block], chr(13) || chr(10)) AS record
+FROM final"""
+
+
+def _decoded_sql(column: str) -> str:
+    """DuckDB SQL that decodes character references once and squeezes blanks."""
+    named = f"replace(replace(replace(replace(replace({column}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&apos;', ''''), '&nbsp;', ' ')"
+    parts = f"string_split(replace({named}, '&amp;', '&#38;'), '&#')"
+    digits = r"regexp_extract(p, '^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});', 1)"
+    code = (
+        f"CASE WHEN lower({digits}[1:1]) = 'x' THEN ('0x' || {digits}[2:])::BIGINT "
+        f"ELSE {digits}::BIGINT END"
+    )
+    char = (
+        f"CASE WHEN ({code}) = 0 OR ({code}) > 1114111 OR ({code}) BETWEEN 55296 AND 57343 "
+        f"THEN chr(65533) ELSE chr(({code})::INTEGER) END"
+    )
+    one = f"CASE WHEN {digits} = '' THEN '&#' || p ELSE {char} || substr(p, length({digits}) + 2) END"
+    whole = f"{parts}[1] || coalesce(array_to_string(list_transform({parts}[2:], lambda p: {one}), ''), '')"
+    return (
+        rf"regexp_replace(regexp_replace(regexp_replace({whole}, '[ \t\r\f\x0B\x{{A0}}]+', ' ', 'g'), "
+        rf"' ?\n[ \n]*', chr(10), 'g'), '^[ \n]+|[ \n]+$', '', 'g')"
+    )
+
+
+WARC_SQL = (
+    WARC_SQL.replace("{blocks}", warc.BLOCKS)
+    .replace("{t2}", _decoded_sql("t2"))
+    .replace("{t3}", _decoded_sql("t3"))
+)
+
+
+@query("op9_warc", WARC_SQL)
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.build_derivatives(warc.page_responses(table(spark, sf_dir, "pages")), "page_id")

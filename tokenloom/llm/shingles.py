@@ -125,10 +125,10 @@ def shingle_sets(texts: pa.Array, width: int = WIDTH) -> list[np.ndarray]:
         if b - a >= width:
             sets.append(np.unique(rows[a : b - width + 1]))
         elif b > a:
-            whole = np.uint64(b - a)
-            for w in words[a:b]:
-                whole = mixed(np.array([whole * BASE + w]))[0]
-            sets.append(np.array([whole], dtype=np.uint64))
+            whole = np.full(1, b - a, dtype=np.uint64)
+            for i in range(a, b):
+                whole = mixed(whole * BASE + words[i : i + 1])
+            sets.append(whole)
         else:
             sets.append(np.zeros(0, dtype=np.uint64))
     return sets

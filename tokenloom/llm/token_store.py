@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.llm.common import MOST_PARTS, cut_points, part_of, parts_for
-from tokenloom.llm.words import mapped_bytes, split_words
+from tokenloom.llm.words import mapped_bytes, small_batches, split_words
 from tokenloom.session import shared_dir
 
 END_ID = 2
@@ -222,7 +222,7 @@ def encoded_rows(docs: DataFrame, path: str, cuts: list[tuple], end_id: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
         end = np.array([end_id], dtype=own.dtype)
-        for b in batches:
+        for b in small_batches(batches):
             rows = [np.concatenate([x, end]) for x in own.texts(b["text"])]
             keys = zip(b["doc_id"].to_pylist(), b["salt"].to_pylist())
             yield pa.record_batch(

@@ -2,13 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 
+# Text bytes worked on at once: bounds the arrays built beside a batch.
+SLICE_BYTES = 1 << 23
+
+
+def small_batches(
+    batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most `most` bytes of text, or of one longer text."""
+    for b in batches:
+        ends = np.cumsum(np.asarray(pc.binary_length(b[column]).fill_null(0), dtype=np.int64))
+        start = 0
+        while start < len(ends):
+            limit = (int(ends[start - 1]) if start else 0) + most
+            stop = max(start + 1, int(np.searchsorted(ends, limit, side="right")))
+            yield b.slice(start, stop - start)
+            start = stop
+
+
 def mapped_bytes(texts: pa.Array, table: bytes) -> pa.Array:
     """`texts` with every byte replaced by table[byte]; nulls become empty texts.
 
