@@ -18,6 +18,18 @@ MOST_PARTS = 1 << 12
 BROADCAST_ROWS = 1 << 20
 
 
+# Bytes of rows that Spark hands to a Python task at once.
+ARROW_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep the session's Arrow batches at ARROW_BYTES (or one longer row).
+
+    Spark's own bound is 64 MB; its buffers on both sides of the pipe are a multiple of that.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """`df` written to the shared folder and read back, which cuts its lineage."""
     path = shared_dir(df.sparkSession, label)

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tokenloom.llm import (
+    ann,
     byte_bpe,
     decontaminate,
     jaccard_join,
@@ -194,3 +195,8 @@ WARC_SQL = (
 @query("op9_warc", WARC_SQL)
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.build_derivatives(warc.page_responses(table(spark, sf_dir, "pages")), "page_id")
+
+
+@query("op8_nearest")
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))

@@ -50,7 +50,7 @@ def decode_references(text: Column) -> Column:
     for name, char in NAMED:
         text = F.replace(text, F.lit(name), F.lit(char))
     parts = F.split(F.replace(text, F.lit("&amp;"), F.lit("&#38;")), "&#")
-    rest = F.transform(F.slice(parts, 2, 2147483647), _numeric_reference)
+    rest = F.transform(F.slice(parts, F.lit(2), F.size(parts)), _numeric_reference)
     return F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))
 
 
