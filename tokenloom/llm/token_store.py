@@ -31,14 +31,21 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import MOST_PARTS, cut_points, part_of, parts_for
+from tokenloom.llm.common import (
+    MOST_PARTS,
+    python_tasks,
+    cut_points,
+    part_of,
+    parts_for,
+    small_side,
+)
 from tokenloom.llm.words import mapped_bytes, small_batches, split_words
 from tokenloom.session import shared_dir
 
 END_ID = 2
 SAMPLE = 64
 BLOCK_IDS = 1 << 18
-MEMO_WORDS = 1 << 19
+MEMO_WORDS = 1 << 18
 MEMO_LENGTH = 64
 DOCS_PER_PART = 50_000
 WORDS_AT_ONCE = 4096
@@ -262,13 +269,15 @@ def _blocks(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, rows, held = None, 0, [], 0
         for b in batches:
-            for p, d, n, ids in zip(*[b[c].to_pylist() for c in ("part", "doc_id", "n", "ids")]):
+            blobs = b["ids"]
+            narrow = zip(*[b[c].to_pylist() for c in ("part", "doc_id", "n")])
+            for i, (p, d, n) in enumerate(narrow):
                 if rows and (p != part or held + n > BLOCK_IDS):
                     yield block(part, number, rows)
                     number, rows, held = number + 1, [], 0
                 if p != part:
                     part, number = p, 0
-                rows.append((d, n, ids))
+                rows.append((d, n, blobs[i].as_py()))
                 held += n
         if rows:
             yield block(part, number, rows)
@@ -279,6 +288,7 @@ def _blocks(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 def write_store(docs: DataFrame, path: str, folder: str, *, end_id: int = END_ID) -> str:
     """Encode (doc_id, text) into a store at `folder`."""
     spark = docs.sparkSession
+    python_tasks(spark)
     keyed = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("salt")
     )
@@ -297,57 +307,74 @@ def write_store(docs: DataFrame, path: str, folder: str, *, end_id: int = END_ID
 
 
 def read_store(spark, folder: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of every document of a store.
+    """(doc_id, start, n_tokens, width, ids) of every document of a store.
+
+    start counts the ids of all documents before it; ids are the stored bytes.
+    """
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+
+    def rows(part: dict, starts: np.ndarray, ends: np.ndarray) -> list:
+        size = part["width"]
+        cut = [part["ids"][s * size : e * size] for s, e in zip(starts, ends)]
+        return [part["doc_ids"], part["first"] + starts, ends - starts, [size] * len(cut), cut]
+
+    return _located(spark, folder).mapInArrow(
+        _documents(rows, kinds, ["doc_id", "start", "n_tokens", "width", "ids"]),
+        "doc_id bigint, start bigint, n_tokens bigint, width int, ids binary",
+    )
+
+
+def read_sums(spark, folder: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32): the CRC-32 of the ids as 32-bit integers."""
+    kinds = [pa.int64()] * 4
+
+    def rows(part: dict, starts: np.ndarray, ends: np.ndarray) -> list:
+        ids = np.frombuffer(part["ids"], f"<u{part['width']}")
+        sums = [zlib.crc32(ids[s:e].astype("<u4").tobytes()) for s, e in zip(starts, ends)]
+        return [part["doc_ids"], part["first"] + starts, ends - starts, sums]
+
+    return _located(spark, folder).mapInArrow(
+        _documents(rows, kinds, ["doc_id", "start", "n_tokens", "ids_crc32"]),
+        "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
+    )
+
+
+def _located(spark, folder: str) -> DataFrame:
+    """The blocks with `first`, the ids before each.
 
-    start counts the ids of all documents before it: blocks are summed inside their part,
-    parts (at most MOST_PARTS) among each other.
+    Blocks are summed inside their part, parts (at most MOST_PARTS) among each other.
     """
+    python_tasks(spark)
     blocks = spark.read.schema(STORE_SCHEMA).parquet(folder)
     sizes = blocks.select("part", "block", "n_ids")
-    of_part = sizes.groupBy("part").agg(F.sum("n_ids").alias("n")).limit(MOST_PARTS).collect()
-    base, total = {}, 0
-    for row in sorted(of_part):
-        base[row["part"]] = total
-        total += row["n"]
     before = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("part", "block", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("inner"))
-    located = blocks.join(starts, ["part", "block"])
+    inner = sizes.select("part", "block", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("first"))
+    base, total = [], 0
+    for row in sorted(sizes.groupBy("part").agg(F.sum("n_ids")).limit(MOST_PARTS).collect()):
+        base.append((row[0], total))
+        total += row[1]
+    bases = F.broadcast(spark.createDataFrame(base, "part int, base bigint"))
+    firsts = inner.join(bases, "part").select("part", "block", (F.col("first") + F.col("base")).alias("first"))
+    return blocks.join(small_side(firsts, firsts.count()), ["part", "block"])
+
+
+def _documents(rows: Callable, kinds: list, names: list[str]):
+    """Decode each block's boundaries and turn it into rows of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row in b.to_pylist():
-                ef = EliasFano(len(row["doc_ids"]), row["low_bits"], row["low"], row["high"], row["samples"])
+            for i in range(len(b)):
+                part = {f: b[f][i].as_py() for f in b.schema.names}
+                ef = EliasFano(len(part["doc_ids"]), part["low_bits"], part["low"], part["high"], part["samples"])
                 ends = ef.values()
                 starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                size = row["width"]
-                cut = [row["ids"][s * size : e * size] for s, e in zip(starts, ends)]
-                first = base[row["part"]] + row["inner"]
-                columns = [
-                    pa.array(row["doc_ids"], pa.int64()),
-                    pa.array(first + starts, pa.int64()),
-                    pa.array(ends - starts, pa.int64()),
-                    pa.array([size] * len(cut), pa.int32()),
-                    pa.array(cut, pa.binary()),
-                ]
-                yield pa.record_batch(columns, ["doc_id", "start", "n_tokens", "width", "ids"])
+                columns = rows(part, starts, ends)
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return located.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, width int, ids binary")
+    return run
 
 
 def stored_tokens(docs: DataFrame, path: str, folder: str | None = None) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, read from a new store."""
     spark = docs.sparkSession
-    folder = write_store(docs, path, folder or shared_dir(spark, "token-store"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sums = [
-                zlib.crc32(np.frombuffer(ids, f"<u{w}").astype("<u4").tobytes())
-                for ids, w in zip(b["ids"].to_pylist(), b["width"].to_pylist())
-            ]
-            columns = [b["doc_id"], b["start"], b["n_tokens"], pa.array(sums, pa.int64())]
-            yield pa.record_batch(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return read_store(spark, folder).mapInArrow(
-        run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
-    )
+    return read_sums(spark, write_store(docs, path, folder or shared_dir(spark, "token-store")))

@@ -8,9 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-
 # Text bytes worked on at once: bounds the arrays built beside a batch.
-SLICE_BYTES = 1 << 23
+SLICE_BYTES = 1 << 22
 
 
 def small_batches(
