@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import bounded_batches, stored
+from tokenloom.llm.common import python_tasks, stored
 
 TABLES = 4
 PROBES = 200
@@ -260,7 +260,7 @@ def nearest(vectors: DataFrame, *, k: int = 20, query: Column | None = None) ->
     `vectors` has vec_id and embedding; `query` chooses the queries (default: vec_id divisible by 20).
     """
     query = F.col("vec_id") % 20 == 0 if query is None else query
-    bounded_batches(vectors.sparkSession)
+    python_tasks(vectors.sparkSession)
     given = vectors.select(
         F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector")
     ).filter(usable(F.col("vector")) & F.col("vec_id").isNotNull())

@@ -28,7 +28,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import bounded_batches
+from tokenloom.llm.common import python_tasks
 
 MEMO_WORDS = 1 << 18
 MEMO_LENGTH = 64
@@ -151,7 +151,7 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
 
 def digest_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document."""
-    bounded_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks_path, pattern)
@@ -169,7 +169,7 @@ def digest_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """(doc_id, ids) with the token ids as an int array."""
-    bounded_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks_path, pattern)
@@ -183,7 +183,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
 
 def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """(doc_id, data) with the bytes that the ids stand for."""
-    bounded_batches(encoded.sparkSession)
+    python_tasks(encoded.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks_path, pattern)

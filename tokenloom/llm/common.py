@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,16 +20,29 @@ MOST_PARTS = 1 << 12
 BROADCAST_ROWS = 1 << 20
 
 
+_SENT: set[str] = set()
 # Bytes of rows that Spark hands to a Python task at once.
 ARROW_BYTES = 4 << 20
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Keep the session's Arrow batches at ARROW_BYTES (or one longer row).
+def python_tasks(spark: SparkSession) -> None:
+    """Prepare the session for tasks that run this package's Python code.
 
-    Spark's own bound is 64 MB; its buffers on both sides of the pipe are a multiple of that.
+    Arrow batches are kept at ARROW_BYTES (or one longer row): Spark's own bound is 64 MB,
+    and its buffers on both sides of the pipe are a multiple of that. The package is sent to
+    the executors by Spark, once per application, so nothing must be installed there.
     """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    context = spark.sparkContext
+    package = Path(__file__).resolve().parents[1]
+    if context.applicationId in _SENT or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="tokenloom-")) / "tokenloom.zip"  # the driver serves it
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SENT.add(context.applicationId)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -82,10 +97,3 @@ def cut_points(df: DataFrame, key: str, parts: int, rows: int) -> list[tuple]:
 def part_of(cuts: list[tuple], key, salt) -> int:
     """Number of cuts at or below (key, salt); a null key goes first."""
     return 0 if key is None else bisect_right(cuts, (key, salt))
-
-
-def null_safe_equal(left: Sequence[Column], right: Sequence[Column]) -> Column:
-    out = F.lit(True)
-    for a, b in zip(left, right):
-        out = out & a.eqNullSafe(b)
-    return out

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import bounded_batches, small_side, stored
+from tokenloom.llm.common import python_tasks, small_side, stored
 from tokenloom.llm.components import connected_components
 from tokenloom.llm.shingles import shingle_sets
 from tokenloom.llm.words import small_batches
@@ -311,7 +311,7 @@ def link_documents(docs: DataFrame, *, threshold: int = THRESHOLD) -> DataFrame:
 
     component_id is the smallest doc_id that links reach; class_id is shared by equal sets.
     """
-    bounded_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     sized = stored(

@@ -29,7 +29,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import bounded_batches, stored, unsigned_share
+from tokenloom.llm.common import python_tasks, stored, unsigned_share
 from tokenloom.llm.words import RowMemo, mapped_bytes, small_batches, split_words
 
 # Bound of the fitting sample: labelled rows per language, in expectation.
@@ -225,7 +225,7 @@ def fit(
     Rows without a language are left out. What the driver holds is one number per piece and
     language; more than MOST_LANGUAGES languages are refused.
     """
-    bounded_batches(labelled.sparkSession)
+    python_tasks(labelled.sparkSession)
     known = labelled.filter(F.col("lang").isNotNull())
     per_lang = known.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
     if len(per_lang) > MOST_LANGUAGES:
@@ -272,7 +272,7 @@ def _expectation(words: DataFrame, vocabulary: str, number: dict, probs: np.ndar
 
 def predict(docs: DataFrame, vocabulary: str, langs: list[str], probs: np.ndarray) -> DataFrame:
     """`docs` with lang_pred and score; only the text is looked at."""
-    bounded_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(probs.astype(np.float32))
     schema = docs.select("*").schema.add("lang_pred", "string").add("score", "double")
 

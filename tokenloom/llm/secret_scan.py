@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import bounded_batches, path_exists, small_side, stored
+from tokenloom.llm.common import python_tasks, path_exists, small_side, stored
 from tokenloom.session import shared_dir
 
 # Fixed patterns and least lengths: kind, pattern, group whose length counts, least length.
@@ -89,7 +89,7 @@ def scan_versions(
 ) -> DataFrame:
     """(key, blob, findings) of every row of `versions`; new blobs are added to `folder`."""
     spark = versions.sparkSession
-    bounded_batches(spark)
+    python_tasks(spark)
     addressed = versions.select(F.col(key).alias("id"), blob_of(F.col(text)).alias("blob"))
     addressed = stored(addressed, "blobs")
     firsts = addressed.groupBy("blob").agg(F.min("id").alias("first"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import bounded_batches, cut_points, part_of, parts_for
+from tokenloom.llm.common import python_tasks, cut_points, part_of, parts_for
 
 # Fixed rules of the registered query: host, path, verdict.
 RULES = [
@@ -161,7 +161,7 @@ def judge_urls(
     `rules` has host, path and verdict. `id_column` is a 64-bit integer.
     """
     spark = pages.sparkSession
-    bounded_batches(spark)
+    python_tasks(spark)
     parsed = pages.select(
         F.col(id_column).cast("bigint").alias("row"),
         url_host(F.col(url)).alias("host"),
