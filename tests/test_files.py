@@ -16,8 +16,8 @@ from tokenloom.sinks.files import save_csv, save_parquet
 from tokenloom.sinks.metrics import append_metrics, save_checkpoints
 from tokenloom.sinks.paths import output_path
 from tokenloom.sinks.tokens import write_chunks, write_token_files, write_vocab
-from tokenloom.sources.archives import list_members, read_members, unzip_files
-from tokenloom.sources.csv import read_csv
+from tokenloom.sources.archives import _runs, list_members, read_members, unzip_files
+from tokenloom.sources.csv import count_extra_fields, read_csv
 from tokenloom.sources.files import list_files
 from tokenloom.sources.parquet import read_each_parquet, read_parquets
 from tokenloom.sources.ranged_text import read_ranged
@@ -201,7 +201,7 @@ def test_token_files_and_chunks(spark, tmp_path):
             for s in ("train", "val") for i in range(100)]
     chunks = spark.createDataFrame(rows, schemas.TOKEN_CHUNKS)
     stored = read_chunks(spark, write_chunks(chunks, str(tmp_path / "chunks")))
-    folder = write_token_files(stored, str(tmp_path / "bin"))
+    folder = write_token_files(stored, str(tmp_path / "bin"), chunk_size=10)
     for split in ("train", "val"):
         names = sorted(os.listdir(tmp_path / "bin" / split))
         raw = b"".join((tmp_path / "bin" / split / n).read_bytes() for n in names)
@@ -213,7 +213,89 @@ def test_token_files_and_chunks(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(split" in plan
     bad = spark.createDataFrame([("train", 0, [65536])], schemas.TOKEN_CHUNKS)
     with pytest.raises(Exception, match="16 bits"):
-        write_token_files(bad, str(tmp_path / "bad"))
+        write_token_files(bad, str(tmp_path / "bad"), chunk_size=1)
+
+
+def test_token_stream_with_a_gap_is_refused(spark, tmp_path):
+    rows = [("train", i, [i] * 10) for i in range(20)]
+    chunks = spark.createDataFrame(rows, schemas.TOKEN_CHUNKS)
+    parts = chunks.filter("chunk_id < 10"), chunks.filter("chunk_id >= 15")
+    for number, part in enumerate(parts):
+        write_token_files(part, str(tmp_path / str(number)), chunk_size=10)
+    target = tmp_path / "0" / "train"
+    for name in os.listdir(tmp_path / "1" / "train"):
+        if name.endswith(".bin"):
+            (target / name).write_bytes((tmp_path / "1" / "train" / name).read_bytes())
+    with pytest.raises(Exception, match="should start at id 100"):
+        read_token_file(spark, str(target), chunk_size=10).collect()
+    with pytest.raises(FileExistsError):
+        write_token_files(chunks, str(tmp_path / "0"), chunk_size=10)
+
+
+def test_csv_headers_in_different_orders(spark, tmp_path):
+    put(tmp_path / "a.csv", "x,y\n1,2\n")
+    put(tmp_path / "b.csv", "y,x\n3,30\n")
+    rows = read_csv(spark, str(tmp_path), ["x", "y"])
+    assert rows.columns == ["x", "y"]
+    assert sorted(map(tuple, rows.collect())) == [(1, 2), (30, 3)]
+    put(tmp_path / "c.csv", "x,z\n1,2\n")
+    with pytest.raises(ValueError, match="other columns"):
+        read_csv(spark, str(tmp_path), ["x"])
+
+
+def test_csv_integers_with_gaps_stay_integers(spark, tmp_path):
+    path = put(tmp_path / "g.csv", "k,n\na,9007199254740993\nb,\nc,NA\n")
+    rows = read_csv(spark, path, ["k", "n"])
+    assert dict(rows.dtypes)["n"] == "bigint"
+    assert {r["k"]: r["n"] for r in rows.collect()} == {"a": 9007199254740993, "b": None, "c": None}
+
+
+def test_csv_fields_beyond_the_header(spark, tmp_path):
+    path = put(tmp_path / "e.csv", "x,y\n1,10\n2,20,99\n3\n")
+    rows = read_csv(spark, path, ["x", "y"]).orderBy("x").collect()
+    assert [tuple(r) for r in rows] == [(1, 10), (2, 20), (3, None)]
+    with pytest.raises(Exception, match="more fields than its header"):
+        read_csv(spark, path, ["x", "y"], extra_fields="fail").collect()
+    assert [r["rows"] for r in count_extra_fields(spark, path).collect()] == [1]
+
+
+def test_zip_names_that_meet_are_refused(spark, tmp_path):
+    path = make_zip(tmp_path / "in" / "x.zip", [("d/b.csv", b"1"), ("d/./b.csv", b"2")])
+    with pytest.raises(ValueError, match="are named 'd/b.csv'"):
+        unzip_files(spark, path, str(tmp_path / "out"))
+
+
+def test_zip_members_are_divided_by_bytes(spark, tmp_path):
+    assert _runs([1, 2, 3]) == [0, 0, 0]
+    big = 1 << 27
+    assert _runs([5, big, 7, 8, big, big]) == [0, 1, 2, 2, 3, 4]
+    for k in range(8):
+        make_zip(tmp_path / "in" / f"{k}.zip", [(f"{i}.txt", b"x") for i in range(60)])
+    parts = read_members(spark, str(tmp_path / "in" / "*.zip"))
+    tasks = parts.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts.count() == 480 and tasks > 3
+
+
+def test_text_without_line_ends_is_cut_in_bounded_pieces(spark, tmp_path):
+    text = "é" * 40_000 + "\n" + "plain words " * 3000 + "x" * 50_000
+    path = put(tmp_path / "long.txt", text.encode())
+    files = [(path, len(text.encode()))]
+    for size in (3000, 16_000, 1 << 20):
+        rows = read_ranged(spark, files, unit="piece", range_bytes=size, piece_bytes=1000).collect()
+        rows.sort(key=lambda r: r["byte_offset"])
+        assert "".join(r["text"] for r in rows) == text
+        assert max(len(r["text"].encode()) for r in rows) <= 10_000
+        if size == 3000:
+            first = [r["byte_offset"] for r in rows]
+    again = read_ranged(spark, files, unit="piece", range_bytes=8000, piece_bytes=1000).collect()
+    assert max(len(r["text"].encode()) for r in again) <= 10_000 and first[0] == 0
+
+
+def test_bad_bytes_are_an_error_in_files_of_any_size(spark, tmp_path):
+    path = put(tmp_path / "bad.txt", b"good\n\xff\xfe bad\n")
+    for limit in (1, 1 << 20):
+        with pytest.raises(Exception):
+            read_text(spark, path, whole_file_bytes=limit).collect()
 
 
 def test_vocab_and_ranks(spark, tmp_path):

@@ -9,8 +9,10 @@ import uuid
 import zipfile
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tokenloom.catalog.corpus import (
     BLOCK_SIZE,
@@ -59,6 +61,58 @@ def csv_quoted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, ["doc_id", "text"])
 
 
+@query(
+    "csv_mixed_headers",
+    "SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey, c_acctbal FROM customer",
+)
+def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two files whose headers name the same columns in different orders."""
+    columns = ["c_custkey", "c_name", "c_nationkey", "c_acctbal"]
+    customer = table(spark, sf_dir, "customer").select(*columns)
+    folder = shared_dir(spark, "csv")
+    even = F.col("c_custkey") % 2 == 0
+    paths = [
+        save_csv(customer.filter(even), folder, "even", timestamp=False),
+        save_csv(customer.filter(~even).select(*columns[::-1]), folder, "odd", timestamp=False),
+    ]
+    return read_csv(spark, [join(p, "*.csv") for p in paths], columns)
+
+
+# Characters that Shift-JIS has and that are not valid UTF-8 when written in it.
+JAPANESE_SQL = """
+SELECT c_custkey, '顧客' || c_name AS name, {note} AS note, c_acctbal FROM customer"""
+
+
+@F.arrow_udf(T.StringType())
+def shift_jis_bytes(texts: pa.Array) -> pa.Array:
+    """A character for each byte of the text in Shift-JIS."""
+    return pa.array([t.encode("shift_jis").decode("latin-1") for t in texts.to_pylist()], pa.string())
+
+
+def japanese_customers(spark: SparkSession, sf_dir: str, note: Column) -> DataFrame:
+    """Customers written to Shift-JIS files and read back."""
+    customer = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        shift_jis_bytes(F.concat(F.lit("顧客"), "c_name")).alias("name"),
+        shift_jis_bytes(note).alias("note"),
+        "c_acctbal",
+    )
+    path = shared_dir(spark, "shift-jis")
+    customer.write.options(header=True, quoteAll=True, escape='"', encoding="ISO-8859-1").csv(path)
+    return read_csv(spark, join(path, "*.csv"), ["c_custkey", "name", "note", "c_acctbal"])
+
+
+@query("csv_shift_jis", JAPANESE_SQL.format(note="c_mktsegment || '表'"))
+def csv_shift_jis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return japanese_customers(spark, sf_dir, F.concat("c_mktsegment", F.lit("表")))
+
+
+@query("csv_shift_jis_quoted", JAPANESE_SQL.format(note="c_mktsegment || chr(10) || '\"表\"'"))
+def csv_shift_jis_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With line breaks and quotes inside the fields."""
+    return japanese_customers(spark, sf_dir, F.concat("c_mktsegment", F.lit('\n"表"')))
+
+
 @query(
     "parquet_glob",
     """
@@ -154,7 +208,9 @@ def zip_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def token_file_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = write_chunks(char_chunks(spark, sf_dir), shared_dir(spark, "chunks"))
-    folder = write_token_files(read_chunks(spark, stored), shared_dir(spark, "tokens"))
+    folder = write_token_files(
+        read_chunks(spark, stored), shared_dir(spark, "tokens"), chunk_size=BLOCK_SIZE
+    )
     return read_token_dataset(spark, folder, chunk_size=BLOCK_SIZE)
 
 

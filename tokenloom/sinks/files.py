@@ -9,12 +9,6 @@ from pyspark.sql import types as T
 from tokenloom.sinks.paths import output_path
 
 
-def save_text(corpus: DataFrame, path: str) -> str:
-    """Write (doc_id, text) so that it can be read back in order."""
-    corpus.write.parquet(path)
-    return path
-
-
 def export_text(corpus: DataFrame, path: str) -> str:
     """Write the bare text, in `doc_id` order over the sorted file names."""
     corpus.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select("text").write.option(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.sources.files import join
+from tokenloom.sources.files import join, refuse_existing
 from tokenloom.sources.token_files import TokenFileSource
 
 
@@ -24,17 +24,20 @@ def write_chunks(chunks: DataFrame, path: str) -> str:
     return path
 
 
-def write_token_files(chunks: DataFrame, folder: str) -> str:
+def write_token_files(chunks: DataFrame, folder: str, *, chunk_size: int) -> str:
     """Flat 16-bit files below `folder/<split>/`; sorted by name they hold the stream.
 
-    `chunks` should be a stored table: it is read once per split.
+    `chunks` should be a stored table: it is read once per split. A folder that already
+    holds files is refused, for files of another division would stay in the stream.
     """
     chunks.sparkSession.dataSource.register(TokenFileSource)
     for split in ("train", "val"):
+        target = join(folder, split)
+        refuse_existing(target)
         part = chunks.filter(F.col("split") == split).select("chunk_id", "tokens")
         part.repartitionByRange("chunk_id").sortWithinPartitions("chunk_id").write.format(
             "token_file"
-        ).option("path", join(folder, split)).mode("append").save()
+        ).option("path", target).option("chunk_size", str(chunk_size)).mode("append").save()
     return folder
 
 

@@ -16,15 +16,35 @@ from tokenloom.sources.files import join, publish, resolve
 
 PART_BYTES = 8 << 20
 ROWS_PER_FRAME = 1000
-# Neighbouring members that stay together, so that not every task opens every archive.
-MEMBERS_PER_RUN = 16
+# Neighbouring members stay together up to this size, so that not every task opens every
+# archive; a larger member is a run of its own. Opening a member counts as so many bytes.
+RUN_BYTES = 64 << 20
+MEMBER_BYTES = 1 << 20
+LEAST_TASKS = 16
 
 _MEMBERS = "zip_path string, ordinal int, member string, n_bytes bigint"
+_LISTED = _MEMBERS + ", name string, run int, weight bigint"
 
 
 def list_members(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(zip_path, ordinal, member, n_bytes) of every archive entry. Only the archives'
     directories are read."""
+    return _listed(spark, paths).select("zip_path", "ordinal", "member", "n_bytes")
+
+
+def _runs(weights: list[int]) -> list[int]:
+    """A run number per member: neighbours up to RUN_BYTES together, larger ones alone."""
+    runs, number, held = [], 0, 0
+    for weight in weights:
+        if held and held + weight > RUN_BYTES:
+            number, held = number + 1, 0
+        runs.append(number)
+        held += weight
+    return runs
+
+
+def _listed(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The entries with their normalised name, run and weight."""
 
     def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -32,12 +52,16 @@ def list_members(spark: SparkSession, paths: str | list[str]) -> DataFrame:
                 filesystem, name = resolve(path)
                 with filesystem.open_input_file(name) as file, zipfile.ZipFile(file) as archive:
                     infos = archive.infolist()
+                weights = [info.file_size + MEMBER_BYTES for info in infos]
                 yield pd.DataFrame(
                     {
                         "zip_path": path,
                         "ordinal": range(len(infos)),
                         "member": [info.filename for info in infos],
                         "n_bytes": [info.file_size for info in infos],
+                        "name": [posixpath.normpath(info.filename) for info in infos],
+                        "run": _runs(weights),
+                        "weight": weights,
                     }
                 )
 
@@ -46,7 +70,7 @@ def list_members(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         .load(paths)
         .select(F.col("_metadata.file_path").alias("zip_path"))
     )
-    return archives.mapInPandas(entries, _MEMBERS)
+    return archives.mapInPandas(entries, _LISTED)
 
 
 def read_members(
@@ -75,7 +99,7 @@ def read_members(
         if ready:
             yield pd.DataFrame(ready, columns=columns)
 
-    return _spread(list_members(spark, paths)).mapInPandas(
+    return _spread(_listed(spark, paths)).mapInPandas(
         contents, "zip_path string, ordinal int, member string, part int, content binary"
     )
 
@@ -86,10 +110,12 @@ def unzip_files(spark: SparkSession, paths: str | list[str], dir_save: str) -> D
     Two entries with one name, or a name that leaves `dir_save`, fail the job. A file
     appears under its final name only when complete, so lost tasks may be repeated.
     """
-    members = list_members(spark, paths).filter(~F.col("member").endswith("/"))
-    clash = members.groupBy("member").count().filter("count > 1").first()
+    members = _listed(spark, paths).filter(~F.col("member").endswith("/"))
+    clash = members.groupBy("name").count().filter("count > 1").first()
     if clash is not None:
-        raise ValueError(f"{clash['count']} archive entries are named {clash['member']!r}")
+        raise ValueError(f"{clash['count']} archive entries are named {clash['name']!r}")
+
+    columns = ["zip_path", "ordinal", "member", "n_bytes"]
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         filesystem, root = resolve(dir_save)
@@ -105,12 +131,12 @@ def unzip_files(spark: SparkSession, paths: str | list[str], dir_save: str) -> D
                 while block := stream.read(PART_BYTES):
                     out.write(block)
             publish(filesystem, temporary, final)
-            written.append(row)
+            written.append(row[:4])
             if len(written) >= ROWS_PER_FRAME:
-                yield pd.DataFrame(written)
+                yield pd.DataFrame(written, columns=columns)
                 written = []
         if written:
-            yield pd.DataFrame(written)
+            yield pd.DataFrame(written, columns=columns)
 
     listing = shared_dir(spark, "unzipped")
     _spread(members).mapInPandas(extract, _MEMBERS).write.parquet(listing)
@@ -118,8 +144,11 @@ def unzip_files(spark: SparkSession, paths: str | list[str], dir_save: str) -> D
 
 
 def _spread(members: DataFrame) -> DataFrame:
-    run = F.floor(F.col("ordinal") / MEMBERS_PER_RUN)
-    return members.repartition("zip_path", run)
+    """Runs over a number of tasks that follows from the bytes; it is given, so adaptive
+    execution does not merge what is a small table of names but much work."""
+    total = members.agg(F.sum("weight")).first()[0] or 0
+    tasks = max(-(-total // RUN_BYTES), min(total // MEMBER_BYTES, LEAST_TASKS), 1)
+    return members.repartition(tasks, "zip_path", "run")
 
 
 def _opened(batches: Iterator[pd.DataFrame]):

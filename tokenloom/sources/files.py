@@ -36,5 +36,18 @@ def list_files(spark: SparkSession, paths: str | list[str]) -> list[tuple[str, i
 
 
 def publish(filesystem: fs.FileSystem, temporary: str, final: str) -> None:
-    """Put a finished file in place; repeating it after a retry is harmless."""
+    """Put a finished file in place; repeating it after a retry is harmless.
+
+    Some file systems do not rename onto an existing file, so what an earlier attempt left
+    there is removed first.
+    """
+    if filesystem.get_file_info(final).type == fs.FileType.File:
+        filesystem.delete_file(final)
     filesystem.move(temporary, final)
+
+
+def refuse_existing(folder: str) -> None:
+    """An error if the folder holds anything."""
+    filesystem, path = resolve(folder)
+    if filesystem.get_file_info(fs.FileSelector(path, allow_not_found=True)):
+        raise FileExistsError(f"{folder} is not empty")

@@ -2,7 +2,9 @@
 
 Spark's text reader gives whole files (at most 2 GB each) or lines without any order.
 This one plans one task per byte range and emits (path, byte_offset, text), either
-line by line or in pieces that may be tokenised on their own.
+line by line or in pieces that may be tokenised on their own. A stretch of FORCED pieces
+without any place for such a cut is cut at the next character, so that no row, and no
+reading past a range, is unbounded.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from tokenloom.sources.files import resolve
 
 READ_BYTES = 4 << 20
+# A forced cut ends every stretch of so many pieces that has no other.
+FORCED = 8
 # Bytes kept before a position, enough for the character and the line break around it.
 CONTEXT = 8
 
@@ -79,15 +83,18 @@ class RangedTextReader(DataSourceReader):
         or after `stop`; neighbouring ranges meet at the same cut."""
         filesystem, path = resolve(part.path)
         minimum = 1 if self.unit == "line" else self.piece_bytes
-        base = max(part.start - CONTEXT, 0)
+        stretches = _Stretches(self.piece_bytes * FORCED, part.start) if self.unit == "piece" else None
+        base = max((stretches.begin if stretches else part.start) - CONTEXT, 0)
         begin = 0 if part.start == 0 else None
         buffer, scanned = bytearray(), 0
         with filesystem.open_input_file(path) as file:
             file.seek(base)
             while block := file.read(READ_BYTES):
                 buffer += block
-                for cut in self._cuts(buffer, scanned):
-                    at = base + cut
+                cuts = (base + cut for cut in self._cuts(buffer, scanned))
+                if stretches:
+                    cuts = stretches.with_forced(cuts, buffer, base)
+                for at in cuts:
                     if at < part.start or at == 0:
                         continue
                     if begin is None:
@@ -95,7 +102,7 @@ class RangedTextReader(DataSourceReader):
                             return
                         begin = at
                     elif at >= part.stop or at - begin >= minimum:
-                        yield begin, bytes(buffer[begin - base : cut])
+                        yield begin, bytes(buffer[begin - base : at - base])
                         if at >= part.stop:
                             return
                         begin = at
@@ -121,6 +128,38 @@ class RangedTextReader(DataSourceReader):
             yield cut
 
 
+class _Stretches:
+    """Fixed stretches of a file; one without a cut of its own ends in a forced one.
+
+    Stretches lie at multiples of their size, so every range that looks at one agrees on it.
+    A range begins with the stretch that holds the byte before it.
+    """
+
+    def __init__(self, size: int, start: int):
+        self.size = size
+        self.begin = max(start - 1, 0) // size * size
+        self.cut_inside = False
+
+    def with_forced(self, cuts: Iterator[int], buffer: bytearray, base: int) -> Iterator[int]:
+        """The cuts and the forced ones in order, as far as no later byte can change them."""
+        for at in cuts:
+            yield from self._ended(at - 1, buffer, base)
+            self.cut_inside |= at > self.begin
+            yield at
+        yield from self._ended(base + len(buffer) - CONTEXT, buffer, base)
+
+    def _ended(self, position: int, buffer: bytearray, base: int) -> Iterator[int]:
+        """Forced cuts of the stretches that end at or before `position`."""
+        while self.begin + self.size <= position:
+            self.begin += self.size
+            if not self.cut_inside:
+                at = self.begin
+                while at - base < len(buffer) and buffer[at - base] & 0xC0 == 0x80:
+                    at += 1
+                yield at
+            self.cut_inside = False
+
+
 def read_ranged(
     spark: SparkSession, files: list[tuple[str, int]], *, unit: str, **options: object
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from tokenloom.sources.files import list_files
 from tokenloom.sources.ranged_text import read_ranged
 
 # Files up to this size become one row each; larger ones are read by byte range.
-WHOLE_FILE_BYTES = 256 << 20
+WHOLE_FILE_BYTES = 16 << 20
 # About 200 bytes each.
 BROADCAST_FILES = 100_000
 
@@ -26,7 +26,8 @@ def read_text(
     """(doc_id, text) of UTF-8 text files, with `\\r\\n` and `\\r` read as `\\n`.
 
     `doc_id` follows the sorted file names and, inside a large file, the byte offset,
-    so it orders the corpus as if the files were one after another.
+    so it orders the corpus as if the files were one after another. A byte that is not
+    valid UTF-8 is an error in files of any size.
     """
     files = list_files(spark, paths)
     bits = max((length for _, length in files), default=0).bit_length()
@@ -42,7 +43,7 @@ def read_text(
             spark.read.text(small, wholetext=True).select(
                 F.col("_metadata.file_path").alias("path"),
                 F.lit(0).cast("bigint").alias("byte_offset"),
-                F.col("value").alias("text"),
+                F.validate_utf8("value").alias("text"),
             )
         )
     if large:

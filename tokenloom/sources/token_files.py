@@ -1,12 +1,16 @@
 """Token ids in flat little-endian unsigned 16-bit files, as a data source.
 
-A token stream is one file, or a folder of files whose names sort in stream order.
+A token stream is one file, or a folder of files each named by the position of its first
+id in the stream. A missing or repeated file is an error, not a shorter stream.
 """
 
 from __future__ import annotations
 
+import posixpath
 import uuid
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +31,7 @@ from tokenloom.sources.files import join, publish, resolve
 SUFFIX = ".bin"
 ID_BYTES = 2
 BATCH_IDS = 1 << 20
+RENAMES_AT_ONCE = 32
 
 
 @dataclass
@@ -81,12 +86,17 @@ class TokenFileReader(DataSourceReader):
         for entry in found:
             if entry.size % ID_BYTES:
                 raise ValueError(f"{entry.path} does not hold whole 16-bit ids")
+            if info.type == fs.FileType.Directory:
+                position = int(posixpath.basename(entry.path).removesuffix(SUFFIX))
+                if position != total:
+                    raise ValueError(f"{entry.path} should start at id {total} of the stream")
             files.append((entry.path, total, entry.size // ID_BYTES))
             total += entry.size // ID_BYTES
+        firsts = [first for _, first, _ in files]
         ranges = []
         for start in range(0, total, self.range_ids):
             stop = min(start + self.range_ids, total)
-            inside = [f for f in files if f[1] < stop and f[1] + f[2] > start]
+            inside = files[bisect_right(firsts, start) - 1 : bisect_left(firsts, stop)]
             ranges.append(TokenRange(start // self.chunk_size, start, stop, inside))
         return ranges
 
@@ -117,11 +127,12 @@ def _read_ids(
 
 
 class TokenFileWriter(DataSourceArrowWriter):
-    """Each run of consecutive chunks in a task becomes one file, named by its first
-    chunk. Files are written under temporary names and put in place at commit."""
+    """Each run of consecutive chunks in a task becomes one file, named by the position of
+    its first id. Files are written under temporary names and put in place at commit."""
 
     def __init__(self, options):
         self.path = options["path"]
+        self.chunk_size = int(options["chunk_size"])
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WrittenFiles:
         filesystem, root = resolve(self.path)
@@ -144,7 +155,7 @@ class TokenFileWriter(DataSourceArrowWriter):
                     if out is None or chunk_ids[low] != expected:
                         if out is not None:
                             out.close()
-                        name = f"{int(chunk_ids[low]):015d}{SUFFIX}"
+                        name = f"{int(chunk_ids[low]) * self.chunk_size:018d}{SUFFIX}"
                         temporary = join(root, f"_{name}.{uuid.uuid4().hex}")
                         moves.append((temporary, join(root, name)))
                         out = filesystem.open_output_stream(temporary)
@@ -158,9 +169,11 @@ class TokenFileWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list[WrittenFiles | None]) -> None:
         filesystem, _ = resolve(self.path)
-        for message in messages:
-            for temporary, final in message.moves if message else ():
-                publish(filesystem, temporary, final)
+        moves = [move for message in messages if message for move in message.moves]
+        # Renames wait for the file system, not for the driver's processor.
+        with ThreadPoolExecutor(RENAMES_AT_ONCE) as pool:
+            for done in [pool.submit(publish, filesystem, *move) for move in moves]:
+                done.result()
 
     def abort(self, messages: list[WrittenFiles | None]) -> None:
         filesystem, _ = resolve(self.path)
