@@ -161,7 +161,7 @@ def test_moving_average(spark):
 
 
 def test_moving_average_of_a_long_run(spark):
-    # More than two groups of 4,096 counted rows in one run, next to a short run.
+    # Many groups of rows in one run, next to a short run.
     rng = random.Random(1)
     values = [rng.random() * 10 for _ in range(13_000)]
     values[6000:12000] = [v * 1e-6 for v in values[6000:12000]]
@@ -176,6 +176,16 @@ def test_moving_average_of_a_long_run(spark):
         assert got["short", 4] == -1.0 and got["short", 8] == pytest.approx(1.0)
 
 
+def test_moving_average_of_large_values_and_gaps(spark):
+    values = [1e130 if i % 7 else None for i in range(3000)] + [1e-3] * 3000
+    rows = [("r", i * 2, v) for i, v in enumerate(values) if not 700 <= i < 1500]
+    log = spark.createDataFrame(rows, "run_id string, iter bigint, mfu double")
+    got = {r["iter"]: r["running"] for r in moving_average(log, log_interval=2, first_iter=20).collect()}
+    want = average([(i, v) for _, i, v in rows], 2, settle=25)
+    assert len(got) == len(want)
+    assert all(got[i] == pytest.approx(v, rel=1e-12) for i, v in want.items())
+
+
 def timed_log(spark, n_runs=5, length=40):
     rng = random.Random(9)
     start, rows = datetime.datetime(2024, 1, 1), []

@@ -25,6 +25,7 @@ from tokenloom.operators.runlog import (
     running_best,
     step_seconds,
 )
+from tokenloom.plans.report import step_report
 from tokenloom.session import shared_dir
 from tokenloom.sinks.metrics import append_metrics
 
@@ -209,6 +210,59 @@ def last_microstep(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Runs are the ten account groups; a run's configuration follows from its number.
+REPORT_SQL = """
+WITH steps AS (
+  SELECT (l_suppkey % 10)::VARCHAR AS run_id, l_orderkey AS iter, l_linenumber AS microstep,
+         l_quantity AS loss, l_partkey, l_suppkey,
+         epoch_us(TIMESTAMP '2024-01-01') + l_orderkey * 1000000 + l_linenumber AS at
+  FROM lineitem
+), last AS (
+  SELECT run_id, iter, max(at) AS at,
+         arg_max(loss, {'a': microstep, 'b': l_partkey, 'c': l_suppkey, 'd': loss}) AS loss
+  FROM steps GROUP BY run_id, iter
+), timed AS (
+  SELECT *, (at - lag(at) OVER (PARTITION BY run_id ORDER BY iter)) / 1e6::DOUBLE AS seconds,
+         run_id::INTEGER + 2 AS batch FROM last
+)
+SELECT run_id, iter, loss, seconds, round(CASE
+    WHEN iter < 100 THEN 0.001::DOUBLE * iter / 100
+    WHEN iter > 5000 THEN 0.0001::DOUBLE
+    ELSE 0.0001::DOUBLE + 0.5::DOUBLE * (1 + cos(pi() * ((iter - 100)::DOUBLE / 4900)))
+         * (0.001::DOUBLE - 0.0001::DOUBLE) END, 9) AS lr,
+  round(CASE WHEN seconds > 0 THEN
+    (6 * 29964288.0::DOUBLE + 12 * 6 * 6 * 64 * 256.0::DOUBLE) * 256 * (batch * 5) / seconds / 6.832e12
+    END, 9) AS mfu
+FROM timed"""
+
+
+@query("step_report", REPORT_SQL)
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-steps joined with one configuration row per run."""
+    micros = F.unix_micros(F.lit("2024-01-01").cast("timestamp"))
+    at = micros + F.col("l_orderkey") * 1_000_000 + F.col("l_linenumber")
+    steps = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_suppkey") % 10).cast("string").alias("run_id"),
+        F.col("l_orderkey").alias("iter"),
+        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity").alias("microstep"),
+        F.timestamp_micros(at).alias("ts"),
+        F.col("l_quantity").alias("loss"),
+    )
+    path = shared_dir(spark, "steps")
+    steps.write.parquet(path)
+    steps = spark.read.parquet(path)
+    fixed = {"vocab_size": 50304, "n_layers": 6, "n_head": 6, "n_embed": 384, "block_size": 256, "bias": True}
+    fixed |= {"warmup_iters": 100, "lr_decay_iters": 5000, "learning_rate": 0.001, "min_lr": 0.0001}
+    configs = steps.select("run_id").distinct().select(
+        "run_id",
+        (F.col("run_id").cast("int") + 2).alias("batch_size"),
+        F.lit(ACCUMULATION).alias("gradient_accumulation_steps"),
+        *[F.lit(value).alias(key) for key, value in fixed.items()],
+    )
+    report = step_report(steps, configs)
+    return report.withColumn("lr", F.round("lr", 9)).withColumn("mfu", F.round("mfu", 9))
+
+
 @query(
     "every_n",
     LOG_SQL

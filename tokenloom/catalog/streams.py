@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from tokenloom.catalog.registry import query
 from tokenloom.catalog.runlog import (
@@ -23,8 +26,11 @@ from tokenloom.streaming.sinks import latest_rows, start_batches
 REPLAYS = 3
 
 
-def replayed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log as a stream that delivers one of REPLAYS time slices per micro-batch."""
+def replay(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Run a stream over the log, which arrives in REPLAYS time slices.
+
+    `start` starts the query on one checkpoint; each run takes what has arrived since.
+    """
     path = shared_dir(spark, "replay")
     log = eval_log(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
     log = log.withColumn("run_id", F.col("run_id").cast("string"))
@@ -33,8 +39,8 @@ def replayed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in range(REPLAYS):
         begin = low + part * width
         slice_ = F.unix_micros("ts").between(begin, begin + width - 1)
-        log.filter(slice_).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        log.filter(slice_).write.mode("append").parquet(path)
+        start(spark.readStream.schema(log.schema).parquet(path)).awaitTermination()
 
 
 @query(
@@ -46,9 +52,8 @@ SELECT run_id::VARCHAR AS run_id, min(val_loss) AS best_val_loss,
 FROM log GROUP BY run_id""",
 )
 def stream_run_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = shared_dir(spark, "best")
-    best = live_best(replayed_log(spark, sf_dir))
-    start_batches(best, out, shared_dir(spark, "best-state"), mode="update").awaitTermination()
+    out, state = shared_dir(spark, "best"), shared_dir(spark, "best-state")
+    replay(spark, sf_dir, lambda log: start_batches(live_best(log), out, state, mode="update"))
     return latest_rows(spark, out, "run_id")
 
 
@@ -73,12 +78,15 @@ SELECT run_id::VARCHAR AS run_id, iter, val_loss, least(best, val_loss) AS best_
 FROM prior JOIN used USING (run_id, iter) JOIN folded USING (run_id, iter)""",
 )
 def stream_ema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = shared_dir(spark, "tracking")
+    out, state = shared_dir(spark, "tracking"), shared_dir(spark, "tracking-state")
     one_second = model_flops_utilisation(
         F.lit(1.0), parameters=parameter_count(**MODEL), passes=PASSES, **SHAPE
     )
-    log = replayed_log(spark, sf_dir).withColumn("work", one_second * 1000)
-    tracked = live_tracking(log, log_interval=LOG_INTERVAL)
-    start_batches(tracked, out, shared_dir(spark, "tracking-state"), mode="append").awaitTermination()
-    rows = spark.read.parquet(out).drop("batch_id")
+
+    def start(log: DataFrame) -> StreamingQuery:
+        tracked = live_tracking(log.withColumn("work", one_second * 1000), log_interval=LOG_INTERVAL)
+        return start_batches(tracked, out, state, mode="append")
+
+    replay(spark, sf_dir, start)
+    rows = spark.read.parquet(out).drop("batch_id", "rejected")
     return rows.withColumn("mfu", F.round("mfu", 6)).withColumn("running", F.round("running", 6))

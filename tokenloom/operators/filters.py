@@ -33,8 +33,3 @@ def until_last(iteration: Column, max_iters: int) -> Column:
 def quick_test(log: DataFrame) -> DataFrame:
     """Only the evaluation at iteration 0."""
     return log.filter(F.col("iter") == 0)
-
-
-def counted_targets(target: Column, ignore: int = -1) -> Column:
-    """Targets that enter a mean."""
-    return target != ignore

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.operators.prefix import NARROW_FANOUT, exclusive_prefix
+from tokenloom.operators.prefix import NARROW_FANOUT, exclusive_prefix, key_bounds
 
 # The best loss before any evaluation, the moving average before it starts,
 # its weights, and the iterations it waits for.
@@ -19,8 +19,8 @@ NO_AVERAGE = -1.0
 KEEP, TAKE = 0.9, 0.1
 SETTLE_ITERS = 5
 
-# Rows of one moving-average group: 0.9^-4096 still fits a double, 0.9^8192 is zero in one.
-GROUP_ROWS = 1 << 12
+# Logged iterations of one moving-average group.
+GROUP_ROWS = 1 << 8
 
 Bounds = tuple[int, int] | None
 
@@ -134,17 +134,16 @@ def moving_average(
 ) -> DataFrame:
     """(run_id, iter, <value>, running): the average on logged iterations.
 
-    It is seeded with the first value, then 0.9 old + 0.1 new. Iterations before
-    `first_iter + settle` show -1. A null value leaves the average alone and shows null.
+    It is seeded with the first value, then 0.9 old + 0.1 new; -1 before that. Iterations before
+    `first_iter + settle` and null values leave it as it is.
 
-    The n-th average of a run is a sum of its values weighted by 0.9^(n - i), so it needs
-    no row-by-row loop: counted rows are numbered and cut into groups of GROUP_ROWS, a
-    window inside each group gives the sum so far, and the sums of the two groups before
-    complete it. Older groups would weigh 0.9^(2 * GROUP_ROWS), which is zero in a double.
+    Every row is a step e -> keep * e + add. Steps of a group of GROUP_ROWS logged iterations
+    are composed into one such step, groups are scanned the same way, and each group then
+    applies its rows to what it starts with. So nothing is cut off, no power of 0.9 is
+    divided by, and a group is all that a task holds of a run.
     """
     logged = log.filter(F.col("iter") % log_interval == 0).select("run_id", "iter", value)
-    settled = F.col("iter") >= first_iter + settle
-    counted = settled & F.col(value).isNotNull()
+    counted = (F.col("iter") >= first_iter + settle) & F.col(value).isNotNull()
     numbered = exclusive_prefix(
         logged.withColumn("__one", counted.cast("bigint")),
         partition=["run_id"],
@@ -154,57 +153,65 @@ def moving_average(
         out="__n",
         fanout=fanout,
         bounds=bounds,
-    ).withColumn("__n", F.coalesce("__n", F.lit(0).cast("bigint")))
-
-    shift = GROUP_ROWS.bit_length() - 1
-    n = F.col("__n")
-    # Rows that do not count only need a group of bounded size.
-    group = F.when(counted, F.shiftright(n, shift)).otherwise(-1 - F.shiftright("iter", shift))
-    power = n.bitwiseAND(F.lit(GROUP_ROWS - 1)) + 1
-    weight = F.when(n == 0, F.lit(1.0)).otherwise(F.lit(TAKE))
-    keep = F.pow(F.lit(KEEP), power)
-    rows = numbered.select(
+    )
+    first = F.coalesce("__n", F.lit(0)) == 0
+    steps = numbered.select(
         "run_id",
-        "iter",
-        value,
-        group.alias("__group"),
-        keep.alias("__keep"),
-        F.when(counted, weight * F.col(value) / keep).alias("__part"),
-        F.lit(False).alias("__first"),
+        (F.col("iter") / log_interval).cast("bigint").alias("pos"),
+        F.when(~counted, 1.0).when(first, 0.0).otherwise(KEEP).alias("keep"),
+        F.when(~counted, 0.0).when(first, F.col(value)).otherwise(F.col(value) * TAKE).alias("add"),
+        F.col(value).alias("given"),
+    )
+    _, last = (bounds[0] // log_interval, bounds[1] // log_interval) if bounds else key_bounds(steps, "pos")
+    return _applied(steps, last).select(
+        "run_id",
+        (F.col("pos") * log_interval).alias("iter"),
+        F.col("given").alias(value),
+        "running",
     )
-    # What a full group leaves to the next two groups; it goes in front of their rows.
-    fronts = (
-        rows.filter("__group >= 0")
-        .groupBy("run_id", "__group")
-        .agg((F.sum("__part") * F.min("__keep")).alias("end"))
-        .select(
-            "run_id",
-            F.inline(
-                F.array(
-                    F.struct((F.col("__group") + 1).alias("__group"), F.col("end").alias("__part")),
-                    F.struct(
-                        (F.col("__group") + 2).alias("__group"),
-                        (F.col("end") * F.pow(F.lit(KEEP), F.lit(GROUP_ROWS))).alias("__part"),
-                    ),
-                )
+
+
+def _applied(steps: DataFrame, last: int) -> DataFrame:
+    """(run_id, pos, given, running): the value after each step, from NO_AVERAGE on."""
+    group = F.shiftright("pos", GROUP_ROWS.bit_length() - 1)
+    rows = F.array_sort(F.collect_list(F.struct("pos", "keep", "add", "given"))).alias("rows")
+    grouped = steps.groupBy("run_id", group.alias("group")).agg(rows)
+    begin = F.lit(NO_AVERAGE)
+    if last >= GROUP_ROWS:
+        composed = F.aggregate(
+            "rows",
+            F.struct(F.lit(1.0).alias("keep"), F.lit(0.0).alias("add")),
+            lambda acc, r: F.struct(
+                (acc["keep"] * r["keep"]).alias("keep"), (acc["add"] * r["keep"] + r["add"]).alias("add")
             ),
-            F.lit(True).alias("__first"),
         )
-    )
-    window = (
-        Window.partitionBy("run_id", "__group")
-        .orderBy(F.desc("__first"), "iter")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    average = F.col("__keep") * F.sum("__part").over(window)
-    return (
-        rows.unionByName(fronts, allowMissingColumns=True)
-        .withColumn("__average", average)
-        .filter("NOT __first")
-        .select(
-            "run_id",
-            "iter",
-            value,
-            F.when(counted, F.col("__average")).when(~settled, F.lit(NO_AVERAGE)).alias("running"),
+        ends = grouped.select("run_id", F.col("group").alias("pos"), composed.alias("c")).select(
+            "run_id", "pos", "c.keep", "c.add", F.lit(None).cast("double").alias("given")
         )
+        starts = _before(_applied(ends, last // GROUP_ROWS))
+        grouped = grouped.join(starts, ["run_id", "group"], "left")
+        begin = F.coalesce("start", begin)
+    values = F.aggregate(
+        "rows",
+        F.struct(begin.alias("e"), F.array().cast("array<double>").alias("all")),
+        lambda acc, r: F.struct(
+            (acc["e"] * r["keep"] + r["add"]).alias("e"),
+            F.array_append(acc["all"], acc["e"] * r["keep"] + r["add"]).alias("all"),
+        ),
+    )["all"]
+    zipped = grouped.select("run_id", F.explode(F.arrays_zip("rows", values.alias("after"))).alias("z"))
+    return zipped.select("run_id", "z.rows.pos", "z.rows.given", F.col("z.after").alias("running"))
+
+
+def _before(ends: DataFrame) -> DataFrame:
+    """(run_id, group, start): what a group starts with, the value after the run's group
+    before it. Groups without rows are skipped, hence a lag and not pos + 1."""
+    lagged = exclusive_prefix(
+        ends.withColumn("__end", F.struct("pos", "running")),
+        partition=["run_id"],
+        key="pos",
+        value="__end",
+        how="max",
+        out="__last",
     )
+    return lagged.select("run_id", F.col("pos").alias("group"), F.col("__last.running").alias("start"))

@@ -11,7 +11,7 @@ from tokenloom.functions.training import (
     model_flops_utilisation,
     parameter_count,
 )
-from tokenloom.operators.runlog import last_microstep_loss, running_best, step_seconds
+from tokenloom.operators.runlog import last_microstep_loss, step_seconds
 
 
 def step_report(steps: DataFrame, configs: DataFrame, peak_flops: float = PEAK_FLOPS) -> DataFrame:
@@ -43,8 +43,3 @@ def step_report(steps: DataFrame, configs: DataFrame, peak_flops: float = PEAK_F
             **size,
         ).alias("mfu"),
     )
-
-
-def evaluation_report(log: DataFrame) -> DataFrame:
-    """Evaluations with the running best and the new-best flag."""
-    return running_best(log)

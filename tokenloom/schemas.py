@@ -69,17 +69,21 @@ CHECKPOINTS = T.StructType(
     ]
 )
 
-# The keys of a run configuration and their types.
-_RUN_CONFIG_KEYS = {
-    T.IntegerType: (
-        "batch_size block_size vocab_size n_layers n_head n_embed warmup_iters lr_decay_iters "
-        "max_iters eval_interval eval_iters log_interval gradient_accumulation_steps"
-    ),
-    T.DoubleType: "dropout weight_decay beta1 beta2 learning_rate min_lr grad_clip",
-    T.BooleanType: "bias compile decay_lr",
-    T.StringType: "device dataset",
-}
+# What the run report needs of a run's configuration.
 RUN_CONFIG = T.StructType(
-    [T.StructField("run_id", T.StringType())]
-    + [T.StructField(key, kind()) for kind, keys in _RUN_CONFIG_KEYS.items() for key in keys.split()]
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("batch_size", T.IntegerType()),
+        T.StructField("block_size", T.IntegerType()),
+        T.StructField("vocab_size", T.IntegerType()),
+        T.StructField("n_layers", T.IntegerType()),
+        T.StructField("n_head", T.IntegerType()),
+        T.StructField("n_embed", T.IntegerType()),
+        T.StructField("bias", T.BooleanType()),
+        T.StructField("learning_rate", T.DoubleType()),
+        T.StructField("min_lr", T.DoubleType()),
+        T.StructField("warmup_iters", T.IntegerType()),
+        T.StructField("lr_decay_iters", T.IntegerType()),
+        T.StructField("gradient_accumulation_steps", T.IntegerType()),
+    ]
 )

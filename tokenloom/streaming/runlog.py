@@ -29,10 +29,11 @@ LIVE_LOG = T.StructType(
         T.StructField("seconds", T.DoubleType()),
         T.StructField("mfu", T.DoubleType()),
         T.StructField("running", T.DoubleType()),
+        T.StructField("rejected", T.LongType()),
     ]
 )
 
-# (best, average, time, iter) after the last applied row; times are microseconds since
+# (best, average, time, iter, rejected) after the last applied row; times are microseconds since
 # 1970, free of any time zone.
 _STATE = T.StructType(
     [
@@ -40,6 +41,7 @@ _STATE = T.StructType(
         T.StructField("average", T.DoubleType()),
         T.StructField("at", T.LongType()),
         T.StructField("iter", T.LongType()),
+        T.StructField("rejected", T.LongType()),
     ]
 )
 _WAITING = T.StructType(
@@ -52,32 +54,38 @@ _WAITING = T.StructType(
 )
 
 
+NEW_RUN = (NO_BEST, NO_AVERAGE, None, -1, 0)
+
+
 def live_best(log: DataFrame) -> DataFrame:
     """Best validation loss per run of a stream; use update mode."""
     return best_per_run(log)
 
 
-def advance(state: tuple | None, row: Row, log_interval: int) -> tuple[tuple, tuple]:
+def advance(state: tuple | None, row: Row, log_interval: int, first_iter: int = 0) -> tuple[tuple, tuple]:
     """Apply one row to a run's state: the new state, and the values to report."""
-    best, average, last, _ = state or (NO_BEST, NO_AVERAGE, None, -1)
+    best, average, last, _, rejected = state or NEW_RUN
     seconds = (row.at - last) / 1e6 if last is not None else None
     mfu = row.work / seconds if seconds and seconds > 0 else None
     improved = row.val_loss is not None and row.val_loss < best
     if improved:
         best = row.val_loss
-    if row.iter % log_interval == 0 and row.iter >= SETTLE_ITERS and mfu is not None:
+    if row.iter % log_interval == 0 and row.iter >= first_iter + SETTLE_ITERS and mfu is not None:
         average = mfu if average == NO_AVERAGE else KEEP * average + TAKE * mfu
-    report = (row.iter, row.val_loss, best, improved and row.iter > 0, seconds, mfu, average)
-    return (best, average, row.at, row.iter), report
+    report = (row.iter, row.val_loss, best, improved and row.iter > 0, seconds, mfu, average, rejected)
+    return (best, average, row.at, row.iter, rejected), report
 
 
 class RunTracker(StatefulProcessor):
     """Rows wait until the watermark has passed them and are then applied in `iter` order.
-    A second row for an iteration that waits or was applied is ignored; rows older than
+    A second row for an iteration that waits, and a row at or before the last applied
+    iteration, is left out and counted in `rejected`, which later rows of the run report;
+    a resumed run that repeats iterations should therefore use a new run_id. Rows older than
     the watermark never arrive here (Spark drops and counts them)."""
 
-    def __init__(self, log_interval: int):
+    def __init__(self, log_interval: int, first_iter: int = 0):
         self.log_interval = log_interval
+        self.first_iter = first_iter
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -92,36 +100,40 @@ class RunTracker(StatefulProcessor):
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
+        state = tuple(self.run.get()) if self.run.exists() else NEW_RUN
+        best, average, last, applied, rejected = state
         due: dict[int, Row] = {}
         later = []
         for iteration, at, val_loss, work in self.waiting.get():
-            if at // 1000 <= watermark:
-                due.setdefault(iteration, Row(iter=iteration, at=at, val_loss=val_loss, work=work))
-            else:
+            if at // 1000 > watermark:
                 later.append((iteration, at, val_loss, work))
+            elif iteration <= applied or iteration in due:
+                rejected += 1
+            else:
+                due[iteration] = Row(iter=iteration, at=at, val_loss=val_loss, work=work)
         self.waiting.clear()
         if later:
             self.waiting.put(later)
             self.handle.registerTimer(min(row[1] // 1000 for row in later))
-        state = tuple(self.run.get()) if self.run.exists() else None
+        state = (best, average, last, applied, rejected)
         for iteration in sorted(due):
-            if state is not None and iteration <= state[3]:
-                continue
-            state, report = advance(state, due[iteration], self.log_interval)
+            state, report = advance(state, due[iteration], self.log_interval, self.first_iter)
             yield Row(**dict(zip(LIVE_LOG.names, (*key, *report))))
-        if state is not None:
-            self.run.update(state)
+        self.run.update(state)
 
     def close(self) -> None:
         pass
 
 
-def live_tracking(log: DataFrame, *, delay: str = "0 seconds", log_interval: int = 10) -> DataFrame:
+def live_tracking(
+    log: DataFrame, *, delay: str = "0 seconds", log_interval: int = 10, first_iter: int = 0
+) -> DataFrame:
     """New-best flags, step times, utilisation and its moving average of a stream of
     (run_id string, iter, ts, val_loss, work), where `work` is the utilisation that a
     step of one second would have. Use append mode.
 
-    `delay` is how much later than newer rows a row may arrive. One run's rows are by
+    The average waits from `first_iter`, where this part of the run begins, as in
+    `moving_average`. `delay` is how much later than newer rows a row may arrive. One run's rows are by
     nature applied one after another; to catch up on a long history use the batch
     operators, which also divide a single run.
     """
@@ -130,7 +142,7 @@ def live_tracking(log: DataFrame, *, delay: str = "0 seconds", log_interval: int
         .withWatermark("ts", delay)
         .groupBy("run_id")
         .transformWithState(
-            statefulProcessor=RunTracker(log_interval),
+            statefulProcessor=RunTracker(log_interval, first_iter),
             outputStructType=LIVE_LOG,
             outputMode="append",
             timeMode="eventTime",
