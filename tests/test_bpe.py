@@ -106,7 +106,7 @@ def test_dictionary_and_counts(spark):
     ids = {r["piece"]: r["ids"] for r in
            piece_dictionary(piece_counts(df).select("piece").distinct(), ranks).collect()}
     assert ids["the"] == [257] and ids[" other"] == [32, 111, 257, 114]
-    assert {r[0]: r[1] for r in bpe_token_counts(df, ranks).collect()} == {"train": 7, "val": 2}
+    assert {r[0]: r[1] for r in bpe_token_counts(piece_counts(df), ranks).collect()} == {"train": 7, "val": 2}
 
 
 def test_rank_table_is_bounded(spark):

@@ -55,10 +55,28 @@ def test_prefix_shuffles_rows_once(spark):
     assert plan.count("Exchange") <= 4
 
 
-def test_chunk_assembly_needs_one_exchange_after_positions(spark):
-    plan = plan_of(QUERIES["token_chunks"](spark, SF))
-    head = plan[: plan.index("Generate explode(transform")]
-    assert head.count("Exchange") == 1
+def test_chunks_move_tokens_once_and_through_no_window(spark, monkeypatch):
+    from tokenloom.operators import chunks
+
+    encoded = spark.createDataFrame(
+        [("train", i, 3, [1, 2, 3]) for i in range(9)],
+        "split string, doc_id bigint, n_tokens bigint, tokens array<int>",
+    )
+    plan = plan_of(chunks.pack_chunks(encoded, 4))
+    # The one exchange of tokens is that of the slices, above the join with the positions.
+    assert plan[: plan.index("Generate explode(transform")].count("Exchange") == 1
+    assert "BroadcastHashJoin" in plan
+    monkeypatch.setattr(chunks, "BROADCAST_DOCUMENTS", 0)
+    wide = chunks.pack_chunks(encoded, 4)
+    assert "SortMergeJoin" in plan_of(wide)
+    for shape in (plan, plan_of(wide)):
+        for line in shape.splitlines():
+            assert "Window" not in line or "tokens" not in line.replace("n_tokens", "")
+    few_large = spark.createDataFrame(
+        [("train", i * 10**9, 5000, list(range(5000))) for i in range(3)], encoded.schema
+    )
+    packed = chunks.pack_chunks(few_large, 4096).orderBy("chunk_id").collect()
+    assert [t for r in packed for t in r["tokens"]] == list(range(5000)) * 3
 
 
 def test_large_inputs_are_not_spread(spark, monkeypatch):

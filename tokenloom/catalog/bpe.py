@@ -1,7 +1,9 @@
 """Byte-pair encoding of `documents`.
 
 No rank table can be fetched here, so one is derived from the documents: the 256 bytes,
-then the most frequent beginnings (2 to 6 bytes) of pre-tokens.
+then the LEARNED most frequent byte strings of 2 to LONGEST bytes anywhere in pre-tokens. These
+two are the parameters of the table; whole texts are counted and encoded. Pre-tokens are counted
+once, and ranks, dictionary and totals come from that table.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from tokenloom.operators.bpe import (
 )
 from tokenloom.operators.chunks import pack_chunks
 from tokenloom.session import shared_dir
+from tokenloom.sources.tables import read_ranks
 
 LEARNED = 2000
 LONGEST = 6
@@ -40,14 +43,16 @@ PIECES_SQL = """
 RANKS_SQL = (
     PIECES_SQL
     + f"""
-, beginnings AS (
-  SELECT substr(h, 1, 2 * k) AS token, sum(n) AS n
-  FROM (SELECT h, n, unnest(range(2, least({LONGEST}, length(h) // 2) + 1)) AS k FROM words) GROUP BY 1
+, strings AS (
+  SELECT substr(h, 2 * i + 1, 2 * k) AS token, sum(n) AS n
+  FROM (SELECT h, n, k, unnest(range(0, length(h) // 2 - k + 1)) AS i
+        FROM (SELECT h, n, unnest(range(2, least({LONGEST}, length(h) // 2) + 1)) AS k FROM words))
+  GROUP BY 1
 ), ranks AS (
   SELECT printf('%02X', b) AS token, b::INTEGER AS rank FROM (SELECT unnest(range(0, 256)) AS b)
   UNION ALL
   SELECT token, (255 + row_number() OVER (ORDER BY n DESC, token))::INTEGER AS rank
-  FROM (SELECT * FROM beginnings ORDER BY n DESC, token LIMIT {LEARNED})
+  FROM (SELECT * FROM strings ORDER BY n DESC, token LIMIT {LEARNED})
 )
 """
 )
@@ -81,16 +86,18 @@ MERGE_SQL = (
 BPE_SQL = SPLIT_SQL.replace("WITH", "WITH RECURSIVE", 1) + MERGE_SQL
 
 
-def derived_ranks(split_text: DataFrame) -> DataFrame:
-    """(token, rank): single bytes, then frequent beginnings of pre-tokens."""
-    spark = split_text.sparkSession
+def derived_ranks(counts: DataFrame) -> DataFrame:
+    """(token, rank) from (piece, n): single bytes, then frequent byte strings inside pieces."""
+    spark = counts.sparkSession
     h = F.hex(F.col("piece").cast("binary"))
-    longest = F.least(F.lit(LONGEST), (F.length(h) / 2).cast("int"))
+    n_bytes = (F.length("h") / 2).cast("int")
+    longest = F.least(F.lit(LONGEST), n_bytes)
     lengths = F.when(longest >= 2, F.sequence(F.lit(2), longest))
-    beginnings = (
-        piece_counts(split_text)
-        .select(h.alias("h"), "n", F.explode(lengths).alias("k"))
-        .groupBy(F.substring("h", F.lit(1), F.col("k") * 2).alias("token"))
+    frequent = (
+        counts.select(h.alias("h"), "n")
+        .select("h", "n", F.explode(lengths).alias("k"))
+        .select("h", "n", "k", F.explode(F.sequence(F.lit(0), n_bytes - F.col("k"))).alias("i"))
+        .groupBy(F.substring("h", F.col("i") * 2 + 1, F.col("k") * 2).alias("token"))
         .agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "token")
         .limit(LEARNED)
@@ -100,16 +107,24 @@ def derived_ranks(split_text: DataFrame) -> DataFrame:
         F.unhex(F.lpad(F.hex("id"), 2, "0")).alias("token"), F.col("id").cast("int").alias("rank")
     )
     return single.unionAll(
-        beginnings.select(F.unhex("token").alias("token"), (number + 255).cast("int").alias("rank"))
+        frequent.select(F.unhex("token").alias("token"), (number + 255).cast("int").alias("rank"))
     )
 
 
-def stored_ranks(spark: SparkSession, split_text: DataFrame) -> DataFrame:
-    path = shared_dir(spark, "ranks")
-    derived_ranks(split_text).write.parquet(path)
+def counted_pieces(spark: SparkSession, split_text: DataFrame) -> DataFrame:
+    path = shared_dir(spark, "pieces")
+    piece_counts(split_text).write.parquet(path)
     return spark.read.parquet(path)
 
 
+def stored_ranks(spark: SparkSession, counts: DataFrame) -> DataFrame:
+    """The derived table written as a rank file and read like any other."""
+    path = shared_dir(spark, "ranks")
+    line = F.concat_ws(" ", F.base64("token"), F.col("rank").cast("string"))
+    derived_ranks(counts).select(line.alias("value")).write.text(path)
+    return read_ranks(spark, path)
+
+
 @query(
     "pretokens",
     SPLIT_SQL
@@ -135,9 +150,8 @@ def pretoken_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     BPE_SQL + "SELECT piece, ids FROM dictionary",
 )
 def bpe_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split_text = split_documents(spark, sf_dir)
-    distinct = piece_counts(split_text).select("piece").distinct()
-    return piece_dictionary(distinct, stored_ranks(spark, split_text))
+    counts = counted_pieces(spark, split_documents(spark, sf_dir))
+    return piece_dictionary(counts.select("piece").distinct(), stored_ranks(spark, counts))
 
 
 @query(
@@ -149,7 +163,7 @@ FROM occurrences JOIN dictionary USING (piece) GROUP BY split, doc_id""",
 )
 def bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     split_text = split_documents(spark, sf_dir)
-    return encode_bpe(split_text, stored_ranks(spark, split_text))
+    return encode_bpe(split_text, stored_ranks(spark, counted_pieces(spark, split_text)))
 
 
 @query(
@@ -160,8 +174,8 @@ SELECT split, sum(len(ids))::BIGINT AS n_tokens
 FROM occurrences JOIN dictionary USING (piece) GROUP BY split""",
 )
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split_text = split_documents(spark, sf_dir)
-    return bpe_token_counts(split_text, stored_ranks(spark, split_text))
+    counts = counted_pieces(spark, split_documents(spark, sf_dir))
+    return bpe_token_counts(counts, stored_ranks(spark, counts))
 
 
 @query(
@@ -177,5 +191,6 @@ SELECT split, chunk_id::BIGINT AS chunk_id, list(token_id ORDER BY pos) AS token
 def bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     split_text = split_documents(spark, sf_dir)
     path = shared_dir(spark, "encoded")
-    encode_bpe(split_text, stored_ranks(spark, split_text)).write.parquet(path)
+    ranks = stored_ranks(spark, counted_pieces(spark, split_text))
+    encode_bpe(split_text, ranks).write.parquet(path)
     return pack_chunks(spark.read.parquet(path), CHUNK).select("split", "chunk_id", "tokens")

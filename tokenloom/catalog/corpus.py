@@ -311,8 +311,7 @@ def block_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "training_blocks",
+BLOCKS_SQL = (
     TOKENS_SQL
     + STARTS_SQL
     + f"""
@@ -321,21 +320,31 @@ SELECT split, batch_id, row_id, start,
        list(token_id ORDER BY pos) FILTER (WHERE pos > start) AS y
 FROM (SELECT *, start + unnest(range(0, {BLOCK_SIZE} + 1)) AS pos FROM starts)
 JOIN stream USING (split, pos)
-GROUP BY split, batch_id, row_id, start""",
+GROUP BY split, batch_id, row_id, start"""
 )
-def training_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+
+def epoch_blocks(spark: SparkSession, sf_dir: str, *, counted: bool) -> DataFrame:
+    """About one epoch of blocks; `counted` tells the join how many starts there are."""
     # One character is one token, so the cut already gives the tokens per split.
     cut = locate_cut(documents(spark, sf_dir))
     batches = epoch_batches(cut.sizes)
     starts = draw_starts(
         spark, cut.sizes, block_size=BLOCK_SIZE, batch_size=BATCH_SIZE, batches=batches, seed=SEED
     )
-    return cut_blocks(
-        starts,
-        char_chunks(spark, sf_dir, cut),
-        BLOCK_SIZE,
-        n_starts=BATCH_SIZE * sum(batches.values()),
-    )
+    n_starts = BATCH_SIZE * sum(batches.values()) if counted else None
+    return cut_blocks(starts, char_chunks(spark, sf_dir, cut), BLOCK_SIZE, n_starts=n_starts)
+
+
+@query("training_blocks", BLOCKS_SQL)
+def training_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return epoch_blocks(spark, sf_dir, counted=True)
+
+
+@query("training_blocks_shuffled", BLOCKS_SQL)
+def training_blocks_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join that is used where the starts are too many to broadcast."""
+    return epoch_blocks(spark, sf_dir, counted=False)
 
 
 @query(

@@ -166,11 +166,13 @@ def piece_dictionary(distinct: DataFrame, ranks: DataFrame) -> DataFrame:
     return distinct.select("piece").mapInArrow(merge, "piece string, ids array<int>")
 
 
-def bpe_token_counts(pieces: DataFrame, ranks: DataFrame) -> DataFrame:
-    """(split, n_tokens) from the dictionary: counts per distinct pre-token, joined to the
-    number of ids each has. No document is encoded, and every join key is unique on the
-    dictionary side and once per split on the other, so no key is hot."""
-    counts = piece_counts(pieces)
+def bpe_token_counts(counts: DataFrame, ranks: DataFrame) -> DataFrame:
+    """(split, n_tokens) from `piece_counts`: they are joined to the number of ids that each
+    distinct pre-token has. No document is encoded, and every join key is unique on the
+    dictionary side and once per split on the other, so no key is hot.
+
+    `counts` is read twice: store it first.
+    """
     dictionary = piece_dictionary(counts.select("piece").distinct(), ranks)
     return (
         counts.join(dictionary, "piece")

@@ -9,6 +9,9 @@ from tokenloom.functions.core import int_div
 from tokenloom.operators.prefix import WIDE_FANOUT, exclusive_prefix
 from tokenloom.operators.vocab import narrow_id
 
+# Documents (about 50 bytes each) up to which their positions are broadcast.
+BROADCAST_DOCUMENTS = 1 << 20
+
 # Chunks per shard: a shard is the unit that one task assembles, in order.
 CHUNKS_PER_SHARD = 1 << 12
 
@@ -52,11 +55,17 @@ def pack_chunks(
     Each document is sliced at chunk borders where it stands. Slices move once, keyed
     by shard; a shard is a fixed range of positions, so shards are equal in size
     whatever the documents look like, and grouping by chunk needs no second shuffle.
-    A group never holds more than one chunk.
+    A group never holds more than one chunk. Positions are scanned over the narrow
+    (split, doc_id, n_tokens) alone and joined back, by broadcast while the documents are
+    few; beyond that the join moves the tokens once more. (split, doc_id) must be unique.
     """
     if size < 1:
         raise ValueError("size must be at least 1")
-    positioned = token_positions(encoded, fanout=fanout, bounds=bounds).filter("n_tokens > 0")
+    narrow = encoded.select("split", "doc_id", "n_tokens")
+    starts = token_positions(narrow, fanout=fanout, bounds=bounds).select("split", "doc_id", "start")
+    if encoded.count() <= BROADCAST_DOCUMENTS:
+        starts = F.broadcast(starts)
+    positioned = encoded.filter("n_tokens > 0").join(starts, ["split", "doc_id"])
     start, n = F.col("start"), F.col("n_tokens")
     first = int_div(start, size)
     last = int_div(start + n - 1, size)

@@ -96,6 +96,8 @@ def encode_chars(pieces: DataFrame, vocab: DataFrame) -> DataFrame:
 def char_decoder(vocab: DataFrame):
     """A function array<int> column -> text column, the inverse of `char_encoder`."""
     rows = sorted((row["id"], row["ch"]) for row in vocab.select("id", "ch").collect())
+    if [number for number, _ in rows] != list(range(len(rows))):
+        raise ValueError("the vocabulary's ids are not 0, 1, 2, ...")
     shared = vocab.sparkSession.sparkContext.broadcast([ch for _, ch in rows])
 
     @F.arrow_udf(T.StringType())
