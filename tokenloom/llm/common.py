@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
+import sys
 from bisect import bisect_right
 from collections import Counter
-from pathlib import Path
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,29 +20,33 @@ MOST_PARTS = 1 << 12
 BROADCAST_ROWS = 1 << 20
 
 
-_SENT: set[str] = set()
+# Models and tables that a worker process keeps.
+KEPT = 3
 # Bytes of rows that Spark hands to a Python task at once.
 ARROW_BYTES = 4 << 20
 
 
 def python_tasks(spark: SparkSession) -> None:
-    """Prepare the session for tasks that run this package's Python code.
+    """Prepare the session for tasks that run Python code on texts.
 
     Arrow batches are kept at ARROW_BYTES (or one longer row): Spark's own bound is 64 MB,
-    and its buffers on both sides of the pipe are a multiple of that. The package is sent to
-    the executors by Spark, once per application, so nothing must be installed there.
+    and its buffers on both sides of the pipe are a multiple of that.
     """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
-    context = spark.sparkContext
-    package = Path(__file__).resolve().parents[1]
-    if context.applicationId in _SENT or not package.is_dir():
-        return
-    archive = Path(tempfile.mkdtemp(prefix="tokenloom-")) / "tokenloom.zip"  # the driver serves it
-    with zipfile.ZipFile(archive, "w") as out:
-        for file in sorted(package.rglob("*.py")):
-            out.write(file, file.relative_to(package.parent))
-    context.addPyFile(str(archive))
-    _SENT.add(context.applicationId)
+
+
+def kept(key: tuple, make: Callable[[], Any]) -> Any:
+    """`make()`, or what it gave to an earlier task of this worker process.
+
+    Functions travel to the workers by value, so their modules keep nothing from task to task.
+    At most KEPT things are kept.
+    """
+    things = sys.__dict__.setdefault("_tokenloom_kept", {})
+    if key not in things:
+        while len(things) >= KEPT:
+            things.pop(next(iter(things)))
+        things[key] = make()
+    return things[key]
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -14,6 +14,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from tokenloom.llm.common import kept
+
 WIDTH = 5
 # Bytes hashed at once: bounds the memory beside the texts themselves.
 PIECE_BYTES = 1 << 22
@@ -37,7 +39,8 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_UP, _DOWN = _powers(BASE, PIECE_BYTES + 1), _powers(INVERSE, PIECE_BYTES + 1)
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(BASE, PIECE_BYTES + 1), _powers(INVERSE, PIECE_BYTES + 1)
 
 
 def _is_space(data: np.ndarray) -> np.ndarray:
@@ -58,9 +61,10 @@ def _piece_words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
     first, last = np.flatnonzero(begins), np.flatnonzero(ends)
     upper = (data >= 65) & (data <= 90)
     values = (data + (upper.view(np.uint8) << 5)).astype(np.uint64) + np.uint64(1)
-    long = len(data) > PIECE_BYTES
-    up = _powers(BASE, len(data) + 1) if long else _UP
-    down = _powers(INVERSE, len(data) + 1) if long else _DOWN
+    if len(data) > PIECE_BYTES:
+        up, down = _powers(BASE, len(data) + 1), _powers(INVERSE, len(data) + 1)
+    else:
+        up, down = kept(("powers",), _tables)
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(values * up[: len(data)], out=total[1:])
     return mixed((total[last + 1] - total[first]) * down[first]), first
