@@ -20,7 +20,6 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -28,7 +27,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import python_tasks
+from tokenloom.llm.common import kept, python_tasks
 
 MEMO_WORDS = 1 << 18
 MEMO_LENGTH = 64
@@ -139,10 +138,9 @@ class Codec:
         )
 
 
-@lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
     """One codec per worker process; the file is read where the task runs."""
-    return Codec(load_ranks(path), pattern)
+    return kept(("byte-bpe", path, pattern), lambda: Codec(load_ranks(path), pattern))
 
 
 def _texts(batch: pa.RecordBatch) -> list[str]:

@@ -19,8 +19,8 @@ long word takes time in proportion to its length times the longest piece.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import python_tasks, stored, unsigned_share
+from tokenloom.llm.common import kept, python_tasks, stored, unsigned_share
 from tokenloom.llm.words import RowMemo, mapped_bytes, small_batches, split_words
 
 # Bound of the fitting sample: labelled rows per language, in expectation.
@@ -51,7 +51,6 @@ _TABLE = bytes(
 _PRIME = np.uint64(0x100000001B3)
 
 
-@lru_cache(maxsize=2)
 def pieces_of(path: str) -> list[str]:
     """The vocabulary's ordinary pieces, in order, up to LONGEST_PIECE characters."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -190,9 +189,9 @@ class Lattice:
         return out[: self.n]
 
 
-@lru_cache(maxsize=2)
 def lattice(path: str) -> Lattice:
-    return Lattice(pieces_of(path))
+    """One lattice per worker process; the file is read where the task runs."""
+    return kept(("lattice", path), lambda: Lattice(pieces_of(path)))
 
 
 def _fit_words(sample: DataFrame) -> DataFrame:
@@ -274,12 +273,16 @@ def predict(docs: DataFrame, vocabulary: str, langs: list[str], probs: np.ndarra
     """`docs` with lang_pred and score; only the text is looked at."""
     python_tasks(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(probs.astype(np.float32))
+    model = hashlib.sha256(probs.tobytes()).hexdigest()
     schema = docs.select("*").schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = held.value.astype(np.float64)
         own = lattice(vocabulary)
-        memo = RowMemo(lambda w: own.forward(w, table).astype(np.float32), MEMO_WORDS)
+        memo = kept(
+            ("word scores", vocabulary, model),
+            lambda: RowMemo(lambda w: own.forward(w, table).astype(np.float32), MEMO_WORDS),
+        )
         names = np.array([*langs, UNDECIDED], dtype=object)
         for b in small_batches(batches):
             best, score = _best(b["text"], memo, len(langs))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import python_tasks, path_exists, small_side, stored
+from tokenloom.llm.common import path_exists, python_tasks, small_side, stored
 from tokenloom.session import shared_dir
 
 # Fixed patterns and least lengths: kind, pattern, group whose length counts, least length.

@@ -23,7 +23,6 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +32,11 @@ from pyspark.sql import functions as F
 
 from tokenloom.llm.common import (
     MOST_PARTS,
-    python_tasks,
     cut_points,
+    kept,
     part_of,
     parts_for,
+    python_tasks,
     small_side,
 )
 from tokenloom.llm.words import mapped_bytes, small_batches, split_words
@@ -218,9 +218,9 @@ class WordEncoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+    """One encoder per worker process; the file is read where the task runs."""
+    return kept(("words", path), lambda: WordEncoder(path))
 
 
 def encoded_rows(docs: DataFrame, path: str, cuts: list[tuple], end_id: int) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import python_tasks, cut_points, part_of, parts_for
+from tokenloom.llm.common import cut_points, part_of, parts_for, python_tasks
 
 # Fixed rules of the registered query: host, path, verdict.
 RULES = [
