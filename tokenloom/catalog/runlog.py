@@ -215,14 +215,14 @@ REPORT_SQL = """
 WITH steps AS (
   SELECT (l_suppkey % 10)::VARCHAR AS run_id, l_orderkey AS iter, l_linenumber AS microstep,
          l_quantity AS loss, l_partkey, l_suppkey,
-         epoch_us(TIMESTAMP '2024-01-01') + l_orderkey * 1000000 + l_linenumber AS at
+         epoch_us(TIMESTAMP '2024-01-01') + l_orderkey * 1000000 + l_linenumber AS us
   FROM lineitem
 ), last AS (
-  SELECT run_id, iter, max(at) AS at,
+  SELECT run_id, iter, max(us) AS us,
          arg_max(loss, {'a': microstep, 'b': l_partkey, 'c': l_suppkey, 'd': loss}) AS loss
   FROM steps GROUP BY run_id, iter
 ), timed AS (
-  SELECT *, (at - lag(at) OVER (PARTITION BY run_id ORDER BY iter)) / 1e6::DOUBLE AS seconds,
+  SELECT *, (us - lag(us) OVER (PARTITION BY run_id ORDER BY iter)) / 1e6::DOUBLE AS seconds,
          run_id::INTEGER + 2 AS batch FROM last
 )
 SELECT run_id, iter, loss, seconds, round(CASE
