@@ -14,7 +14,8 @@ they share T = t / (1 + t) * (|x| + |y|) shingles. Steps, each exact:
    Classes tied like that need no further comparison among themselves.
 5. Search. For every class the short lists that reach into other components are merged, with
    occurrences counted, and partners below T - L are left out. The others are probed: their
-   whole sets are intersected. Long lists are divided into blocks of BLOCK members.
+   whole sets are intersected, first one pair of every two components, then the pairs that
+   are still apart. Long lists are divided into blocks of BLOCK members.
 6. Connected components over the links, and back to all documents.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing;
@@ -43,7 +44,9 @@ OFFERS_PER_TASK = 1 << 21
 # Texts whose offers are counted together before they are shuffled.
 OFFER_BYTES = 1 << 24
 BLOCK = 512
-LEADERS = 2
+# Leaders of a list (by so many different orders), and those a class is compared with.
+LEADER_ORDERS = 3
+LEADERS = 3
 
 
 def _node(values: np.ndarray) -> int:
@@ -215,9 +218,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 def _stars(short: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Links between classes and the leaders of most of their short lists."""
-    leaders = short.groupBy("h").agg(F.min(F.struct("node", "n")).alias("leader"), F.count("*").alias("m"))
+    orders = range(LEADER_ORDERS)
+    lead = [
+        F.min(F.struct(F.xxhash64(F.lit(k), "node").alias("at"), "node", "n")).alias(f"lead_{k}") for k in orders
+    ]
+    leaders = short.groupBy("h").agg(F.count("*").alias("m"), *lead).filter("m > 1")
     led = (
-        short.join(leaders.filter("m > 1"), "h")
+        short.join(leaders, "h")
+        .select("node", "n", F.explode(F.array_distinct(F.array(*[f"lead_{k}" for k in orders]))).alias("leader"))
         .filter(F.col("node") != F.col("leader.node"))
         .filter(similar_size(F.col("n"), F.col("leader.n"), threshold))
         .groupBy("node", F.col("leader.node").alias("to"))
@@ -237,8 +245,9 @@ def _merge_lists(threshold: int):
         m = np.concatenate(sizes)[at]
         total = -(-threshold * (n + m) // (100 + threshold))
         skipped = threshold * np.maximum(n, m) // 200
-        y = y[counts >= total - skipped]
-        return pa.record_batch([pa.array(np.full(len(y), x)), pa.array(y)], ["a", "b"])
+        enough = counts >= total - skipped
+        y, counts = y[enough], counts[enough]
+        return pa.record_batch([pa.array(np.full(len(y), x)), pa.array(y), pa.array(counts)], ["a", "b", "met"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, size, ys, sizes = None, 0, [], []
@@ -257,8 +266,9 @@ def _merge_lists(threshold: int):
     return run
 
 
-def _search(short: DataFrame, tied: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Links between classes of different components of `tied` (node, component)."""
+def _search(short: DataFrame, tied: DataFrame, threshold: int) -> DataFrame:
+    """(a, b, met): classes of different components of `tied` (node, component) that meet in
+    enough short lists, and in how many."""
     posts = stored(
         short.join(tied, "node", "left").withColumn("component", F.coalesce("component", "node")),
         "short-lists",
@@ -301,9 +311,39 @@ def _search(short: DataFrame, tied: DataFrame, sets: DataFrame, threshold: int)
     pairs = (
         found.repartition("node")
         .sortWithinPartitions("node")
-        .mapInArrow(_merge_lists(threshold), "a bigint, b bigint")
+        .mapInArrow(_merge_lists(threshold), "a bigint, b bigint, met bigint")
     )
-    return _verified(stored(pairs, "partners"), sets, threshold)
+    return stored(pairs, "partners")
+
+
+def _apart(pairs: DataFrame, tied: DataFrame) -> DataFrame:
+    """The pairs whose classes are in different components, with these as low and high."""
+    of_a = tied.select(F.col("node").alias("a"), F.col("component").alias("c_a"))
+    of_b = tied.select(F.col("node").alias("b"), F.col("component").alias("c_b"))
+    joined = pairs.join(of_a, "a", "left").join(of_b, "b", "left")
+    c_a, c_b = F.coalesce("c_a", "a"), F.coalesce("c_b", "b")
+    return joined.filter(c_a != c_b).select(
+        "a", "b", "met", F.least(c_a, c_b).alias("low"), F.greatest(c_a, c_b).alias("high")
+    )
+
+
+def _links_between(
+    pairs: DataFrame, stars: DataFrame, tied: DataFrame, sets: DataFrame, threshold: int
+) -> DataFrame:
+    """`stars` and enough links among `pairs` for the components of all of them.
+
+    The pair of most occurrences of every two components is probed first. That ties most
+    components that belong together, and only pairs still apart are probed after it.
+    """
+    first = (
+        _apart(pairs, tied)
+        .groupBy("low", "high")
+        .agg(F.max(F.struct("met", "a", "b")).alias("best"))
+        .select("best.a", "best.b")
+    )
+    links = stored(stars.unionByName(_verified(first, sets, threshold)), "links")
+    rest = _apart(pairs, stored(connected_components(links), "tied"))
+    return links.unionByName(_verified(rest, sets, threshold))
 
 
 def link_documents(docs: DataFrame, *, threshold: int = THRESHOLD) -> DataFrame:
@@ -328,7 +368,7 @@ def link_documents(docs: DataFrame, *, threshold: int = THRESHOLD) -> DataFrame:
     short = stored(_short_lists(sets, threshold), "short-lists")
     stars = stored(_stars(short, sets, threshold), "stars")
     tied = stored(connected_components(stars), "tied")
-    links = stars.unionByName(_search(short, tied, sets, threshold))
+    links = _links_between(_search(short, tied, threshold), stars, tied, sets, threshold)
     found = stored(connected_components(links), "components")
     joined = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
