@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 
 from tokenloom.llm.common import kept, python_tasks
 
-MEMO_WORDS = 1 << 18
+MEMO_WORDS = 1 << 17
 MEMO_LENGTH = 64
+ROWS_AT_ONCE = 64
 
 
 def byte_characters() -> list[str]:
@@ -172,8 +173,10 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks_path, pattern)
         for b in batches:
-            ids = pa.array([own.encode(t) for t in _texts(b)], pa.list_(pa.int32()))
-            yield pa.record_batch([b["doc_id"], ids], ["doc_id", "ids"])
+            for at in range(0, len(b), ROWS_AT_ONCE):
+                part = b.slice(at, ROWS_AT_ONCE)
+                ids = pa.array([own.encode(t) for t in _texts(part)], pa.list_(pa.int32()))
+                yield pa.record_batch([part["doc_id"], ids], ["doc_id", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")

@@ -8,6 +8,7 @@ from collections import Counter
 from collections.abc import Callable
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ BROADCAST_ROWS = 1 << 20
 
 
 # Models and tables that a worker process keeps.
-KEPT = 3
+KEPT = 2
 # Bytes of rows that Spark hands to a Python task at once.
 ARROW_BYTES = 4 << 20
 
@@ -45,6 +46,7 @@ def kept(key: tuple, make: Callable[[], Any]) -> Any:
     if key not in things:
         while len(things) >= KEPT:
             things.pop(next(iter(things)))
+            pa.default_memory_pool().release_unused()
         things[key] = make()
     return things[key]
 

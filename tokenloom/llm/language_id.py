@@ -39,7 +39,7 @@ ROUNDS = 2
 UNKNOWN, ADDED = 1e-7, 0.1
 LONGEST_PIECE = 12
 MOST_LANGUAGES = 500
-MEMO_WORDS = 1 << 18
+MEMO_WORDS = 1 << 17
 BLOCK_WORDS = 1 << 14
 UNDECIDED = "und"
 MIN_SCORE = 0.3

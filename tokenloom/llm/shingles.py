@@ -18,7 +18,7 @@ from tokenloom.llm.common import kept
 
 WIDTH = 5
 # Bytes hashed at once: bounds the memory beside the texts themselves.
-PIECE_BYTES = 1 << 22
+PIECE_BYTES = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
