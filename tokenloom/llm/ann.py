@@ -9,10 +9,11 @@ borders are ranked, and the sets of ranks come in the order of their expected sc
 same for all queries. Candidates of all tables are merged and ranked by exact inner products of
 the original vectors in double precision.
 
-Buckets are dealt to parts of about PART_ROWS vectors, and a part is divided into pieces of that
-size where a bucket is larger, so nothing is capped. A query goes once to every piece with
-buckets it visits; there it is compared with their vectors in blocks, and at most k results a
-piece leave it.
+Buckets of all tables are dealt to parts of about PART_BYTES of vectors, and a part is divided
+into pieces of that size where a bucket is larger, so nothing is capped. A query goes once to every
+piece with buckets it visits; there it is compared with their vectors in blocks, and at most k
+results a piece leave it. Single precision only chooses, with room for its error, whose scores are
+computed.
 
 The more rows, the more functions (the logarithm of the rows), so buckets keep their size. On vectors
 without any structure, like the given tables, neighbours are hardly nearer than other vectors, so
@@ -38,12 +39,12 @@ from pyspark.sql import functions as F
 
 from tokenloom.llm.common import python_tasks, stored
 
-TABLES = 4
-PROBES = 200
+TABLES = 2
+PROBES = 600
 WIDTH = 2.5
 SEED = 20
-PART_ROWS = 1 << 14
-QUERY_BLOCK = 256
+PART_BYTES = 1 << 25
+QUERY_BLOCK = 64
 
 
 def functions_for(rows: int) -> int:
@@ -125,19 +126,19 @@ def _probe(dimension: int, functions: int, norm: float, parts: int):
         sequence = probing_sequence(functions, PROBES)
         for b in batches:
             x = np.hstack([_matrix(b["vector"], dimension) / norm, np.zeros((len(b), 1))])
+            visited = []
             for t in range(TABLES):
                 place = (x @ a[t] + offsets[t]) / WIDTH
                 cells = np.floor(place)
                 down = place - cells
                 ranked = np.argsort(np.hstack([down, 1.0 - down]), axis=1, kind="stable")
-                visited = []
                 for ranks in sequence:
                     moved = cells.copy()
                     for r in ranks:
                         border = ranked[:, r]
                         moved[np.arange(len(x)), border % functions] += np.where(border < functions, -1, 1)
                     visited.append(bucket_ids(moved, t))
-                yield from _by_part(b, np.stack(visited, axis=1), parts)
+            yield from _by_part(b, np.stack(visited, axis=1), parts)
 
     return run
 
@@ -172,13 +173,14 @@ class _Piece:
         self.rows.append(rows)
 
     def close(self) -> _Piece:
-        order = None
         self.bucket, self.id = np.concatenate(self.buckets), np.concatenate(self.ids)
         order = np.lexsort((self.id, self.bucket))
         self.bucket, self.id = self.bucket[order], self.id[order]
         self.x = np.concatenate(self.rows)[order]
         self.names, self.starts = np.unique(self.bucket, return_index=True)
         self.number = np.searchsorted(self.names, self.bucket)
+        self.single = self.x.astype(np.float32)
+        self.norm = float(np.sqrt((self.x * self.x).sum(axis=1).max()))
         return self
 
 
@@ -188,24 +190,36 @@ def _best(piece: _Piece, ids: np.ndarray, x: np.ndarray, visited: list[np.ndarra
     for i, buckets in enumerate(visited):
         at = np.minimum(np.searchsorted(piece.names, buckets), len(piece.names) - 1)
         open_[i, at[piece.names[at] == buckets]] = True
-    scores = x @ piece.x.T
+    scores = x.astype(np.float32) @ piece.single.T
     scores[~open_[:, piece.number] | (piece.id[None, :] == ids[:, None])] = -np.inf
-    slack = 1e-9 * (1.0 + np.abs(scores, where=np.isfinite(scores), out=np.zeros_like(scores)).max())
     out = []
     for i in range(len(ids)):
-        s = scores[i]
-        if len(s) > k:
-            edge = np.partition(s, len(s) - k)[len(s) - k]
-            near = np.flatnonzero((s >= edge - slack) & (s > -np.inf))
-        else:
-            near = np.flatnonzero(s > -np.inf)
-        # One order of summation for all, so equal vectors have equal scores.
-        exact = (piece.x[near] * x[i]).sum(axis=1)
-        order = np.lexsort((piece.id[near], -exact))[:k]
-        out.append((piece.id[near][order], exact[order]))
+        slack = 1.2e-7 * x.shape[1] * np.sqrt((x[i] * x[i]).sum()) * piece.norm
+        found = _distinct(piece, x[i], _largest(scores[i], k * TABLES, slack), k)
+        if len(found[0]) < k:
+            found = _distinct(piece, x[i], np.flatnonzero(scores[i] > -np.inf), k)
+        out.append(found)
     return out
 
 
+def _largest(scores: np.ndarray, n: int, slack: float) -> np.ndarray:
+    """Places of the n largest scores and of those that may be as large."""
+    if len(scores) <= n:
+        return np.flatnonzero(scores > -np.inf)
+    edge = np.partition(scores, len(scores) - n)[len(scores) - n]
+    return np.flatnonzero((scores >= edge - slack) & (scores > -np.inf))
+
+
+def _distinct(piece: _Piece, query: np.ndarray, near: np.ndarray, k: int):
+    """The k best (vec_id, exact score) of these places, each vec_id once."""
+    # One order of summation for all, so equal vectors have equal scores.
+    exact = (piece.x[near] * query).sum(axis=1)
+    order = np.lexsort((piece.id[near], -exact))
+    ids = piece.id[near][order]
+    first = np.sort(np.unique(ids, return_index=True)[1])[:k]
+    return ids[first], exact[order][first]
+
+
 def _compare(dimension: int, k: int):
     """Over rows sorted by piece, vectors before queries."""
     names = ["query_id", "vec_id", "score"]
@@ -274,14 +288,15 @@ def nearest(vectors: DataFrame, *, k: int = 20, query: Column | None = None) ->
         return _ranked(given.select(F.col("vec_id").alias("query_id"), "vec_id", F.lit(0.0).alias("score")).limit(0), k)
     given = given.filter(F.size("vector") == dimension)
     functions = functions_for(rows)
-    parts = max(1, -(-rows * TABLES // PART_ROWS))
+    part_rows = max(1024, PART_BYTES // (8 * dimension))
+    parts = max(1, -(-rows * TABLES // part_rows))
     indexed = given.mapInArrow(_index(dimension, functions, norm), "bucket bigint, vec_id bigint, vector array<double>")
     indexed = stored(indexed.withColumn("part", F.pmod("bucket", F.lit(parts))), "hashed-vectors")
     pieces = indexed.groupBy("part").agg(F.count("*").alias("n")).select(
-        "part", F.expr(f"cast((n + {PART_ROWS - 1}) div {PART_ROWS} as int)").alias("pieces")
+        "part", F.expr(f"cast((n + {part_rows - 1}) div {part_rows} as int)").alias("pieces")
     )
     pieces = stored(pieces, "pieces")
-    # A piece for each PART_ROWS rows of a part; a row's piece follows from its vec_id.
+    # A piece for each part_rows rows of a part; a row's piece follows from its vec_id.
     points = indexed.join(pieces, "part").select(
         "part",
         F.pmod(F.xxhash64("vec_id"), F.col("pieces")).cast("int").alias("piece"),
