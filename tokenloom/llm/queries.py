@@ -121,19 +121,13 @@ WITH named AS (
   SELECT *, 'sha256:' || sha256(html) AS payload_digest,
          '<urn:uuid:' || concat_ws('-', h[1:8], h[9:12], h[13:16], h[17:20], h[21:32]) || '>' AS id
   FROM named
-), bare AS (
-  SELECT *, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
-    '(?is)<script\b[^>]*>.*?</script\s*>', '', 'g') AS t1 FROM source
 ), untagged AS (
-  SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t1,
-    '(?is)<style\b[^>]*>.*?</style\s*>', '', 'g'),
-    '(?is)<noscript\b[^>]*>.*?</noscript\s*>', '', 'g'),
-    '(?is)<template\b[^>]*>.*?</template\s*>', '', 'g'),
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(html, '{unseen}', '', 'g'),
     '(?i)</?({blocks})\b[^>]*>', chr(10), 'g'),
     '<[a-zA-Z/!?][^>]*>', '', 'g') AS t2,
     regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title', 1) AS t3,
     regexp_extract(html, '(?is)<html\b[^>]*\blang="([^"]*)"', 1) AS language,
-    regexp_extract_all(html, '(?i)<a\b[^>]*\bhref="([^"\r\n]*)"', 1) AS links FROM bare
+    regexp_extract_all(html, '(?i)<a\b[^>]*\bhref="([^"\r\n]*)"', 1) AS links FROM source
 ), decoded AS (
   SELECT page_id, url, payload_digest, id, language, links, {t2} AS plain,
          replace({t3}, chr(10), ' ') AS title FROM untagged
@@ -187,6 +181,7 @@ def _decoded_sql(column: str) -> str:
 
 WARC_SQL = (
     WARC_SQL.replace("{blocks}", warc.BLOCKS)
+    .replace("{unseen}", warc.UNSEEN)
     .replace("{t2}", _decoded_sql("t2"))
     .replace("{t3}", _decoded_sql("t3"))
 )

@@ -31,6 +31,10 @@ BLOCKS = (
     "h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul"
 )
 HIDDEN = ["script", "style", "noscript", "template"]
+# Comments and hidden elements, whichever begins first, in one pass.
+UNSEEN = "(?is)<!--.*?-->" + "".join(rf"|<{tag}\b[^>]*>.*?</{tag}\s*>" for tag in HIDDEN)
+# Runs of blanks other than a single space; line ends with the blanks and line ends around them.
+BLANKS = r" *[\t\r\f\x0B\xA0][ \t\r\f\x0B\xA0]*|  +"
 NAMED = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " ")]
 
 
@@ -55,18 +59,16 @@ def decode_references(text: Column) -> Column:
 
 
 def plain_text(html: Column) -> Column:
-    text = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    for tag in HIDDEN:
-        text = F.regexp_replace(text, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
+    text = F.regexp_replace(html, UNSEEN, "")
     text = F.regexp_replace(text, rf"(?i)</?({BLOCKS})\b[^>]*>", "\n")
     text = F.regexp_replace(text, r"<[a-zA-Z/!?][^>]*>", "")
     return squeeze(decode_references(text))
 
 
 def squeeze(text: Column) -> Column:
-    text = F.regexp_replace(text, r"[ \t\r\f\x0B\xA0]+", " ")
-    text = F.regexp_replace(text, r" ?\n[ \n]*", "\n")
-    return F.regexp_replace(text, r"^[ \n]+|[ \n]+$", "")
+    text = F.regexp_replace(text, BLANKS, " ")
+    text = F.regexp_replace(text, r" \n[ \n]*|\n[ \n]+", "\n")
+    return F.btrim(text, F.lit(" \n"))
 
 
 def title_of(html: Column) -> Column:
@@ -100,7 +102,7 @@ def _lines(*pairs: tuple[str, Column]) -> Column:
 
 
 def _record(kind: str, content_type: str, block: Column) -> Column:
-    record_id = uuid_of(F.concat(F.col("record_id"), F.lit(f":{kind}")))
+    record_id, digest = F.col(f"{kind}_id"), F.col(f"{kind}_digest")
     length = F.octet_length(block).cast("bigint")
     header = _lines(
         ("WARC-Type", F.lit(kind)),
@@ -111,7 +113,7 @@ def _record(kind: str, content_type: str, block: Column) -> Column:
         ("WARC-Refers-To-Target-URI", F.col("target_uri")),
         ("WARC-Refers-To-Date", F.col("warc_date")),
         ("WARC-Source-Payload-Digest", F.col("payload_digest")),
-        ("WARC-Block-Digest", digest_of(block)),
+        ("WARC-Block-Digest", digest),
         ("Content-Type", F.lit(content_type)),
         ("Content-Length", length.cast("string")),
     )
@@ -120,7 +122,7 @@ def _record(kind: str, content_type: str, block: Column) -> Column:
         record_id.alias("derived_id"),
         F.lit(content_type).alias("content_type"),
         length.alias("content_length"),
-        digest_of(block).alias("block_digest"),
+        digest.alias("block_digest"),
         F.concat(F.lit(VERSION + LINE), header, F.coalesce("source_headers", F.lit("")), F.lit(LINE), block).alias(
             "record"
         ),
@@ -155,7 +157,10 @@ def build_derivatives(responses: DataFrame, *carried: str) -> DataFrame:
         ),
         links,
     )
-    blocked = read.withColumn("fields", fields)
+    blocked = read.withColumn("fields", fields).withColumns(
+        {f"{kind}_id": uuid_of(F.concat(F.col("record_id"), F.lit(f":{kind}"))) for kind in ("metadata", "conversion")}
+        | {"metadata_digest": digest_of(F.col("fields")), "conversion_digest": digest_of(F.col("plain"))}
+    )
     both = F.array(
         _record("metadata", "application/warc-fields", F.col("fields")),
         _record("conversion", "text/plain; charset=utf-8", F.col("plain")),
