@@ -2,11 +2,14 @@
 
 import os
 import re
+import tempfile
 import zlib
 
 import brute
 import numpy as np
 import oracle
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -401,6 +404,30 @@ def test_recall_and_scores(spark, sf):
     assert hits / sum(map(len, want)) >= 0.9
 
 
+@pytest.mark.parametrize("n", [51_282, 200_000])
+def test_recall_does_not_fall_as_the_table_grows(spark, n):
+    x = np.random.default_rng(4).standard_normal((n, 64))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+    folder = tempfile.mkdtemp(prefix="vectors-")
+    embedding = pa.ListArray.from_arrays(pa.array(np.arange(0, n * 64 + 1, 64), pa.int32()), pa.array(x.ravel()))
+    table = pa.table({"vec_id": pa.array(np.arange(n)), "embedding": embedding})
+    pq.write_table(table, f"{folder}/vectors.parquet", row_group_size=1 << 14)
+    queries = np.arange(0, n, n // 60)
+    vectors = spark.read.parquet(f"{folder}/vectors.parquet")
+    found = {}
+    for r in ann.nearest(vectors, query=F.col("vec_id") % (n // 60) == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute.nearest(np.arange(n), x.astype(np.float64), queries, 20)
+    assert sum(len(found[int(q)] & set(near)) for q, near in zip(queries, want)) >= 0.9 * 20 * len(queries)
+
+
+def test_vectors_without_usable_cells_are_one_bucket():
+    x = np.eye(3)
+    assert ann.probing_sequence(0, 600) == [()]
+    assert len(set(ann.visited_buckets(x, 0)[:, 0])) == 1
+    assert ann.share_held(x, x, np.arange(3), 0) == 1
+
+
 def test_odd_vectors(spark):
     rng = np.random.default_rng(1)
     x = rng.standard_normal((60, 8)).tolist()

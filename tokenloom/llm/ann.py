@@ -15,9 +15,14 @@ piece with buckets it visits; there it is compared with their vectors in blocks,
 results a piece leave it. Single precision only chooses, with room for its error, whose scores are
 computed.
 
-The more rows, the more functions (the logarithm of the rows), so buckets keep their size. On vectors
-without any structure, like the given tables, neighbours are hardly nearer than other vectors, so
-recall needs a large share of all buckets; recall is measured in tests/llm.
+The more rows, the more functions (at most the logarithm of the rows), so buckets keep their size, as
+long as PROBES buckets hold the neighbours. That is measured on the vectors at hand: the true
+neighbours of SAMPLED queries are found by comparing them with all vectors, and the operator takes
+the most functions with which PROBES buckets a table hold the share TARGET of them. Without
+functions all vectors are one bucket and results are exact, so there is always such a number. On
+vectors without any structure, like the given tables, neighbours are hardly nearer than other
+vectors, so functions stay few and a query meets a large share of all vectors: the cost then grows
+with rows times queries. Recall is measured in tests/llm.
 
 Defined cases: vectors that are null, zero, of another length than most, or hold null or non-finite
 components take no part, nor do rows with a null vec_id; a query never finds its own
@@ -42,12 +47,17 @@ from tokenloom.llm.common import python_tasks, stored
 TABLES = 2
 PROBES = 600
 WIDTH = 2.5
+# Queries whose true neighbours decide the number of functions, and the share that must be held. It
+# is above the 0.9 that all queries need, for the error of the sample.
+SAMPLED = 64
+TARGET = 0.95
 SEED = 20
 PART_BYTES = 1 << 25
 QUERY_BLOCK = 64
 
 
 def functions_for(rows: int) -> int:
+    """The most functions for so many rows."""
     return max(2, math.floor(math.log2(max(rows, 2))) - 6)
 
 
@@ -65,7 +75,7 @@ def probing_sequence(functions: int, probes: int) -> list[tuple[int, ...]]:
         for j in range(1, 2 * m + 1)
     ]
     found: list[tuple[int, ...]] = [()]
-    heap = [(cost[0], (0,))]
+    heap = [(cost[0], (0,))] if m else []
     while heap and len(found) < probes:
         score, ranks = heapq.heappop(heap)
         if not any(2 * m - 1 - r in ranks for r in ranks):
@@ -101,18 +111,47 @@ def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), dimension)
 
 
+def _candidates(x: np.ndarray, norm: float) -> np.ndarray:
+    x = x / norm
+    return np.hstack([x, np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(axis=1)))[:, None]])
+
+
+def _queries(x: np.ndarray, norm: float) -> np.ndarray:
+    return np.hstack([x / norm, np.zeros((len(x), 1))])
+
+
+def own_buckets(x: np.ndarray, a: np.ndarray, offsets: np.ndarray, table: int) -> np.ndarray:
+    return bucket_ids(np.floor((x @ a + offsets) / WIDTH), table)
+
+
+def visited_buckets(x: np.ndarray, functions: int) -> np.ndarray:
+    """The buckets that each query visits, those of all tables in one row."""
+    a, offsets = directions(x.shape[1], functions)
+    sequence = probing_sequence(functions, PROBES)
+    visited = []
+    for t in range(TABLES):
+        place = (x @ a[t] + offsets[t]) / WIDTH
+        cells = np.floor(place)
+        down = place - cells
+        ranked = np.argsort(np.hstack([down, 1.0 - down]), axis=1, kind="stable")
+        for ranks in sequence:
+            moved = cells.copy()
+            for r in ranks:
+                border = ranked[:, r]
+                moved[np.arange(len(x)), border % functions] += np.where(border < functions, -1, 1)
+            visited.append(bucket_ids(moved, t))
+    return np.stack(visited, axis=1)
+
+
 def _index(dimension: int, functions: int, norm: float):
     """Rows (bucket, vec_id, vector) of every table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, offsets = directions(dimension + 1, functions)
         for b in batches:
-            x = _matrix(b["vector"], dimension) / norm
-            extra = np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(axis=1)))
-            x = np.hstack([x, extra[:, None]])
+            x = _candidates(_matrix(b["vector"], dimension), norm)
             for t in range(TABLES):
-                cells = np.floor((x @ a[t] + offsets[t]) / WIDTH)
-                ids = pa.array(bucket_ids(cells, t))
+                ids = pa.array(own_buckets(x, a[t], offsets[t], t))
                 yield pa.record_batch([ids, b["vec_id"], b["vector"]], ["bucket", "vec_id", "vector"])
 
     return run
@@ -122,23 +161,9 @@ def _probe(dimension: int, functions: int, norm: float, parts: int):
     """Rows (part, buckets, vec_id, vector): the buckets that a query visits, by part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, offsets = directions(dimension + 1, functions)
-        sequence = probing_sequence(functions, PROBES)
         for b in batches:
-            x = np.hstack([_matrix(b["vector"], dimension) / norm, np.zeros((len(b), 1))])
-            visited = []
-            for t in range(TABLES):
-                place = (x @ a[t] + offsets[t]) / WIDTH
-                cells = np.floor(place)
-                down = place - cells
-                ranked = np.argsort(np.hstack([down, 1.0 - down]), axis=1, kind="stable")
-                for ranks in sequence:
-                    moved = cells.copy()
-                    for r in ranks:
-                        border = ranked[:, r]
-                        moved[np.arange(len(x)), border % functions] += np.where(border < functions, -1, 1)
-                    visited.append(bucket_ids(moved, t))
-            yield from _by_part(b, np.stack(visited, axis=1), parts)
+            x = _queries(_matrix(b["vector"], dimension), norm)
+            yield from _by_part(b, visited_buckets(x, functions), parts)
 
     return run
 
@@ -262,6 +287,74 @@ def _compare(dimension: int, k: int):
     return run
 
 
+def _true_neighbours(dimension: int, k: int, ids: np.ndarray, x: np.ndarray):
+    """One row (queries, vec_ids, scores) of every task: the k best of its vectors for each query."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        everywhere = [np.zeros(1, dtype=np.int64)] * len(ids)
+        held = [(np.zeros(0, dtype=np.int64), np.zeros(0))] * len(ids)
+        for b in batches:
+            if not len(b):
+                continue
+            piece = _Piece()
+            piece.add(np.zeros(len(b), dtype=np.int64), np.asarray(b["vec_id"]), _matrix(b["vector"], dimension))
+            found = _best(piece.close(), ids, x, everywhere, k)
+            held = [_merged([h, f], k) for h, f in zip(held, found)]
+        yield pa.record_batch(
+            [
+                pa.array([np.repeat(np.arange(len(ids)), [len(h[0]) for h in held])], pa.list_(pa.int64())),
+                pa.array([np.concatenate([h[0] for h in held])], pa.list_(pa.int64())),
+                pa.array([np.concatenate([h[1] for h in held])], pa.list_(pa.float64())),
+            ],
+            ["queries", "vec_ids", "scores"],
+        )
+
+    return run
+
+
+def _merged(found: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best (vec_id, score) of several results, each vec_id once."""
+    ids, scores = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((ids, -scores))
+    first = np.sort(np.unique(ids[order], return_index=True)[1])[:k]
+    return ids[order][first], scores[order][first]
+
+
+def share_held(queries: np.ndarray, neighbours: np.ndarray, of: np.ndarray, functions: int) -> float:
+    """The share of neighbours that stand in a bucket their query visits; neighbour i is one of query of[i]."""
+    a, offsets = directions(queries.shape[1], functions)
+    visited = visited_buckets(queries, functions)
+    held = np.zeros(len(of), dtype=bool)
+    for t in range(TABLES):
+        own = own_buckets(neighbours, a[t], offsets[t], t)
+        held |= np.array([own[i] in visited[q] for i, q in enumerate(of)], dtype=bool)
+    return float(held.mean())
+
+
+def chosen_functions(given: DataFrame, asked: DataFrame, dimension: int, rows: int, norm: float, k: int) -> int:
+    """The most functions with which the buckets visited hold TARGET of the sampled queries' neighbours."""
+    most = functions_for(rows)
+    sample = asked.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLED).collect()
+    if not sample:
+        return most
+    ids = np.array([r["vec_id"] for r in sample], dtype=np.int64)
+    x = np.array([r["vector"] for r in sample], dtype=np.float64)
+    found = given.mapInArrow(
+        _true_neighbours(dimension, k, ids, x), "queries array<bigint>, vec_ids array<bigint>, scores array<double>"
+    ).toArrow()
+    q, v, score = (found[c].combine_chunks().flatten().to_numpy() for c in ("queries", "vec_ids", "scores"))
+    near = [_merged([(v[q == i], score[q == i])], k)[0] for i in range(len(ids))]
+    wanted = np.unique(np.concatenate(near))
+    if not len(wanted):
+        return most
+    vectors = given.filter(F.col("vec_id").isin(wanted.tolist())).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    vector = {r["vec_id"]: r["vector"] for r in vectors.collect()}
+    neighbours = _candidates(np.array([vector[i] for n in near for i in n.tolist()], dtype=np.float64), norm)
+    of = np.repeat(np.arange(len(ids)), [len(n) for n in near])
+    enough = (m for m in range(most, 0, -1) if share_held(_queries(x, norm), neighbours, of, m) >= TARGET)
+    return next(enough, 0)
+
+
 def usable(vector: Column) -> Column:
     """Not null, not zero, and without null or non-finite components."""
     odd = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -287,7 +380,7 @@ def nearest(vectors: DataFrame, *, k: int = 20, query: Column | None = None) ->
     if not rows:
         return _ranked(given.select(F.col("vec_id").alias("query_id"), "vec_id", F.lit(0.0).alias("score")).limit(0), k)
     given = given.filter(F.size("vector") == dimension)
-    functions = functions_for(rows)
+    functions = chosen_functions(given, given.filter(query), dimension, rows, norm, k)
     part_rows = max(1024, PART_BYTES // (8 * dimension))
     parts = max(1, -(-rows * TABLES // part_rows))
     indexed = given.mapInArrow(_index(dimension, functions, norm), "bucket bigint, vec_id bigint, vector array<double>")
