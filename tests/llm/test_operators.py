@@ -269,6 +269,20 @@ def test_odd_documents_are_linked(odd, empty):
     assert ids == [1, 2, 3, 4, 6, 8, 11, 12, 13, 14, None]
 
 
+def test_clean_documents_with_null_or_shared_ids_are_kept(spark):
+    other = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"
+    docs = [(None, COPY), (None, other), (None, COPY.upper()), (1, LONG), (1, "a clean text of its own, one of two")]
+    docs += [(2, "quite another text with the id two"), (2, "quite another text with the id two"), (None, None)]
+    docs += [(3, other + " omicron"), (None, "yet one more text without any id at all")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    kept = [tuple(r) for r in jaccard_join.keep_one(df).collect()]
+    # One of the first and third stays; the second goes for (3, ...), which has an id.
+    copies = [r for r in kept if r in (docs[0], docs[2])]
+    want = [docs[i] for i in (3, 4, 5, 7, 8, 9)]
+    assert len(copies) == 1 and sorted(map(str, kept)) == sorted(map(str, want + copies))
+    check_components(jaccard_join.link_documents(df).collect(), docs)
+
+
 # 5 secrets
 
 

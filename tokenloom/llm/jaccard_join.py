@@ -351,6 +351,14 @@ def link_documents(docs: DataFrame, *, threshold: int = THRESHOLD) -> DataFrame:
 
     component_id is the smallest doc_id that links reach; class_id is shared by equal sets.
     """
+    return _linked(docs, threshold).drop("component")
+
+
+def _linked(docs: DataFrame, threshold: int) -> DataFrame:
+    """The columns of link_documents, and `component`: a node of the component, null without words.
+
+    Components that hold null doc_ids only, or the same smallest doc_id, share a component_id.
+    """
     python_tasks(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -372,7 +380,7 @@ def link_documents(docs: DataFrame, *, threshold: int = THRESHOLD) -> DataFrame:
     found = stored(connected_components(links), "components")
     joined = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = joined.join(smallest, "component").select("node", "component_id")
+    named = joined.join(smallest, "component").select("node", "component_id", "component")
     empty = F.col("n") == 0
     return sized.join(named, "node", "left").select(
         "doc_id",
@@ -380,6 +388,7 @@ def link_documents(docs: DataFrame, *, threshold: int = THRESHOLD) -> DataFrame:
         F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.col("node").alias("class_id"),
         "text_hash",
+        "component",
     )
 
 
@@ -388,11 +397,10 @@ def keep_one(docs: DataFrame, *, threshold: int = THRESHOLD) -> DataFrame:
 
     Documents without words are kept.
     """
-    linked = stored(link_documents(docs, threshold=threshold).filter("n_shingles > 0"), "linked")
+    linked = stored(_linked(docs, threshold).filter("n_shingles > 0"), "linked")
     row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
-    first = linked.groupBy("component_id").agg(F.min(row).alias("kept"))
-    first = first.withColumnRenamed("component_id", "of")
-    marked = linked.join(first, F.col("component_id").eqNullSafe(F.col("of"))).select(
+    first = linked.groupBy("component").agg(F.min(row).alias("kept"))
+    marked = linked.join(first, "component").select(
         "doc_id",
         "text_hash",
         (F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("text_hash") == F.col("kept.text_hash"))).alias(
