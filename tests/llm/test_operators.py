@@ -1,5 +1,6 @@
 """The operators against brute force on small tables, and odd inputs."""
 
+import html.entities
 import os
 import re
 import tempfile
@@ -492,6 +493,20 @@ def test_derivatives_of_odd_pages(spark, tmp_path):
     assert warc.build_derivatives(warc.page_responses(pages.limit(0)), "page_id").collect() == []
 
 
+def test_all_names_of_html_are_decoded_once(spark):
+    want = {f"x&{n}y": f"x{c}y" for n, c in html.entities.html5.items() if n.endswith(";")}
+    want |= {"&amp;copy;&copy;": "&copy;©", "&copy": "&copy", "&nosuch;&;&": "&nosuch;&;&", "&#38;lt;&lt": "&lt;&lt"}
+    df = spark.createDataFrame([(t,) for t in want], "text string")
+    found = df.select("text", warc.decode_references(F.col("text")).alias("decoded")).collect()
+    assert len(want) > 2100 and {r.text: r.decoded for r in found} == want
+
+
+def test_query_equals_sql_but_for_the_names_it_lacks(spark, monkeypatch):
+    known = ("lt", "gt", "quot", "apos", "nbsp", "amp")
+    monkeypatch.setattr(warc, "NAMES", {n: c for n, c in warc.NAMES.items() if n in known})
+    assert oracle.compare(spark, "op9_warc", SF_DIR) is None
+
+
 def test_written_files_are_warc_records(spark):
     folder = shared_dir(spark, "warc")
     pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")

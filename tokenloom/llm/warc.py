@@ -8,8 +8,9 @@ UUIDs made from the response's id and the record type, so building twice gives t
 records. All of it is column expressions on one row: no shuffle.
 
 Plain text: comments, scripts, styles, noscript and template elements go; block elements and
-line breaks become line ends, other tags nothing; the named references lt, gt, quot, apos, nbsp,
-amp and all numeric ones are decoded once; runs of blanks become one, blank lines go.
+line breaks become line ends, other tags nothing; references by any name of HTML's table and
+all numeric ones are decoded once if they end with a semicolon; runs of blanks become one, blank
+lines go.
 
 Defined cases: a null body is an empty payload and still gives both records (an empty conversion);
 a null URI or date leaves its header lines out; a null record id is derived from the empty string;
@@ -19,6 +20,8 @@ and its text must fit in 2 GB.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,27 +38,40 @@ HIDDEN = ["script", "style", "noscript", "template"]
 UNSEEN = "(?is)<!--.*?-->" + "".join(rf"|<{tag}\b[^>]*>.*?</{tag}\s*>" for tag in HIDDEN)
 # Runs of blanks other than a single space; line ends with the blanks and line ends around them.
 BLANKS = r" *[\t\r\f\x0B\xA0][ \t\r\f\x0B\xA0]*|  +"
-NAMED = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " ")]
+# HTML's names of characters that end with a semicolon, without it.
+NAMES = {name[:-1]: char for name, char in html5.items() if name.endswith(";")}
+# What follows `&` in a reference, up to its semicolon.
+REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{0,39});"
+
+
+def _names() -> Column:
+    """NAMES as a constant map of maps, by first letter: Spark looks a map's keys through in order."""
+    letters: dict[str, list[str]] = {}
+    for name, char in NAMES.items():
+        letters.setdefault(name[0], []).append(f"{name}\x02{char}")
+    maps = [(F.lit(a), F.str_to_map(F.lit("\x01".join(b)), F.lit("\x01"), F.lit("\x02"))) for a, b in letters.items()]
+    return F.create_map(*[c for pair in maps for c in pair])
 
 
-def _numeric_reference(part: Column) -> Column:
-    """Decode the reference that `part`, the text after `&#`, begins with, if it does."""
-    digits = F.regexp_extract(part, r"^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", 1)
+def _decoded(piece: Column) -> Column:
+    """Decode the reference `name` that `part`, the text after `&`, begins with, if it does."""
+    part, name = piece["part"], piece["name"]
+    kind, digits = F.substring(name, 1, 1), F.substr(name, F.lit(2))
     is_hex = F.lower(F.substring(digits, 1, 1)) == "x"
     code = F.when(is_hex, F.conv(F.substr(digits, F.lit(2)), 16, 10)).otherwise(digits).cast("bigint")
     bad = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
-    char = F.decode(F.unhex(F.lpad(F.hex(F.when(bad, 0xFFFD).otherwise(code)), 8, "0")), "UTF-32")
-    rest = F.substr(part, F.char_length(digits) + 2)
-    return F.when(digits == "", F.concat(F.lit("&#"), part)).otherwise(F.concat(char, rest))
+    numeric = F.decode(F.unhex(F.lpad(F.hex(F.when(bad, 0xFFFD).otherwise(code)), 8, "0")), "UTF-32")
+    char = F.when(kind == "#", numeric).otherwise(F.try_element_at(F.try_element_at(_names(), kind), name))
+    rest = F.substr(part, F.char_length(name) + 2)
+    return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), part))
 
 
 def decode_references(text: Column) -> Column:
     """Each character reference once: what decoding yields is not decoded again."""
-    for name, char in NAMED:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    parts = F.split(F.replace(text, F.lit("&amp;"), F.lit("&#38;")), "&#")
-    rest = F.transform(F.slice(parts, F.lit(2), F.size(parts)), _numeric_reference)
-    return F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))
+    parts = F.split(text, "&")
+    rest = F.slice(parts, F.lit(2), F.size(parts))
+    found = F.transform(rest, lambda p: F.struct(p.alias("part"), F.regexp_extract(p, REFERENCE, 1).alias("name")))
+    return F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(found, _decoded), ""))
 
 
 def plain_text(html: Column) -> Column:
