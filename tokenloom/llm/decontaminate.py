@@ -1,12 +1,12 @@
-"""Benchmark decontamination by size-partitioned MinHash containment, in DataFrame functions only.
+"""Benchmark decontamination by MinHash containment with one bottom-hash filter, in DataFrame functions only.
 
 An item is contained in a document when at least `threshold` of the item's distinct word
-shingles occur in it, however long the document is. MinHash orders all shingles by one hash. Items
-are partitioned by size (powers of two). In each partition an item of q shingles is represented
-by its bottom floor((1 - threshold) * q) + 1 hashes: a containing document misses fewer
-shingles than that, so it shares one of them, and nothing is lost. The largest such hash of each
-partition bounds what a document has to offer; only shingles at or under the largest bound
-leave the documents. Pairs that meet are verified by exact shingle containment on the words.
+shingles occur in it, however long the document is. MinHash orders all shingles by one hash. An
+item of q shingles is represented by its bottom floor((1 - threshold) * q) + 1 hashes: a
+containing document misses fewer shingles than that, so it shares one of them, and nothing is
+lost. That exact filter replaces a search by partitions of item sizes: the size class only groups
+the counts, and hashes are joined without it. Only shingles at or under the largest such hash of
+all items leave the documents. Pairs that meet are verified by exact shingle containment on the words.
 
 Words and shingles are as for the similarity join: runs of characters other than U+0020 and
 U+0009 to U+000D, A-Z as a-z; five words, or the whole sequence where there are fewer.
