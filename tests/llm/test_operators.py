@@ -109,6 +109,14 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(counts, 2 * np.array(want))
 
 
+def test_long_pieces_of_the_vocabulary_are_used():
+    pieces = language_id.pieces_of(PIECES)
+    assert "▁international" in pieces and max(map(len, pieces)) == 16
+    lattice = language_id.Lattice(["▁", "▁international"])
+    probs = np.array([[0.5], [0.25]])
+    assert np.isclose(np.exp(lattice.forward(["international"], probs))[0, 0], 0.25)
+
+
 def test_odd_texts_get_a_language_or_none(odd, empty):
     found = language_id.identify(odd, PIECES).collect()
     assert len(found) == len(ODD_TEXTS)

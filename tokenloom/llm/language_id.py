@@ -37,7 +37,6 @@ FIT_ROWS = 1500
 ROUNDS = 2
 # A character that is no piece, in every language; and what is added to a piece's count.
 UNKNOWN, ADDED = 1e-7, 0.1
-LONGEST_PIECE = 12
 MOST_LANGUAGES = 500
 MEMO_WORDS = 1 << 17
 BLOCK_WORDS = 1 << 14
@@ -52,15 +51,14 @@ _PRIME = np.uint64(0x100000001B3)
 
 
 def pieces_of(path: str) -> list[str]:
-    """The vocabulary's ordinary pieces, in order, up to LONGEST_PIECE characters."""
+    """The vocabulary's ordinary pieces, in order."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     special = (model.is_control, model.is_unknown, model.is_byte, model.is_unused)
-    found = [
+    return [
         model.id_to_piece(i)
         for i in range(model.get_piece_size())
         if not any(test(i) for test in special)
     ]
-    return [p for p in found if len(p) <= LONGEST_PIECE]
 
 
 class Lattice:
@@ -78,6 +76,7 @@ class Lattice:
         self.filter = np.zeros(1 << 22, dtype=bool)
         self.filter[self._slot(hashes)] = True
         self.n = len(pieces)
+        self.longest = max(map(len, pieces), default=1)
 
     @staticmethod
     def _hash(piece: str) -> int:
@@ -107,7 +106,7 @@ class Lattice:
         for end in range(1, width + 1):
             here = np.flatnonzero(lengths >= end)
             letter = codes[end - 1]
-            state = [(s ^ letter) * _PRIME + np.uint64(1) for s in state[-(LONGEST_PIECE - 1) :]]
+            state = [(s ^ letter) * _PRIME + np.uint64(1) for s in state[max(0, len(state) - self.longest + 1) :]]
             state.append(letter * _PRIME + np.uint64(1))
             for back, s in enumerate(reversed(state)):
                 rows = here[self.filter[self._slot(s[here])]]
