@@ -19,6 +19,8 @@ CUT_SAMPLE = 1 << 16
 MOST_PARTS = 1 << 12
 # Rows of narrow keys up to which a side is broadcast; larger sides are shuffled.
 BROADCAST_ROWS = 1 << 20
+# Keys that are broadcast because each holds that share of all rows.
+HOT_KEYS = 1 << 12
 
 
 # Models and tables that a worker process keeps.
@@ -68,6 +70,22 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def join_uneven(left: DataFrame, right: DataFrame, key: str | list[str], weight: str, rows: int) -> DataFrame:
+    """`left` joined with `right`, unique by `key`, where a key may hold any share of left's `rows`.
+
+    `weight` is a key's number of rows in `left`. Keys with a HOT_KEYS-th of them or more, so at
+    most HOT_KEYS, are broadcast; the others' rows are shuffled.
+    """
+    keys = [key] if isinstance(key, str) else key
+    most = F.col(weight) * HOT_KEYS >= F.lit(rows)
+    others = [c for c in right.columns if c not in keys]
+    hot = right.filter(most).select(*keys, F.struct(*others).alias("__hot"))
+    tagged = left.join(F.broadcast(hot), keys, "left")
+    heavy = tagged.filter("__hot is not null").select(*left.columns, "__hot.*")
+    light = tagged.filter("__hot is null").drop("__hot").join(right.filter(~most), keys)
+    return heavy.unionByName(light.select(*heavy.columns))
+
+
 def unsigned_share(key: Column) -> Column:
     """A uniform number in [0, 1) from a 64-bit hash."""
     return F.shiftrightunsigned(key, 11).cast("double") / F.lit(float(1 << 53))

@@ -9,6 +9,7 @@ from tokenloom.llm import (
     ann,
     byte_bpe,
     decontaminate,
+    exact_dedup,
     jaccard_join,
     language_id,
     secret_scan,
@@ -195,3 +196,14 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_nearest")
 def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op13_exact_dedup",
+    """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+)
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.find_copies(exact_dedup.with_rows(table(spark, sf_dir, "documents")))
