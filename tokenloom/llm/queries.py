@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from tokenloom.llm import (
     ann,
     byte_bpe,
+    conversation_trie,
     decontaminate,
     exact_dedup,
     jaccard_join,
     language_id,
     secret_scan,
     sharding,
+    spelling,
     token_store,
     url_rules,
     warc,
@@ -207,3 +209,111 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
 )
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(exact_dedup.with_rows(table(spark, sf_dir, "documents")))
+
+
+def _crc32_sql(codes: str) -> str:
+    """DuckDB SQL of the CRC-32 of a text given as a list of code points below 256, in UTF-8.
+
+    `crc_table` is a list column with the 256 remainders, from CRC_TABLE.
+    """
+    octets = (
+        f"flatten(list_transform({codes}, lambda c: CASE WHEN c < 128 THEN [c::BIGINT] "
+        f"ELSE [(192 + (c >> 6))::BIGINT, (128 + (c & 63))::BIGINT] END))"
+    )
+    step = "lambda a, o: xor(a >> 8, crc_table[(xor(a, o) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), {step}), 4294967295)"
+
+
+CRC_TABLE = """crc_table_rows AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)),
+    lambda r, k: CASE WHEN (r & 1) = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END) ORDER BY i) AS crc_table
+  FROM range(256) t(i))"""
+
+
+@query(
+    "op12_spelling",
+    rf"""
+WITH RECURSIVE {CRC_TABLE}, runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  GROUP BY ALL HAVING length(run) >= 5
+), hashed AS (
+  SELECT run, k, ({_crc32_sql("list_transform(string_split(doc_id::VARCHAR || ':' || run, ''), lambda x: ord(x))")})::BIGINT AS h
+  FROM runs, crc_table_rows
+), slipped AS (
+  SELECT CASE WHEN h % 97 = 0 THEN run[1 : (h % length(run))::INT] || run[(h % length(run))::INT + 2 :]
+         ELSE run END AS word, k FROM hashed
+), words AS (
+  SELECT word, sum(k)::BIGINT AS n FROM slipped GROUP BY word HAVING length(word) >= 5 AND sum(k) >= 3
+), gaps AS (
+  SELECT word, n, i, word[1 : i] || word[i + 2 :] AS rest FROM (SELECT *, unnest(range(length(word))) AS i FROM words)
+), near AS (
+  SELECT DISTINCT * FROM (
+    SELECT a.word, b.word AS other, b.n AS m FROM gaps a JOIN gaps b USING (i, rest) WHERE a.word <> b.word
+    UNION ALL SELECT a.word, b.word, b.n FROM gaps a JOIN words b ON a.rest = b.word
+    UNION ALL SELECT b.word, a.word, a.n FROM gaps a JOIN words b ON a.rest = b.word)
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, encode(other)) AS other, max(m) AS m
+  FROM near GROUP BY word
+), forms AS (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN other END AS form,
+         CASE WHEN m >= 2 * n THEN m END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), chains AS (
+  SELECT word, word AS tip, 0 AS step FROM forms
+  UNION ALL SELECT c.word, f.form, step + 1 FROM chains c JOIN forms f ON f.word = c.tip WHERE f.form IS NOT NULL
+)
+SELECT f.*, r.root FROM forms f JOIN (SELECT word, max_by(tip, step) AS root FROM chains GROUP BY word) r USING (word)""",
+)
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_conversation_trie",
+    rf"""
+WITH {CRC_TABLE}, own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS txt,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+         ({_crc32_sql("list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x))")})::BIGINT % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM own), crc_table_rows
+), turns AS (
+  SELECT c.conv_id, 0 AS tail, pos, role, txt FROM convs c JOIN own o ON o.conv_id = c.base AND pos < h
+  UNION ALL SELECT c.conv_id, 1, pos, role, txt FROM convs c JOIN own o ON o.conv_id = c.conv_id AND pos >= h
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY tail, pos) AS depth,
+         list([role, txt]) OVER (PARTITION BY conv_id ORDER BY tail, pos) AS prefix FROM turns
+), paths AS (
+  SELECT conv_id, depth, prefix, len(list_filter(string_split_regex(txt, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS words
+  FROM numbered
+  UNION ALL SELECT conv_id, 0, []::VARCHAR[][], 0 FROM convs
+), last AS (
+  SELECT conv_id, max(depth) AS total FROM paths GROUP BY conv_id
+), nodes AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words,
+         sha256(coalesce(string_agg(CASE WHEN depth = total THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM paths JOIN last USING (conv_id) GROUP BY prefix, depth
+), linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id FROM nodes n
+  LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.prefix = n.prefix[: n.depth - 1]
+), children AS (
+  SELECT depth - 1 AS depth, parent_conv_id AS conv_id, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY ALL
+), counted AS (
+  SELECT l.*, coalesce(n_children, 0) AS n_children FROM linked l LEFT JOIN children USING (conv_id, depth)
+), own_node AS (
+  SELECT p.conv_id AS member, c.* FROM paths p JOIN counted c USING (prefix, depth)
+), below AS (
+  SELECT DISTINCT a.conv_id, a.depth, b.conv_id AS conv_b, b.depth AS depth_b, b.n_children, b.n_convs, b.words
+  FROM own_node a JOIN own_node b ON a.member = b.member AND a.depth <= b.depth
+), sums AS (
+  SELECT conv_id, depth, count(*) FILTER (WHERE n_children = 0) AS n_leaves,
+         sum((n_convs - 1) * words)::BIGINT AS saved_tokens FROM below GROUP BY conv_id, depth
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM counted JOIN sums USING (conv_id, depth)""",
+)
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
