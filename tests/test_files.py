@@ -16,6 +16,7 @@ from tokenloom.sinks.files import save_csv, save_parquet
 from tokenloom.sinks.metrics import append_metrics, save_checkpoints
 from tokenloom.sinks.paths import output_path
 from tokenloom.sinks.tokens import write_chunks, write_token_files, write_vocab
+from tokenloom.sources import quoted_csv
 from tokenloom.sources.archives import _runs, list_members, read_members, unzip_files
 from tokenloom.sources.csv import count_extra_fields, read_csv
 from tokenloom.sources.files import list_files
@@ -129,6 +130,83 @@ def test_csv_mixed_encodings(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("é", 1), ("表", 2), ("a\nb", 3)]
 
 
+def records_of(data, delimiter=","):
+    """Records by one look at every byte, with a state per character."""
+    out, record, state, i = [], "", "start", 0
+    while i < len(data):
+        c = data[i]
+        if state == "inside":
+            state = "closed" if c == '"' else state
+        elif state in ("start", "closed") and c == '"':
+            state = "inside"
+        elif c == "\n":
+            out.append(record.removesuffix("\r"))
+            record, state = "", "start"
+            i += 1
+            continue
+        elif data.startswith(delimiter, i):
+            record, state = record + delimiter, "start"
+            i += len(delimiter)
+            continue
+        else:
+            state = "field"
+        record += c
+        i += 1
+    return [r for r in [*out, record][1:] if r]
+
+
+@pytest.mark.parametrize("delimiter", [",", "||"])
+@pytest.mark.parametrize("seed", range(4))
+def test_quoted_ranges_meet_at_the_same_records(tmp_path, monkeypatch, seed, delimiter):
+    monkeypatch.setattr(quoted_csv, "READ_BYTES", 7)
+    rng = random.Random(seed)
+    parts = ['"', '""', '"""', delimiter, "\n", "\r\n", "é", "x y", f'{delimiter}"', f'"{delimiter}', '"\n']
+    data = "a,b\n" + "".join(rng.choices(parts, k=400))
+    path, raw, mark = put(tmp_path / "q.csv", data), data.encode(), delimiter.encode()
+    for size in (1, 2, 5, 17, 100, 10**6):
+        inside, found = False, []
+        for start in range(0, len(raw), size):
+            stop = min(start + size, len(raw))
+            found += quoted_csv.range_records(path, start, stop, mark, inside)
+            inside = quoted_csv.range_function(path, start, stop, mark)[inside]
+        assert [r.decode() for _, r in found if r][1:] == records_of(data, delimiter), size
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "shift_jis"])
+def test_quoted_files_are_read_by_several_tasks(spark, tmp_path, encoding):
+    rng = random.Random(1)
+    words = ["plain", 'with "quotes"', "line\nbreak", "表,二", "", " pad ", "\n\n", '"', "a\r\nb"]
+    rows = [(str(i), rng.choice(words), rng.choice(words)) for i in range(700)]
+    out = io.StringIO()
+    pd.DataFrame(rows, columns=["k", "v", "w"]).to_csv(out, index=False)
+    path = put(tmp_path / "q" / "a.csv", out.getvalue().encode(encoding))
+    put(tmp_path / "q" / "b.csv", 'w,v,k\n"x\ny",2,1000\n')
+    put(tmp_path / "q" / "c.csv", "")
+    want = sorted([*((int(k), v or None, w or None) for k, v, w in rows), (1000, "2", "x\ny")])
+    for size in (50, 1000, 1 << 20):
+        df = read_csv(spark, str(tmp_path / "q"), ["k", "v", "w"], range_bytes=size)
+        assert sorted(map(tuple, df.collect())) == want
+    records = quoted_csv.read_records(spark, [path], ",", "latin-1", 1000)
+    tasks = records.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 8 and records.count() == 700
+
+
+def test_states_of_ranges_compose_along_a_file(spark):
+    rng = random.Random(2)
+    functions = [(False, False), (True, True), (True, False), (False, True)]
+    rows, want = [], {}
+    for path in ("x", "y"):
+        inside = False
+        for i in range(60):
+            f = rng.choice(functions if rng.random() < 0.3 else functions[2:])
+            rows.append((path, i, i + 1, *f))
+            want[path, i] = inside
+            inside = f[inside]
+    df = spark.createDataFrame(rows, f"{quoted_csv.RANGES}, from_outside boolean, from_inside boolean")
+    found = {(r["path"], r["start"]): r["inside"] for r in quoted_csv.start_states(df).collect()}
+    assert found == want
+
+
 def make_zip(path, members):
     path.parent.mkdir(parents=True, exist_ok=True)
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:

@@ -1,4 +1,8 @@
-"""CSV files with a header, UTF-8 or Shift-JIS."""
+"""CSV files with a header, UTF-8 or Shift-JIS.
+
+Files without line breaks inside quotes are divided by Spark's own reader. Those with some are
+divided by `quoted_csv`, which finds out where a byte range starts inside quotes.
+"""
 
 from __future__ import annotations
 
@@ -14,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tokenloom.sources.files import list_files, resolve
+from tokenloom.sources.quoted_csv import RANGE_BYTES, read_records
 
 # Field texts that mean "missing".
 MISSING = (
@@ -27,6 +32,7 @@ _BOOLEAN = "^(True|False|TRUE|FALSE|true|false)$"
 
 # Takes the field after the last one that the header names.
 _EXTRA = "__extra_field"
+_PATH = "__path"
 _HEADER_BYTES = 1 << 16
 
 
@@ -37,6 +43,7 @@ def read_csv(
     delimiter: str = ",",
     schema: T.StructType | str | None = None,
     extra_fields: str = "ignore",
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """The named columns, in the order of the first file, of one or more CSV files.
 
@@ -46,7 +53,7 @@ def read_csv(
     fail the job with extra_fields="fail"; `count_extra_fields` counts such rows. Types come from
     the whole data (integer, double, boolean, else text; missing values do not count) in one extra
     pass over the needed columns; give `schema` for those columns to save it. Files are split
-    over tasks, except those with line breaks inside quotes.
+    over tasks, those with line breaks inside quotes by `range_bytes`.
     """
     if extra_fields not in ("ignore", "fail"):
         raise ValueError("extra_fields is 'ignore' or 'fail'")
@@ -61,7 +68,7 @@ def read_csv(
     wanted = [c for c in header if c in set(columns)]
     table = None
     for kind, files in groups:
-        part = _read_group(spark, kind, files, delimiter)
+        part = _read_group(spark, kind, files, delimiter, range_bytes)
         if extra_fields == "fail":
             refuse = F.raise_error(F.lit("a CSV row has more fields than its header"))
             part = part.filter(F.when(F.col(_EXTRA).isNull(), True).otherwise(refuse.cast("boolean")))
@@ -75,8 +82,8 @@ def count_extra_fields(spark: SparkSession, paths: str | list[str], delimiter: s
     """(path, rows): the rows of each file that have more fields than its header."""
     found = None
     for kind, files in _file_groups(spark, paths, delimiter):
-        part = _read_group(spark, kind, files, delimiter).filter(F.col(_EXTRA).isNotNull())
-        part = part.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("rows"))
+        part = _read_group(spark, kind, files, delimiter, RANGE_BYTES).filter(F.col(_EXTRA).isNotNull())
+        part = part.groupBy(F.col(_PATH).alias("path")).agg(F.count("*").alias("rows"))
         found = part if found is None else found.unionAll(part)
     return found
 
@@ -164,30 +171,35 @@ def _first_record(data: bytes) -> bytes | None:
 
 
 def _read_group(
-    spark: SparkSession, kind: tuple[tuple[str, ...], bool, bool], files: list[str], delimiter: str
+    spark: SparkSession,
+    kind: tuple[tuple[str, ...], bool, bool],
+    files: list[str],
+    delimiter: str,
+    range_bytes: int,
 ) -> DataFrame:
-    """All fields as text, under the files' header and _EXTRA."""
+    """All fields as text, under the files' header, _EXTRA and _PATH."""
     header, utf8, multiline = kind
     if not utf8 and any(0x40 <= ord(c) < 0x7F for c in delimiter):
         raise ValueError(f"{delimiter!r} may be part of a Shift-JIS character")
-    fields = [T.StructField(name, T.StringType()) for name in (*header, _EXTRA)]
-    table = spark.read.schema(T.StructType(fields)).csv(
-        files,
-        header=True,
-        sep=delimiter,
-        quote='"',
-        escape='"',
-        multiLine=multiline,
-        nullValue="",
-        emptyValue="",
-        encoding="UTF-8" if utf8 else "ISO-8859-1",
-    )
+    names = (*header, _EXTRA)
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    options = {"sep": delimiter, "quote": '"', "escape": '"', "nullValue": "", "emptyValue": ""}
+    if multiline:
+        records = read_records(spark, files, delimiter, "utf-8" if utf8 else "latin-1", range_bytes)
+        # Names as positions: a header may hold any characters.
+        numbered = ", ".join(f"c{i} string" for i in range(len(names)))
+        fields = F.from_csv("record", numbered, {**options, "multiLine": "true"})
+        parsed = records.select(F.col("path").alias(_PATH), fields.alias("r"))
+        table = parsed.select(*[F.col(f"r.c{i}").alias(name) for i, name in enumerate(names)], _PATH)
+    else:
+        encoding = "UTF-8" if utf8 else "ISO-8859-1"
+        table = spark.read.schema(schema).csv(files, header=True, encoding=encoding, **options)
+        table = table.withColumn(_PATH, F.col("_metadata.file_path"))
     if utf8:
         return table
     # Spark parses bytes as characters: no byte of a Shift-JIS character is a quote, a line end
     # or one of the delimiters allowed above. Fields are decoded afterwards.
-    decoded = [_from_shift_jis(F.col(f"`{c}`")).alias(c) for c in table.columns]
-    return table.select(*decoded, F.col("_metadata"))
+    return table.select(*[_from_shift_jis(F.col(f"`{c}`")).alias(c) for c in names], _PATH)
 
 
 @F.arrow_udf(T.StringType())
