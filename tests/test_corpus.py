@@ -75,13 +75,13 @@ def test_split_of_random_corpora(spark, seed):
     ratio = rng.random()
     corpus = corpus_of(spark, texts, ids).repartition(rng.choice([1, 3, 8]))
     for fanout in (16, 1024):
-        cut = locate_cut(corpus, ratio, fanout=fanout)
+        cut = locate_cut(corpus, ratio, rows_per_range=fanout)
         assert (cut.total, cut.position) == (len(whole), int(len(whole) * ratio))
         got = split_texts(split_corpus(corpus, cut=cut))
         assert got == {"train": whole[: cut.position], "val": whole[cut.position :]}
     for name in ("train", "val"):
         assert split_texts(one_split(corpus, name, cut=cut))[name] == got[name]
-    starts = {r["doc_id"]: r["start"] for r in document_offsets(corpus, fanout=16).collect()}
+    starts = {r["doc_id"]: r["start"] for r in document_offsets(corpus).collect()}
     position = 0
     for doc_id, text in sorted(zip(ids, texts)):
         assert starts[doc_id] == position
@@ -154,8 +154,8 @@ def test_chunks_and_blocks(spark, size):
     assert {r[0]: r[1] for r in count_tokens(df).collect()} == {
         s: len(t) for s, t in streams.items()
     }
-    assert token_positions(df, fanout=32).count() == len(docs)
-    chunks = pack_chunks(df, size, chunks_per_shard=4, fanout=32)
+    assert token_positions(df).count() == len(docs)
+    chunks = pack_chunks(df, size, tokens_per_shard=4 * size)
     got = {}
     for row in chunks.orderBy("split", "chunk_id").collect():
         got.setdefault(row["split"], []).append((row["chunk_id"], row["tokens"]))
@@ -171,8 +171,9 @@ def test_chunks_and_blocks(spark, size):
     if not rows:
         return
     starts = spark.createDataFrame(rows, "split string, batch_id bigint, row_id int, start bigint")
-    for n_starts in (None, len(rows)):
-        blocks = cut_blocks(starts, chunks, size, n_starts=n_starts).collect()
+    wide = pack_chunks(df, 3 * size, halo=size, tokens_per_shard=7 * size)
+    for n_starts, packed, chunk_size in ((None, chunks, size), (len(rows), chunks, size), (None, wide, 3 * size), (9, wide, 3 * size)):
+        blocks = cut_blocks(starts, packed, size, chunk_size=chunk_size, n_starts=n_starts).collect()
         assert len(blocks) == len(rows)
         for b in blocks:
             stream = streams[b["split"]]

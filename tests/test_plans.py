@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,23 +56,17 @@ def test_prefix_shuffles_rows_once(spark):
     assert plan.count("Exchange") <= 4
 
 
-def test_chunks_move_tokens_once_and_through_no_window(spark, monkeypatch):
+def test_chunks_move_tokens_once_and_through_no_window(spark):
     from tokenloom.operators import chunks
 
     encoded = spark.createDataFrame(
         [("train", i, 3, [1, 2, 3]) for i in range(9)],
         "split string, doc_id bigint, n_tokens bigint, tokens array<int>",
     )
-    plan = plan_of(chunks.pack_chunks(encoded, 4))
-    # The one exchange of tokens is that of the slices, above the join with the positions.
-    assert plan[: plan.index("Generate explode(transform")].count("Exchange") == 1
-    assert "BroadcastHashJoin" in plan
-    monkeypatch.setattr(chunks, "BROADCAST_DOCUMENTS", 0)
-    wide = chunks.pack_chunks(encoded, 4)
-    assert "SortMergeJoin" in plan_of(wide)
-    for shape in (plan, plan_of(wide)):
-        for line in shape.splitlines():
-            assert "Window" not in line or "tokens" not in line.replace("n_tokens", "")
+    for halo in (0, 2):
+        plan = plan_of(chunks.pack_chunks(encoded, 4, halo=halo))
+        # No join with the positions and no window, whatever the number of documents.
+        assert plan.count("Exchange") == 1 and "Join" not in plan and "Window" not in plan
     few_large = spark.createDataFrame(
         [("train", i * 10**9, 5000, list(range(5000))) for i in range(3)], encoded.schema
     )
@@ -79,6 +74,53 @@ def test_chunks_move_tokens_once_and_through_no_window(spark, monkeypatch):
     assert [t for r in packed for t in r["tokens"]] == list(range(5000)) * 3
 
 
+def test_a_document_of_many_shards_is_cut_before_it_moves(spark):
+    from tokenloom.operators import chunks
+
+    sizes = [3, 5000, 1, 0, 700, 2]
+    rows = [("val", i << 40, n, [i * 10_000 + j for j in range(n)]) for i, n in enumerate(sizes)]
+    encoded = spark.createDataFrame(rows, "split string, doc_id bigint, n_tokens bigint, tokens array<int>")
+    shards = chunks.divide_stream(encoded, 10, 4, 100)
+    assert shards.span == 100 and shards.count == 58
+    ids, n = (np.array([r[k] for r in rows if r[2]]) for k in (1, 2))
+    row, shard, begin, count = shards.slices("val", ids, n)
+    assert count.max() == 104 and count.sum() == 5706 + 57 * 4 and len(row) == len(set(zip(row, shard)))
+    packed = chunks.pack_chunks(encoded, 10, halo=4, tokens_per_shard=100).orderBy("chunk_id").collect()
+    stream = [t for r in rows for t in r[3]]
+    assert [r["tokens"] for r in packed] == [stream[i : i + 10] for i in range(0, 5706, 10)]
+    assert [r["halo"] for r in packed] == [stream[i + 10 : i + 14] for i in range(0, 5706, 10)]
+
+
+def test_documents_that_change_between_two_reads_are_noticed(spark):
+    from tokenloom.operators import chunks
+
+    encoded = spark.createDataFrame([("val", 1, 3, [1, 2])], "split string, doc_id bigint, n_tokens bigint, tokens array<int>")
+    with pytest.raises(Exception, match="documents have changed"):
+        chunks.pack_chunks(encoded, 2).collect()
+
+
+def test_positions_of_sparse_ids_take_few_shuffles(spark):
+    from tokenloom.operators.chunks import token_positions
+    from tokenloom.operators.split import document_offsets
+
+    rows = [("train", n << 30, 5) for n in range(3000)]
+    encoded = spark.createDataFrame(rows, "split string, doc_id bigint, n_tokens bigint")
+    placed = token_positions(encoded)
+    assert plan_of(placed).count("Exchange") <= 4
+    assert sorted((r["doc_id"], r["start"]) for r in placed.collect()) == [(n << 30, 5 * n) for n in range(3000)]
+    corpus = spark.createDataFrame([(n << 30, "ab") for n in range(500)], "doc_id bigint, text string")
+    assert plan_of(document_offsets(corpus)).count("Exchange") <= 4
+    cut = locate_cut(corpus, 0.33)
+    assert (cut.total, cut.position, cut.doc_id, cut.head) == (1000, 330, 165 << 30, 0)
+
+
+def test_blocks_take_one_key_per_start(spark):
+    plan = plan_of(QUERIES["training_blocks_shuffled"](spark, SF))
+    assert "Window" not in plan and plan.count("Join") == 1
+    # The tokens of the chunks and the starts; below the former only the move to shards.
+    assert plan.count("Exchange") == 3
+
+
 def test_large_inputs_are_not_spread(spark, monkeypatch):
     from tokenloom.operators import layout
 

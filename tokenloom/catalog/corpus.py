@@ -30,6 +30,8 @@ from tokenloom.operators.vocab import (
 )
 
 BLOCK_SIZE = 256
+# Chunks that carry a halo of one block, so a quarter of their tokens is stored twice.
+HALO_CHUNK = 4 * BLOCK_SIZE
 BATCH_SIZE = 6
 SEED = 1337
 
@@ -111,9 +113,10 @@ def char_tokens(spark: SparkSession, sf_dir: str, cut: Cut | None = None) -> Dat
     return encode_chars(split_corpus(docs, cut=cut), build_vocab(docs))
 
 
-def char_chunks(spark: SparkSession, sf_dir: str, cut: Cut | None = None) -> DataFrame:
-    cut = cut or locate_cut(documents(spark, sf_dir))
-    return pack_chunks(char_tokens(spark, sf_dir, cut), BLOCK_SIZE, bounds=cut.bounds)
+def char_chunks(
+    spark: SparkSession, sf_dir: str, cut: Cut | None = None, *, size: int = BLOCK_SIZE, halo: int = 0
+) -> DataFrame:
+    return pack_chunks(char_tokens(spark, sf_dir, cut), size, halo=halo)
 
 
 def epoch_batches(sizes: dict[str, int]) -> dict[str, int]:
@@ -256,8 +259,7 @@ FROM split_text""",
 )
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = locate_cut(documents(spark, sf_dir))
-    encoded = char_tokens(spark, sf_dir, cut).select("split", "doc_id", "n_tokens")
-    return token_positions(encoded, bounds=cut.bounds)
+    return token_positions(char_tokens(spark, sf_dir, cut).select("split", "doc_id", "n_tokens"))
 
 
 @query(
@@ -333,7 +335,8 @@ def epoch_blocks(spark: SparkSession, sf_dir: str, *, counted: bool) -> DataFram
         spark, cut.sizes, block_size=BLOCK_SIZE, batch_size=BATCH_SIZE, batches=batches, seed=SEED
     )
     n_starts = BATCH_SIZE * sum(batches.values()) if counted else None
-    return cut_blocks(starts, char_chunks(spark, sf_dir, cut), BLOCK_SIZE, n_starts=n_starts)
+    chunks = char_chunks(spark, sf_dir, cut, size=HALO_CHUNK, halo=BLOCK_SIZE)
+    return cut_blocks(starts, chunks, BLOCK_SIZE, chunk_size=HALO_CHUNK, n_starts=n_starts)
 
 
 @query("training_blocks", BLOCKS_SQL)

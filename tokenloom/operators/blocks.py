@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions.core import hashed_bits, int_div
 
+DRAW = ["split", "batch_id", "row_id", "start"]
 # Draws up to this many rows (about 50 bytes each) may be broadcast.
 BROADCAST_DRAWS = 200_000
 
@@ -48,31 +49,52 @@ def draw_starts(
 
 
 def cut_blocks(
-    starts: DataFrame, chunks: DataFrame, block_size: int, *, n_starts: int | None = None
+    starts: DataFrame,
+    chunks: DataFrame,
+    block_size: int,
+    *,
+    chunk_size: int | None = None,
+    n_starts: int | None = None,
 ) -> DataFrame:
     """(split, batch_id, row_id, start, x, y) for every start; y is x moved by one token.
 
-    With chunks of `block_size` tokens, the block_size + 1 tokens from a start always
-    lie in two neighbouring chunks, so this is an equi-join on two keys per start.
-    When `n_starts` is known and small the starts are broadcast and the chunk table
-    is only scanned; otherwise both sides shuffle.
+    Chunks of `chunk_size` tokens (block_size if not given) that carry the block_size tokens after
+    them as `halo` hold every block that starts in them, so this is an equi-join on one key per
+    start and tokens are shuffled once. Chunks of block_size tokens without a halo are joined by two keys. When
+    `n_starts` is known and small the starts are broadcast and the chunk table is only
+    scanned; otherwise both sides shuffle.
     """
-    first = int_div(F.col("start"), block_size)
+    chunk_size = chunk_size or block_size
+    small = n_starts is not None and n_starts <= BROADCAST_DRAWS
+    joined = _beside_halo if "halo" in chunks.columns else _beside_following
+    offset = (F.col("start") % chunk_size).cast("int")
+    # block_size + 1 tokens, those beyond the chunk from its halo.
+    own = F.slice("tokens", offset + 1, F.lit(block_size + 1))
+    more = F.greatest(offset + block_size + 1 - F.size("tokens"), F.lit(0))
+    both = F.concat(own, F.slice("halo", F.lit(1), more))
+    window = joined(starts, chunks, chunk_size, small).select(*DRAW, both.alias("both"))
+    return window.select(
+        *DRAW, F.slice("both", 1, block_size).alias("x"), F.slice("both", 2, block_size).alias("y")
+    )
+
+
+def _beside_halo(starts: DataFrame, chunks: DataFrame, size: int, small: bool) -> DataFrame:
+    """Every start with the tokens and the halo of its chunk."""
+    wanted = starts.withColumn("chunk_id", int_div(F.col("start"), size))
+    wanted = F.broadcast(wanted) if small else wanted
+    return chunks.select("split", "chunk_id", "tokens", "halo").join(wanted, ["split", "chunk_id"])
+
+
+def _beside_following(starts: DataFrame, chunks: DataFrame, size: int, small: bool) -> DataFrame:
+    """The same with the next chunk as halo: two keys per start, met again by start."""
+    first = int_div(F.col("start"), size)
     wanted = starts.withColumn("chunk_id", F.explode(F.array(first, first + 1)))
-    if n_starts is not None and n_starts <= BROADCAST_DRAWS:
-        wanted = F.broadcast(wanted)
+    wanted = F.broadcast(wanted) if small else wanted
     pairs = chunks.select("split", "chunk_id", "tokens").join(wanted, ["split", "chunk_id"])
-    # At most two rows per start: the chunk it lies in and the one after it.
-    draw = ["split", "batch_id", "row_id", "start"]
-    following = F.lead("tokens").over(Window.partitionBy(*draw).orderBy("chunk_id"))
-    joined = (
-        pairs.withColumn("following", following)
-        .filter(F.col("chunk_id") == first)
-        .withColumn("tokens", F.concat("tokens", F.coalesce("following", F.array().cast("array<int>"))))
-    )
-    offset = (F.col("start") % block_size).cast("int")
-    return joined.select(
-        *draw,
-        F.slice("tokens", offset + 1, F.lit(block_size)).alias("x"),
-        F.slice("tokens", offset + 2, F.lit(block_size)).alias("y"),
+    is_own = F.col("chunk_id") == first
+    return pairs.groupBy(*DRAW).agg(
+        F.first(F.when(is_own, F.col("tokens")), ignorenulls=True).alias("tokens"),
+        F.coalesce(
+            F.first(F.when(~is_own, F.col("tokens")), ignorenulls=True), F.array().cast("array<int>")
+        ).alias("halo"),
     )

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.operators.prefix import WIDE_FANOUT, exclusive_prefix
+from tokenloom.operators.ranges import ROWS_PER_RANGE, store_ranges, sum_before
 
 TRAIN = "train"
 VAL = "val"
@@ -16,14 +15,12 @@ VAL = "val"
 
 @dataclass(frozen=True)
 class Cut:
-    """Where the corpus is cut: `head` characters of document `doc_id` belong to train.
-    All document ids lie within `bounds`."""
+    """Where the corpus is cut: `head` characters of document `doc_id` belong to train."""
 
     total: int
     position: int
     doc_id: int | None
     head: int
-    bounds: tuple[int, int] = field(default=(0, 0), compare=False)
 
     @property
     def sizes(self) -> dict[str, int]:
@@ -36,15 +33,10 @@ def count_characters(corpus: DataFrame) -> DataFrame:
     return corpus.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0)).alias("n_chars"))
 
 
-def document_offsets(
-    corpus: DataFrame, *, length: Column | None = None, fanout: int = WIDE_FANOUT
-) -> DataFrame:
+def document_offsets(corpus: DataFrame, *, length: Column | None = None) -> DataFrame:
     """(doc_id, n, start): every document's first character position in the corpus."""
-    lengths = _lengths(corpus, length)
-    scanned = exclusive_prefix(
-        lengths, partition=[], key="doc_id", value="n", how="sum", out="start", fanout=fanout
-    )
-    return scanned.withColumn("start", F.coalesce("start", F.lit(0).cast("bigint")))
+    ranged = store_ranges(_lengths(corpus, length), ["doc_id"])
+    return sum_before(ranged, partition=[], order=["doc_id"], value="n", out="start").drop("part")
 
 
 def locate_cut(
@@ -52,61 +44,36 @@ def locate_cut(
     ratio: float = 0.9,
     *,
     length: Column | None = None,
-    fanout: int = WIDE_FANOUT,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> Cut:
     """Find the one document that the cut runs through.
 
-    Only lengths are aggregated: characters per bucket of `fanout` consecutive
-    document ids, a running sum over those buckets, and a second look at the single
-    bucket (at most `fanout` documents) holding the cut. Nothing but the answer
-    reaches the driver, and no text is shuffled. `length` may name a column already
-    holding the number of characters, so that the text is not read here.
+    Only lengths are divided by ranges of document ids, whatever these look like: totals per range, a
+    running sum over the ranges, and a second look at the single range (about `rows_per_range`
+    documents) holding the cut. Nothing but the answer reaches the driver, and no text is
+    shuffled. `length` may name a column already holding the number of characters, so that the
+    text is not read here.
     """
     if not 0.0 <= ratio <= 1.0:
         raise ValueError("ratio must lie between 0 and 1")
-    lengths = _lengths(corpus, length)
-    shift = fanout.bit_length() - 1
-    fanout = 1 << shift
-    totals = (
-        lengths.groupBy(F.shiftright("doc_id", shift).alias("bucket"))
-        .agg(F.sum("n").alias("n"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    try:
-        total, low, high = totals.agg(F.sum("n"), F.min("bucket"), F.max("bucket")).first()
-        total = total or 0
-        position = int(total * float(ratio))
-        bounds = (0, 0) if low is None else (low << shift, ((high + 1) << shift) - 1)
-        if position >= total:
-            return Cut(total, position, None, 0, bounds)
-        start = F.coalesce("start", F.lit(0).cast("bigint"))
-        bucket, before = (
-            exclusive_prefix(
-                totals,
-                partition=[],
-                key="bucket",
-                value="n",
-                how="sum",
-                out="start",
-                bounds=(low, high),
-            )
-            .filter((start <= position) & (start + F.col("n") > position))
-            .select("bucket", start)
-            .first()
-        )
-    finally:
-        totals.unpersist()
-    low = bucket << shift
+    ranged = store_ranges(_lengths(corpus, length), ["doc_id"], rows_per_range=rows_per_range)
+    totals = ranged.groupBy("part").agg(F.sum("n").alias("n"))
+    total = totals.agg(F.sum("n")).first()[0] or 0
+    position = int(total * float(ratio))
+    if position >= total:
+        return Cut(total, position, None, 0)
+    along = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    part, before = _holding(totals.withColumn("start", F.sum("n").over(along)), position, "part")
     window = Window.orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("n").over(window), F.lit(0).cast("bigint")) + F.lit(before)
-    doc_id, head = (
-        lengths.filter(F.col("doc_id").between(low, low + fanout - 1))
-        .withColumn("start", start)
-        .filter((F.col("start") <= position) & (F.col("start") + F.col("n") > position))
-        .select("doc_id", F.lit(position) - F.col("start"))
-        .first()
-    )
-    return Cut(total, position, doc_id, head, bounds)
+    inside = ranged.filter(F.col("part") == part).withColumn("start", F.sum("n").over(window))
+    doc_id, head = _holding(inside, position - before, "doc_id")
+    return Cut(total, position, doc_id, position - before - head)
+
+
+def _holding(rows: DataFrame, position: int, name: str) -> tuple:
+    """(name, start) of the row whose characters hold `position`."""
+    start = F.coalesce("start", F.lit(0).cast("bigint"))
+    return rows.filter((start <= position) & (start + F.col("n") > position)).select(name, start).first()
 
 
 def split_corpus(corpus: DataFrame, ratio: float = 0.9, *, cut: Cut | None = None) -> DataFrame:
