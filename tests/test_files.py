@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tokenloom import schemas
+from tokenloom.operators.chunks import pack_chunks
 from tokenloom.sinks.files import save_csv, save_parquet
 from tokenloom.sinks.metrics import append_metrics, save_checkpoints
 from tokenloom.sinks.paths import output_path
@@ -24,7 +25,7 @@ from tokenloom.sources.parquet import read_each_parquet, read_parquets
 from tokenloom.sources.ranged_text import read_ranged
 from tokenloom.sources.tables import read_chunks, read_ranks, read_vocab
 from tokenloom.sources.text import read_text
-from tokenloom.sources.token_files import read_token_dataset, read_token_file
+from tokenloom.sources.token_files import check_token_files, read_token_dataset, read_token_file
 
 
 def put(path, data):
@@ -281,7 +282,7 @@ def test_token_files_and_chunks(spark, tmp_path):
     stored = read_chunks(spark, write_chunks(chunks, str(tmp_path / "chunks")))
     folder = write_token_files(stored, str(tmp_path / "bin"), chunk_size=10)
     for split in ("train", "val"):
-        names = sorted(os.listdir(tmp_path / "bin" / split))
+        names = sorted(n for n in os.listdir(tmp_path / "bin" / split) if n.endswith(".bin"))
         raw = b"".join((tmp_path / "bin" / split / n).read_bytes() for n in names)
         want = [t for s, _, ts in rows if s == split for t in ts]
         assert np.frombuffer(raw, "<u2").tolist() == want
@@ -297,19 +298,66 @@ def test_token_files_and_chunks(spark, tmp_path):
 def test_token_stream_with_a_gap_is_refused(spark, tmp_path):
     rows = [("train", i, [i] * 10) for i in range(20)]
     chunks = spark.createDataFrame(rows, schemas.TOKEN_CHUNKS)
-    parts = chunks.filter("chunk_id < 10"), chunks.filter("chunk_id >= 15")
-    for number, part in enumerate(parts):
-        write_token_files(part, str(tmp_path / str(number)), chunk_size=10)
-    target = tmp_path / "0" / "train"
-    for name in os.listdir(tmp_path / "1" / "train"):
-        if name.endswith(".bin"):
-            (target / name).write_bytes((tmp_path / "1" / "train" / name).read_bytes())
     with pytest.raises(Exception, match="should start at id 100"):
-        read_token_file(spark, str(target), chunk_size=10).collect()
+        write_token_files(chunks.filter("chunk_id < 10 or chunk_id >= 15"), str(tmp_path / "gap"), chunk_size=10)
+    with pytest.raises(Exception, match="no write to it was completed"):
+        read_token_file(spark, str(tmp_path / "gap" / "train"), chunk_size=10).collect()
+    write_token_files(chunks, str(tmp_path / "0"), chunk_size=10)
     with pytest.raises(FileExistsError):
         write_token_files(chunks, str(tmp_path / "0"), chunk_size=10)
 
 
+def test_a_token_stream_is_what_its_manifest_names(spark, tmp_path):
+    rows = [("train", i, [i] * 10) for i in range(64)]
+    chunks = spark.createDataFrame(rows, schemas.TOKEN_CHUNKS).repartitionByRange(8, "chunk_id")
+    write_token_files(chunks, str(tmp_path), chunk_size=10, ordered=True)
+    folder = tmp_path / "train"
+    files = sorted(n for n in os.listdir(folder) if n.endswith(".bin"))
+    assert len(files) > 4
+    whole = {n: (folder / n).read_bytes() for n in files}
+
+    def read():
+        return sorted(tuple(r) for r in read_token_file(spark, str(folder), chunk_size=10).collect())
+
+    assert read() == [(i, [i] * 10) for i in range(64)]
+    (folder / f"{640:018d}-leftover.bin").write_bytes(b"12" * 10)  # of an attempt that failed
+    assert len(read()) == 64
+    last = folder / files[-1]
+    last.unlink()
+    with pytest.raises(Exception, match="should hold"):
+        read()
+    last.write_bytes(whole[files[-1]][:-2])
+    with pytest.raises(Exception, match="should hold"):
+        read()
+    last.write_bytes(whole[files[-1]][:-2] + b"zz")
+    with pytest.raises(Exception, match="not the file"):
+        read()
+    assert sorted(r["intact"] for r in check_token_files(spark, str(folder)).collect()) == [False] + [True] * (len(files) - 1)
+    last.write_bytes(whole[files[-1]])
+    assert len(read()) == 64
+    (folder / "_manifest.parquet").unlink()
+    with pytest.raises(Exception, match="no write to it was completed"):
+        read()
+
+
+def test_ordered_chunks_are_written_without_a_shuffle(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [("train" if i < 90 else "val", i, 37, [i] * 37) for i in range(100)],
+        "split string, doc_id bigint, n_tokens bigint, tokens array<int>",
+    )
+    path = write_chunks(pack_chunks(docs, 8, tokens_per_shard=256), str(tmp_path / "chunks"))
+    stored = read_chunks(spark, path, "train").select("chunk_id", "tokens")
+    # Every stored file is one run of whole shards in order.
+    for name in (tmp_path / "chunks" / "split=train").glob("*.parquet"):
+        ids = [r["chunk_id"] for r in spark.read.parquet(str(name)).collect()]
+        assert ids == sorted(ids) and sum(b - a != 1 for a, b in zip(ids, ids[1:])) <= len(ids) // 32
+    write_token_files(read_chunks(spark, path), str(tmp_path / "bin"), chunk_size=8, ordered=True)
+    back = read_token_file(spark, str(tmp_path / "bin" / "train"), chunk_size=8)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, stored.collect()))
+    raw = [t for r in back.orderBy("chunk_id").collect() for t in r["tokens"]]
+    assert raw == [i for i in range(90) for _ in range(37)]
+
+
 def test_csv_headers_in_different_orders(spark, tmp_path):
     put(tmp_path / "a.csv", "x,y\n1,2\n")
     put(tmp_path / "b.csv", "y,x\n3,30\n")

@@ -209,7 +209,7 @@ def zip_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_file_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = write_chunks(char_chunks(spark, sf_dir), shared_dir(spark, "chunks"))
     folder = write_token_files(
-        read_chunks(spark, stored), shared_dir(spark, "tokens"), chunk_size=BLOCK_SIZE
+        read_chunks(spark, stored), shared_dir(spark, "tokens"), chunk_size=BLOCK_SIZE, ordered=True
     )
     return read_token_dataset(spark, folder, chunk_size=BLOCK_SIZE)
 

@@ -58,7 +58,7 @@ def prepare_corpus(
     chunks = write_chunks(pack_chunks(encoded, chunk_size), join(folder, "chunks"))
     flat = join(folder, "tokens")
     if token_files:
-        write_token_files(read_chunks(spark, chunks), flat, chunk_size=chunk_size)
+        write_token_files(read_chunks(spark, chunks), flat, chunk_size=chunk_size, ordered=True)
     return Prepared(chunks, vocab_path, flat if token_files else None, sizes, chunk_size)
 
 

@@ -24,20 +24,24 @@ def write_chunks(chunks: DataFrame, path: str) -> str:
     return path
 
 
-def write_token_files(chunks: DataFrame, folder: str, *, chunk_size: int) -> str:
-    """Flat 16-bit files below `folder/<split>/`; sorted by name they hold the stream.
+def write_token_files(chunks: DataFrame, folder: str, *, chunk_size: int, ordered: bool = False) -> str:
+    """Flat 16-bit files below `folder/<split>/` with a manifest each; in its order they hold the stream.
 
-    `chunks` should be a stored table: it is read once per split. A folder that already
-    holds files is refused, for files of another division would stay in the stream.
+    `chunks` should be a stored table: it is read once per split. With `ordered` its files hold
+    runs of chunks in order, as `write_chunks` leaves them: then tasks write what they
+    read, a file per run, and nothing is shuffled. A folder that already holds files is
+    refused, for files of another division would stay beside the stream.
     """
     chunks.sparkSession.dataSource.register(TokenFileSource)
     for split in ("train", "val"):
         target = join(folder, split)
         refuse_existing(target)
         part = chunks.filter(F.col("split") == split).select("chunk_id", "tokens")
-        part.repartitionByRange("chunk_id").sortWithinPartitions("chunk_id").write.format(
-            "token_file"
-        ).option("path", target).option("chunk_size", str(chunk_size)).mode("append").save()
+        if not ordered:
+            part = part.repartitionByRange("chunk_id").sortWithinPartitions("chunk_id")
+        part.write.format("token_file").option("path", target).option(
+            "chunk_size", str(chunk_size)
+        ).mode("append").save()
     return folder
 
 

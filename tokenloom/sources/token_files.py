@@ -1,20 +1,23 @@
 """Token ids in flat little-endian unsigned 16-bit files, as a data source.
 
-A token stream is one file, or a folder of files each named by the position of its first
-id in the stream. A missing or repeated file is an error, not a shorter stream.
+A token stream is one file, or a folder with a manifest: the name, the position of the first id,
+the number of ids and the CRC-32 of every file. Tasks write files under names of their own attempt and
+the manifest is put in place last, by one rename, so it is the commit: a folder without one
+holds no stream, files that it does not name are left-overs of failed attempts, and a listed file that is
+missing, cut short or changed is an error, not a shorter stream.
 """
 
 from __future__ import annotations
 
-import posixpath
 import uuid
+import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +32,10 @@ from pyspark.sql.datasource import (
 from tokenloom.sources.files import join, publish, resolve
 
 SUFFIX = ".bin"
+MANIFEST = "_manifest.parquet"
+MANIFEST_FIELDS = ["name", "first", "ids", "crc"]
 ID_BYTES = 2
 BATCH_IDS = 1 << 20
-RENAMES_AT_ONCE = 32
 
 
 @dataclass
@@ -39,13 +43,14 @@ class TokenRange(InputPartition):
     first_chunk: int
     start: int
     stop: int
-    # (path, first position in the stream, ids in the file)
-    files: list[tuple[str, int, int]]
+    # (path, first position in the stream, ids in the file, CRC-32 where it is known)
+    files: list[tuple[str, int, int, int | None]]
 
 
 @dataclass
 class WrittenFiles(WriterCommitMessage):
-    moves: list[tuple[str, str]]
+    # (name, first position, ids, CRC-32)
+    files: list[tuple[str, int, int, int]]
 
 
 class TokenFileSource(DataSource):
@@ -73,26 +78,9 @@ class TokenFileReader(DataSourceReader):
         self.range_ids = max(wanted // self.chunk_size, 1) * self.chunk_size
 
     def partitions(self) -> list[TokenRange]:
-        filesystem, path = resolve(self.path)
-        info = filesystem.get_file_info(path)
-        if info.type == fs.FileType.Directory:
-            found = filesystem.get_file_info(fs.FileSelector(path))
-            found = sorted((i for i in found if i.path.endswith(SUFFIX)), key=lambda i: i.path)
-        elif info.type == fs.FileType.File:
-            found = [info]
-        else:
-            raise FileNotFoundError(self.path)
-        files, total = [], 0
-        for entry in found:
-            if entry.size % ID_BYTES:
-                raise ValueError(f"{entry.path} does not hold whole 16-bit ids")
-            if info.type == fs.FileType.Directory:
-                position = int(posixpath.basename(entry.path).removesuffix(SUFFIX))
-                if position != total:
-                    raise ValueError(f"{entry.path} should start at id {total} of the stream")
-            files.append((entry.path, total, entry.size // ID_BYTES))
-            total += entry.size // ID_BYTES
-        firsts = [first for _, first, _ in files]
+        files = stream_files(self.path)
+        total = files[-1][1] + files[-1][2] if files else 0
+        firsts = [f[1] for f in files]
         ranges = []
         for start in range(0, total, self.range_ids):
             stop = min(start + self.range_ids, total)
@@ -113,22 +101,67 @@ class TokenFileReader(DataSourceReader):
             chunk += len(lists)
 
 
+def stream_files(location: str) -> list[tuple[str, int, int, int | None]]:
+    """(path, first position, ids, CRC-32) of a stream's files in order, all of them there in full."""
+    filesystem, path = resolve(location)
+    info = filesystem.get_file_info(path)
+    if info.type == fs.FileType.File:
+        if info.size % ID_BYTES:
+            raise ValueError(f"{path} does not hold whole 16-bit ids")
+        return [(path, 0, info.size // ID_BYTES, None)] if info.size else []
+    if info.type != fs.FileType.Directory:
+        raise FileNotFoundError(location)
+    if filesystem.get_file_info(join(path, MANIFEST)).type != fs.FileType.File:
+        raise FileNotFoundError(f"{location} has no manifest: no write to it was completed")
+    with filesystem.open_input_file(join(path, MANIFEST)) as file:
+        rows = zip(*[c.to_pylist() for c in pq.read_table(file, columns=MANIFEST_FIELDS).columns])
+    listed = [(join(path, name), *rest) for name, *rest in rows]
+    sizes = {i.path: i.size for i in filesystem.get_file_info(fs.FileSelector(path))}
+    for name, _, ids, _ in listed:
+        if sizes.get(name) != ids * ID_BYTES:
+            raise ValueError(f"{name} should hold {ids} ids, but has {sizes.get(name, 'no')} bytes")
+    return listed
+
+
 def _read_ids(
-    filesystem: fs.FileSystem, files: list[tuple[str, int, int]], start: int, stop: int
+    filesystem: fs.FileSystem, files: list[tuple[str, int, int, int | None]], start: int, stop: int
 ) -> np.ndarray:
     pieces = []
-    for path, first, count in files:
+    for path, first, count, crc in files:
         low, high = max(start - first, 0), min(stop - first, count)
         if low < high:
             with filesystem.open_input_file(path) as file:
                 file.seek(low * ID_BYTES)
-                pieces.append(file.read((high - low) * ID_BYTES))
+                data = file.read((high - low) * ID_BYTES)
+            if len(data) != (high - low) * ID_BYTES or (high - low == count and crc not in (None, zlib.crc32(data))):
+                raise ValueError(f"{path} is not the file that the manifest names")
+            pieces.append(data)
     return np.frombuffer(b"".join(pieces), dtype="<u2")
 
 
+def check_token_files(spark: SparkSession, location: str) -> DataFrame:
+    """(path, first, ids, intact) of every file of a stream, each read and compared with its CRC-32."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = []
+            for path, ids, crc in zip(*[b[c].to_pylist() for c in ("path", "ids", "crc")]):
+                filesystem, name = resolve(path)
+                have, size = 0, 0
+                with filesystem.open_input_file(name) as file:
+                    while block := file.read(BATCH_IDS * ID_BYTES):
+                        have, size = zlib.crc32(block, have), size + len(block)
+                found.append(size == ids * ID_BYTES and crc in (None, have))
+            columns = [b["path"], b["first"], b["ids"], pa.array(found, pa.bool_())]
+            yield pa.record_batch(columns, ["path", "first", "ids", "intact"])
+
+    files = spark.createDataFrame(stream_files(location), "path string, first bigint, ids bigint, crc bigint")
+    return files.mapInArrow(check, "path string, first bigint, ids bigint, intact boolean")
+
+
 class TokenFileWriter(DataSourceArrowWriter):
     """Each run of consecutive chunks in a task becomes one file, named by the position of
-    its first id. Files are written under temporary names and put in place at commit."""
+    its first id and by the attempt that writes it. Nothing is renamed but the manifest."""
 
     def __init__(self, options):
         self.path = options["path"]
@@ -137,7 +170,8 @@ class TokenFileWriter(DataSourceArrowWriter):
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WrittenFiles:
         filesystem, root = resolve(self.path)
         filesystem.create_dir(root, recursive=True)
-        moves: list[tuple[str, str]] = []
+        attempt = uuid.uuid4().hex
+        files: list[list] = []
         out, expected = None, None
         try:
             for batch in iterator:
@@ -155,31 +189,41 @@ class TokenFileWriter(DataSourceArrowWriter):
                     if out is None or chunk_ids[low] != expected:
                         if out is not None:
                             out.close()
-                        name = f"{int(chunk_ids[low]) * self.chunk_size:018d}{SUFFIX}"
-                        temporary = join(root, f"_{name}.{uuid.uuid4().hex}")
-                        moves.append((temporary, join(root, name)))
-                        out = filesystem.open_output_stream(temporary)
+                        first = int(chunk_ids[low]) * self.chunk_size
+                        files.append([f"{first:018d}-{attempt}{SUFFIX}", first, 0, 0])
+                        out = filesystem.open_output_stream(join(root, files[-1][0]))
                     begin = ends[low - 1] if low else 0
-                    out.write(ids[begin : ends[high - 1]].tobytes())
+                    data = ids[begin : ends[high - 1]].tobytes()
+                    out.write(data)
+                    files[-1][2] += len(data) // ID_BYTES
+                    files[-1][3] = zlib.crc32(data, files[-1][3])
                     expected = chunk_ids[high - 1] + 1
         finally:
             if out is not None:
                 out.close()
-        return WrittenFiles(moves)
+        return WrittenFiles([tuple(f) for f in files])
 
     def commit(self, messages: list[WrittenFiles | None]) -> None:
-        filesystem, _ = resolve(self.path)
-        moves = [move for message in messages if message for move in message.moves]
-        # Renames wait for the file system, not for the driver's processor.
-        with ThreadPoolExecutor(RENAMES_AT_ONCE) as pool:
-            for done in [pool.submit(publish, filesystem, *move) for move in moves]:
-                done.result()
+        files = sorted((f for m in messages if m for f in m.files), key=lambda f: f[1])
+        total = 0
+        for name, first, ids, _ in files:
+            if first != total:
+                raise ValueError(f"{name} should start at id {total} of the stream")
+            total += ids
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
+        columns = [pa.array([f[i] for f in files], k) for i, k in enumerate(kinds)]
+        filesystem, root = resolve(self.path)
+        filesystem.create_dir(root, recursive=True)
+        temporary = join(root, f"_manifest.{uuid.uuid4().hex}")
+        with filesystem.open_output_stream(temporary) as out:
+            pq.write_table(pa.table(columns, MANIFEST_FIELDS), out)
+        publish(filesystem, temporary, join(root, MANIFEST))
 
     def abort(self, messages: list[WrittenFiles | None]) -> None:
-        filesystem, _ = resolve(self.path)
+        filesystem, root = resolve(self.path)
         for message in messages:
-            for temporary, _final in message.moves if message else ():
-                filesystem.delete_file(temporary)
+            for name, *_ in message.files if message else ():
+                filesystem.delete_file(join(root, name))
 
 
 def read_token_file(
