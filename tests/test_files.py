@@ -2,6 +2,7 @@
 
 import datetime
 import io
+import json
 import os
 import random
 import zipfile
@@ -17,11 +18,11 @@ from tokenloom.sinks.files import save_csv, save_parquet
 from tokenloom.sinks.metrics import append_metrics, save_checkpoints
 from tokenloom.sinks.paths import output_path
 from tokenloom.sinks.tokens import write_chunks, write_token_files, write_vocab
-from tokenloom.sources import quoted_csv
+from tokenloom.sources import quoted_csv, ranged_text
 from tokenloom.sources.archives import _runs, list_members, read_members, unzip_files
 from tokenloom.sources.csv import count_extra_fields, read_csv
 from tokenloom.sources.files import list_files
-from tokenloom.sources.parquet import read_each_parquet, read_parquets
+from tokenloom.sources.parquet import EachParquet, read_each_parquet, read_parquets
 from tokenloom.sources.ranged_text import read_ranged
 from tokenloom.sources.tables import read_chunks, read_ranks, read_vocab
 from tokenloom.sources.text import read_text
@@ -48,9 +49,7 @@ def test_large_text_by_range(spark, tmp_path, seed):
     text = "".join(rng.choices(alphabet, k=3000))
     put(tmp_path / "big.txt", text)
     put(tmp_path / "small.txt", "end")
-    corpus = read_text(
-        spark, str(tmp_path), whole_file_bytes=100, range_bytes=rng.choice([64, 997]), piece_bytes=40
-    )
+    corpus = read_text(spark, str(tmp_path), range_bytes=rng.choice([64, 997]), piece_bytes=40)
     rows = corpus.orderBy("doc_id").collect()
     assert "".join(r["text"] for r in rows) == text.replace("\r\n", "\n") + "end"
     # A cut only falls between a visible character and a line break.
@@ -421,7 +420,33 @@ def test_bad_bytes_are_an_error_in_files_of_any_size(spark, tmp_path):
     path = put(tmp_path / "bad.txt", b"good\n\xff\xfe bad\n")
     for limit in (1, 1 << 20):
         with pytest.raises(Exception):
-            read_text(spark, path, whole_file_bytes=limit).collect()
+            read_text(spark, path, piece_bytes=limit).collect()
+
+
+def test_text_files_are_planned_with_their_positions(spark, tmp_path):
+    texts = {f"{i:03d}.txt": f"file {i}\nend" * (i % 4) for i in range(300)} | {"150.txt": "long line\n" * 5000}
+    for name, text in texts.items():
+        put(tmp_path / name, text)
+    corpus = read_text(spark, str(tmp_path), range_bytes=4000, piece_bytes=500)
+    plan = corpus._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    rows = corpus.orderBy("doc_id").collect()
+    assert "".join(r["text"] for r in rows) == "".join(texts[n] for n in sorted(texts))
+    assert len({r["doc_id"] for r in rows}) == len(rows)
+    reader = ranged_text.RangedTextReader({"files": json.dumps([["x", 10]] * 100_000), "file_bits": "4"})
+    planned = reader.partitions()
+    assert len(planned) == 1 and planned[0].ranges[-1].first == 99_999 << 4
+
+
+def test_frames_of_single_files_are_made_when_asked_for(spark, tmp_path, monkeypatch):
+    spark.range(40).repartition(8).write.parquet(str(tmp_path / "p"))
+    files = read_each_parquet(spark, f"{tmp_path}/p/*.parquet")
+    many = EachParquet(spark, files.paths * 2000)
+    assert len(many) == 2000 * len(files) >= 10_000
+    assert sum(f.count() for f in files) == 40 and many[-1].count() == files[-1].count()
+    rest = files[2:]
+    assert rest.rows().count() == sum(f.count() for f in rest)
+    assert rest.rows().select("file_path").distinct().count() == len(rest)
 
 
 def test_vocab_and_ranks(spark, tmp_path):

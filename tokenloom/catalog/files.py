@@ -22,6 +22,7 @@ from tokenloom.catalog.corpus import (
     documents,
 )
 from tokenloom.catalog.registry import query, table
+from tokenloom.operators.ranges import store_ranges, sum_before
 from tokenloom.operators.vocab import build_vocab
 from tokenloom.plans.prepare import prepare_corpus
 from tokenloom.session import shared_dir
@@ -135,14 +136,12 @@ def parquet_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("parquet_each", "SELECT c_custkey, c_name FROM customer")
 def parquet_each(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two frames of single files and one scan of the rest."""
     folder = shared_dir(spark, "parquet")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    path = save_parquet(customer.repartition(3, "c_custkey"), folder, "customer", timestamp=False)
-    frames = read_each_parquet(spark, join(path, "*.parquet"))
-    union = frames[0]
-    for frame in frames[1:]:
-        union = union.unionAll(frame)
-    return union
+    path = save_parquet(customer.repartition(5, "c_custkey"), folder, "customer", timestamp=False)
+    files = read_each_parquet(spark, join(path, "*.parquet"))
+    return files[0].unionAll(files[1]).unionAll(files[2:].rows().drop("file_path"))
 
 
 def write_archives(docs: DataFrame, folder: str) -> str:
@@ -245,13 +244,21 @@ def vocab_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "text_roundtrip",
     """
-SELECT line, count(*)::BIGINT AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
-WHERE line <> '' GROUP BY line""",
+SELECT row_number() OVER (ORDER BY doc_id, i) - 1 AS line_no, line FROM (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)""",
 )
 def text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of the written corpus in its place, blank ones included."""
     path = export_text(documents(spark, sf_dir), shared_dir(spark, "text"))
-    corpus = read_text(
-        spark, join(path, "*.txt"), whole_file_bytes=1 << 20, range_bytes=1 << 18, piece_bytes=1 << 14
+    corpus = read_text(spark, join(path, "*.txt"), range_bytes=1 << 18, piece_bytes=1 << 14)
+    lines = F.split("text", "\n")
+    pieces = corpus.withColumn("breaks", (F.size(lines) - 1).cast("bigint"))
+    placed = sum_before(
+        store_ranges(pieces, ["doc_id"]), partition=[], order=["doc_id"], value="breaks", out="before"
     )
-    lines = corpus.select(F.explode(F.split("text", "\n")).alias("line")).filter("line <> ''")
-    return lines.groupBy("line").agg(F.count("*").alias("n"))
+    numbered = placed.select("before", F.posexplode(lines).alias("at", "line"))
+    # A line that a piece or a file ends in goes on, by nothing, in the next one.
+    whole = numbered.groupBy((F.col("before") + F.col("at")).alias("line_no")).agg(F.max("line").alias("line"))
+    total = pieces.agg(F.sum("breaks")).first()[0]
+    return whole.filter(F.col("line_no") < total)

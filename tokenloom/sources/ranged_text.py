@@ -1,8 +1,9 @@
-"""A data source that reads very large text files by byte range.
+"""A data source that reads text files of any size by byte range.
 
 Spark's text reader gives whole files (at most 2 GB each) or lines without any order.
-This one plans one task per byte range and emits (path, byte_offset, text), either
-line by line or in pieces that may be tokenised on their own. A stretch of FORCED pieces
+This one plans tasks of about `range_bytes`, many small files or a part of a large one, each with the
+number of its first byte, and emits (path, byte_offset, position, text), either line by line or in
+pieces that may be tokenised on their own. A stretch of FORCED pieces
 without any place for such a cut is cut at the next character, so that no row, and no
 reading past a range, is unbounded.
 """
@@ -33,23 +34,29 @@ _SAFE_CUT = re.compile(rb"[^\x00-\x20\x7f](?=\r?\n)")
 
 
 @dataclass
-class ByteRange(InputPartition):
+class ByteRange:
     path: str
     start: int
     stop: int
-    length: int
+    first: int
+
+
+@dataclass
+class ByteRanges(InputPartition):
+    ranges: list[ByteRange]
 
 
 class RangedTextSource(DataSource):
     """Options: `files` (JSON list of [path, length]), `unit` ("line" or "piece"),
-    `encoding`, `errors`, `range_bytes`, `piece_bytes`."""
+    `encoding`, `errors`, `range_bytes`, `piece_bytes`, `file_bits` (a file's first position is
+    its number in the list times 2 ** file_bits)."""
 
     @classmethod
     def name(cls) -> str:
         return "ranged_text"
 
     def schema(self) -> str:
-        return "path string, byte_offset bigint, text string"
+        return "path string, byte_offset bigint, position bigint, text string"
 
     def reader(self, schema) -> DataSourceReader:
         return RangedTextReader(self.options)
@@ -64,19 +71,28 @@ class RangedTextReader(DataSourceReader):
         self.range_bytes = int(options.get("range_bytes", 64 << 20))
         self.piece_bytes = int(options.get("piece_bytes", 1 << 20))
 
-    def partitions(self) -> list[ByteRange]:
-        return [
-            ByteRange(path, start, min(start + self.range_bytes, length), length)
-            for path, length in self.files
-            for start in range(0, length, self.range_bytes)
-        ]
-
-    def read(self, part: ByteRange) -> Iterator[tuple]:
-        for offset, raw in self._units(part):
-            text = raw.decode(self.encoding, self.errors)
-            if self.unit == "line":
-                text = text.removesuffix("\n").removesuffix("\r")
-            yield part.path, offset, text
+        self.file_bits = int(options.get("file_bits", 0))
+
+    def partitions(self) -> list[ByteRanges]:
+        planned: list[ByteRanges] = []
+        room = 0
+        for number, (path, length) in enumerate(self.files):
+            for start in range(0, length, self.range_bytes):
+                stop = min(start + self.range_bytes, length)
+                if stop - start > room:
+                    planned.append(ByteRanges([]))
+                    room = self.range_bytes
+                planned[-1].ranges.append(ByteRange(path, start, stop, number << self.file_bits))
+                room -= stop - start
+        return planned
+
+    def read(self, part: ByteRanges) -> Iterator[tuple]:
+        for own in part.ranges:
+            for offset, raw in self._units(own):
+                text = raw.decode(self.encoding, self.errors)
+                if self.unit == "line":
+                    text = text.removesuffix("\n").removesuffix("\r")
+                yield own.path, offset, own.first + offset, text
 
     def _units(self, part: ByteRange) -> Iterator[tuple[int, bytes]]:
         """(offset, bytes) from the first cut at or after `start` up to the first cut at
@@ -163,7 +179,7 @@ class _Stretches:
 def read_ranged(
     spark: SparkSession, files: list[tuple[str, int]], *, unit: str, **options: object
 ) -> DataFrame:
-    """(path, byte_offset, text) of `files`, given with their lengths."""
+    """(path, byte_offset, position, text) of `files`, given with their lengths."""
     spark.dataSource.register(RangedTextSource)
     reader = spark.read.format("ranged_text").option("files", json.dumps(files)).option("unit", unit)
     for key, value in options.items():

@@ -9,56 +9,31 @@ from tokenloom.functions.text import normalise_newlines
 from tokenloom.sources.files import list_files
 from tokenloom.sources.ranged_text import read_ranged
 
-# Files up to this size become one row each; larger ones are read by byte range.
-WHOLE_FILE_BYTES = 16 << 20
-# About 200 bytes each.
-BROADCAST_FILES = 100_000
-
 
 def read_text(
     spark: SparkSession,
     paths: str | list[str],
     *,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
     range_bytes: int = 64 << 20,
     piece_bytes: int = 1 << 20,
 ) -> DataFrame:
     """(doc_id, text) of UTF-8 text files, with `\\r\\n` and `\\r` read as `\\n`.
 
-    `doc_id` follows the sorted file names and, inside a large file, the byte offset,
-    so it orders the corpus as if the files were one after another. A byte that is not
-    valid UTF-8 is an error in files of any size.
+    Files are read in pieces of about `piece_bytes` whatever their size, a small file in one.
+    `doc_id` follows the sorted file names and, inside a file, the byte offset, so it orders the
+    corpus as if the files were one after another; it is known where a piece is read, and
+    nothing is joined or shuffled. A byte that is not valid UTF-8 is an error. Tasks open the
+    files by themselves, so paths must be ones that pyarrow reaches.
     """
-    files = list_files(spark, paths)
-    bits = max((length for _, length in files), default=0).bit_length()
-    numbers = spark.createDataFrame(
-        [(path, number << bits) for number, (path, _) in enumerate(files)],
-        "path string, first_id bigint",
-    )
-    small = [path for path, length in files if length <= whole_file_bytes]
-    large = [(path, length) for path, length in files if length > whole_file_bytes]
-    parts = []
-    if small:
-        parts.append(
-            spark.read.text(small, wholetext=True).select(
-                F.col("_metadata.file_path").alias("path"),
-                F.lit(0).cast("bigint").alias("byte_offset"),
-                F.validate_utf8("value").alias("text"),
-            )
-        )
-    if large:
-        parts.append(
-            read_ranged(
-                spark, large, unit="piece", range_bytes=range_bytes, piece_bytes=piece_bytes
-            )
-        )
-    if not parts:
+    files = [f for f in list_files(spark, paths) if f[1]]
+    if not files:
         return spark.createDataFrame([], "doc_id bigint, text string")
-    # Joined by broadcast while the listing is known to be small, so that no text moves.
-    if len(files) <= BROADCAST_FILES:
-        numbers = F.broadcast(numbers)
-    corpus = parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
-    return corpus.join(numbers, "path").select(
-        (F.col("first_id") + F.col("byte_offset")).alias("doc_id"),
-        normalise_newlines(F.col("text")).alias("text"),
+    pieces = read_ranged(
+        spark,
+        files,
+        unit="piece",
+        range_bytes=range_bytes,
+        piece_bytes=piece_bytes,
+        file_bits=max(length for _, length in files).bit_length(),
     )
+    return pieces.select(F.col("position").alias("doc_id"), normalise_newlines(F.col("text")).alias("text"))
