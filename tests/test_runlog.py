@@ -258,6 +258,33 @@ def test_streams_equal_batch(spark, tmp_path, batches):
             assert live["running"] == pytest.approx(averages[r["run_id"], r["iter"]])
 
 
+def test_a_long_backlog_is_applied_by_groups_and_rejects_are_seen(spark, tmp_path):
+    """One run's 20,000 rows wait for one watermark; two rows come again after they were applied."""
+    t0 = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
+
+    def at(second):
+        return t0 + datetime.timedelta(seconds=second)
+
+    order = list(range(20_000))
+    random.Random(3).shuffle(order)
+    parts = [
+        [("hot", i, at(i), 5.0 - i * 1e-4, 1.0) for i in order],
+        [("hot", 7, at(30_000), 0.0, 1.0), ("hot", 19_999, at(30_001), 0.0, 1.0), ("other", 0, at(40_000), 1.0, 1.0)],
+        [("other", 1, at(90_000), 1.0, 1.0)],
+    ]
+    for number, part in enumerate(parts):
+        spark.createDataFrame(part, LIVE).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(LIVE).parquet(str(tmp_path / "in"))
+        tracked = live_tracking(stream, log_interval=10)
+        start_batches(tracked, str(tmp_path / "t"), str(tmp_path / "tc"), mode="append").awaitTermination()
+    rows = [r for r in spark.read.parquet(str(tmp_path / "t")).collect() if r["run_id"] == "hot"]
+    applied = sorted(r["iter"] for r in rows if r["iter"] is not None)
+    assert applied == list(range(20_000)) and all(r["rejected"] == 0 for r in rows if r["iter"] is not None)
+    assert [r["rejected"] for r in rows if r["iter"] is None] == [2]
+    last = next(r for r in rows if r["iter"] == 19_999)
+    assert last["best_val_loss"] == pytest.approx(5.0 - 1.9999) and last["seconds"] == 1.0
+
+
 def test_report(spark):
     t0 = datetime.datetime(2024, 1, 1)
     steps = spark.createDataFrame(

@@ -74,8 +74,9 @@ def stream_run_best(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 SELECT run_id::VARCHAR AS run_id, iter, val_loss, least(best, val_loss) AS best_val_loss,
        val_loss < best AND iter > 0 AS is_new_best, seconds, round(mfu * 1000, 6) AS mfu,
-       round(coalesce(running, -1), 6) AS running
-FROM prior JOIN used USING (run_id, iter) JOIN folded USING (run_id, iter)""",
+       round(coalesce(running, -1), 6) AS running, rejected
+FROM prior JOIN used USING (run_id, iter) JOIN folded USING (run_id, iter)
+JOIN (SELECT run_id, (count(*) - count(DISTINCT iter))::BIGINT AS rejected FROM log GROUP BY run_id) USING (run_id)""",
 )
 def stream_ema(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, state = shared_dir(spark, "tracking"), shared_dir(spark, "tracking-state")
@@ -88,5 +89,5 @@ def stream_ema(spark: SparkSession, sf_dir: str) -> DataFrame:
         return start_batches(tracked, out, state, mode="append")
 
     replay(spark, sf_dir, start)
-    rows = spark.read.parquet(out).drop("batch_id", "rejected")
+    rows = spark.read.parquet(out).drop("batch_id")
     return rows.withColumn("mfu", F.round("mfu", 6)).withColumn("running", F.round("running", 6))

@@ -44,14 +44,18 @@ _STATE = T.StructType(
         T.StructField("rejected", T.LongType()),
     ]
 )
+# The rows of a group, a list for each column.
+_GROUP = T.StructType([T.StructField("group", T.LongType())])
 _WAITING = T.StructType(
     [
-        T.StructField("iter", T.LongType()),
-        T.StructField("at", T.LongType()),
-        T.StructField("val_loss", T.DoubleType()),
-        T.StructField("work", T.DoubleType()),
+        T.StructField("iter", T.ArrayType(T.LongType())),
+        T.StructField("at", T.ArrayType(T.LongType())),
+        T.StructField("val_loss", T.ArrayType(T.DoubleType())),
+        T.StructField("work", T.ArrayType(T.DoubleType())),
     ]
 )
+GROUP_ITERS = 1 << 10
+HELD_ROWS = 1 << 14
 
 
 NEW_RUN = (NO_BEST, NO_AVERAGE, None, -1, 0)
@@ -79,9 +83,14 @@ def advance(state: tuple | None, row: Row, log_interval: int, first_iter: int =
 class RunTracker(StatefulProcessor):
     """Rows wait until the watermark has passed them and are then applied in `iter` order.
     A second row for an iteration that waits, and a row at or before the last applied
-    iteration, is left out and counted in `rejected`, which later rows of the run report;
-    a resumed run that repeats iterations should therefore use a new run_id. Rows older than
-    the watermark never arrive here (Spark drops and counts them)."""
+    iteration, is left out and counted in `rejected`, which later rows of the run report; where none follows
+    in the same micro-batch, a row with a null iter does. A resumed run that repeats
+    iterations should therefore use a new run_id. Rows older than the watermark never arrive here
+    (Spark drops and counts them).
+
+    Waiting rows lie in state by groups of GROUP_ITERS consecutive iterations, which are taken in order one
+    at a time: of a backlog of any length a task holds a group, a few rows on their way into
+    state, and the numbers of the groups."""
 
     def __init__(self, log_interval: int, first_iter: int = 0):
         self.log_interval = log_interval
@@ -90,35 +99,59 @@ class RunTracker(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.run = handle.getValueState("run", _STATE)
-        self.waiting = handle.getListState("waiting", _WAITING)
+        self.waiting = handle.getMapState("waiting", _GROUP, _WAITING)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        new = [(row.iter, row.at, row.val_loss, row.work) for row in rows]
-        self.waiting.appendList(new)
-        self.handle.registerTimer(min(row[1] // 1000 for row in new))
+        held: dict[int, list] = {}
+        count, earliest = 0, None
+        for row in rows:
+            held.setdefault(row.iter // GROUP_ITERS, []).append((row.iter, row.at, row.val_loss, row.work))
+            earliest = row.at if earliest is None else min(earliest, row.at)
+            count += 1
+            if count >= HELD_ROWS:
+                self._put(held)
+                held, count = {}, 0
+        self._put(held)
+        self.handle.registerTimer(earliest // 1000)
         return iter(())
 
+    def _put(self, held: dict[int, list]) -> None:
+        for group, rows in held.items():
+            self.waiting.updateValue((group,), tuple(zip(*[*self._group(group), *rows])))
+
+    def _group(self, group: int) -> list[tuple]:
+        if not self.waiting.containsKey((group,)):
+            return []
+        return list(zip(*self.waiting.getValue((group,))))
+
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
         state = tuple(self.run.get()) if self.run.exists() else NEW_RUN
-        best, average, last, applied, rejected = state
-        due: dict[int, Row] = {}
-        later = []
-        for iteration, at, val_loss, work in self.waiting.get():
-            if at // 1000 > watermark:
-                later.append((iteration, at, val_loss, work))
-            elif iteration <= applied or iteration in due:
-                rejected += 1
+        reported, earliest = state[4], None
+        for group in sorted(k[0] for k in self.waiting.keys()):
+            due: dict[int, Row] = {}
+            later, rejected = [], 0
+            for iteration, at, val_loss, work in self._group(group):
+                if at // 1000 > watermark:
+                    later.append((iteration, at, val_loss, work))
+                    earliest = at if earliest is None else min(earliest, at)
+                elif iteration <= state[3] or iteration in due:
+                    rejected += 1
+                else:
+                    due[iteration] = Row(iter=iteration, at=at, val_loss=val_loss, work=work)
+            if later:
+                self.waiting.updateValue((group,), tuple(zip(*later)))
             else:
-                due[iteration] = Row(iter=iteration, at=at, val_loss=val_loss, work=work)
-        self.waiting.clear()
-        if later:
-            self.waiting.put(later)
-            self.handle.registerTimer(min(row[1] // 1000 for row in later))
-        state = (best, average, last, applied, rejected)
-        for iteration in sorted(due):
-            state, report = advance(state, due[iteration], self.log_interval, self.first_iter)
-            yield Row(**dict(zip(LIVE_LOG.names, (*key, *report))))
+                self.waiting.removeKey((group,))
+            state = (*state[:4], state[4] + rejected)
+            for iteration in sorted(due):
+                state, report = advance(state, due[iteration], self.log_interval, self.first_iter)
+                reported = state[4]
+                yield Row(**dict(zip(LIVE_LOG.names, (*key, *report))))
+        if state[4] > reported:
+            yield Row(**dict(zip(LIVE_LOG.names, (*key, *[None] * 7, state[4]))))
+        if earliest is not None:
+            self.handle.registerTimer(earliest // 1000)
         self.run.update(state)
 
     def close(self) -> None:
