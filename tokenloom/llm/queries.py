@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -117,7 +119,9 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 WARC_SQL = r"""
-WITH named AS (
+WITH html_names AS (
+  SELECT {names} AS names
+), named AS (
   SELECT page_id, url, coalesce(html, '') AS html,
          md5(concat_ws(' ', page_id::VARCHAR, url, html)) AS h FROM pages
 ), source AS (
@@ -125,15 +129,16 @@ WITH named AS (
          '<urn:uuid:' || concat_ws('-', h[1:8], h[9:12], h[13:16], h[17:20], h[21:32]) || '>' AS id
   FROM named
 ), untagged AS (
-  SELECT *, regexp_replace(regexp_replace(regexp_replace(html, '{unseen}', '', 'g'),
-    '(?i)</?({blocks})\b[^>]*>', chr(10), 'g'),
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(html,
+    '(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<noscript\b[^>]*>.*?</noscript\s*>|<template\b[^>]*>.*?</template\s*>', '', 'g'),
+    '(?i)</?(address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul)\b[^>]*>', chr(10), 'g'),
     '<[a-zA-Z/!?][^>]*>', '', 'g') AS t2,
     regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title', 1) AS t3,
     regexp_extract(html, '(?is)<html\b[^>]*\blang="([^"]*)"', 1) AS language,
     regexp_extract_all(html, '(?i)<a\b[^>]*\bhref="([^"\r\n]*)"', 1) AS links FROM source
 ), decoded AS (
   SELECT page_id, url, payload_digest, id, language, links, {t2} AS plain,
-         replace({t3}, chr(10), ' ') AS title FROM untagged
+         replace({t3}, chr(10), ' ') AS title FROM untagged, html_names
 ), blocks AS (
   SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type,
          CASE WHEN title <> '' THEN 'title: ' || title || chr(13) || chr(10) ELSE '' END ||
@@ -161,20 +166,21 @@ SELECT page_id, id AS refers_to, url AS target_uri, payload_digest, record_type,
 FROM final"""
 
 
+def _text_sql(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 def _decoded_sql(column: str) -> str:
     """DuckDB SQL that decodes character references once and squeezes blanks."""
-    named = f"replace(replace(replace(replace(replace({column}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&apos;', ''''), '&nbsp;', ' ')"
-    parts = f"string_split(replace({named}, '&amp;', '&#38;'), '&#')"
-    digits = r"regexp_extract(p, '^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});', 1)"
-    code = (
-        f"CASE WHEN lower({digits}[1:1]) = 'x' THEN ('0x' || {digits}[2:])::BIGINT "
-        f"ELSE {digits}::BIGINT END"
-    )
+    name = "regexp_extract(p, '^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{0,39});', 1)"
+    code = f"(CASE WHEN lower({name}[2]) = 'x' THEN '0x' || {name}[3:] ELSE {name}[2:] END)::BIGINT"
+    bad = f"{code} = 0 OR {code} > 1114111 OR {code} BETWEEN 55296 AND 57343"
     char = (
-        f"CASE WHEN ({code}) = 0 OR ({code}) > 1114111 OR ({code}) BETWEEN 55296 AND 57343 "
-        f"THEN chr(65533) ELSE chr(({code})::INTEGER) END"
+        f"CASE WHEN {name}[1] = '#' THEN CASE WHEN {bad} THEN chr(65533) ELSE chr(({code})::INTEGER) END "
+        f"ELSE names[{name}] END"
     )
-    one = f"CASE WHEN {digits} = '' THEN '&#' || p ELSE {char} || substr(p, length({digits}) + 2) END"
+    one = f"CASE WHEN {name} = '' THEN '&' || p ELSE coalesce({char} || substr(p, length({name}) + 2), '&' || p) END"
+    parts = f"string_split({column}, '&')"
     whole = f"{parts}[1] || coalesce(array_to_string(list_transform({parts}[2:], lambda p: {one}), ''), '')"
     return (
         rf"regexp_replace(regexp_replace(regexp_replace({whole}, '[ \t\r\f\x0B\x{{A0}}]+', ' ', 'g'), "
@@ -182,9 +188,10 @@ def _decoded_sql(column: str) -> str:
     )
 
 
+# HTML's table of names, as the standard library has it.
+_NAMED = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
 WARC_SQL = (
-    WARC_SQL.replace("{blocks}", warc.BLOCKS)
-    .replace("{unseen}", warc.UNSEEN)
+    WARC_SQL.replace("{names}", f"MAP([{', '.join(map(_text_sql, _NAMED))}], [{', '.join(map(_text_sql, _NAMED.values()))}])")
     .replace("{t2}", _decoded_sql("t2"))
     .replace("{t3}", _decoded_sql("t3"))
 )
