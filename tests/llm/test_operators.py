@@ -1,9 +1,11 @@
 """The operators against brute force on small tables, and odd inputs."""
 
+import gzip
 import html.entities
 import os
 import re
 import tempfile
+import time
 import zlib
 
 import brute
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from tokenloom.llm import (
     ann,
     byte_bpe,
+    common,
     decontaminate,
     jaccard_join,
     language_id,
@@ -52,7 +55,8 @@ ODD_TEXTS = [
     (None, "no id here at all, none"),
     (14, "12345 ... !!!"),
 ]
-EXTRA = ["node", "hash", "n", "blob", "part", "key", "shard", "slot", "size", "first", "ids", "salt"]
+EXTRA = ["score", "lang_pred", "_score", "id", "__id", "__hash", "__bad", "__blob", "__found", "leaking", "findings"]
+EXTRA += ["node", "hash", "n", "blob", "part", "key", "shard", "slot", "size", "first", "ids", "salt"]
 
 
 @pytest.fixture(scope="module")
@@ -109,6 +113,83 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(counts, 2 * np.array(want))
 
 
+def test_long_words_are_scored_by_segments(monkeypatch):
+    rng = np.random.default_rng(2)
+    lattice = language_id.Lattice(["▁", "a", "b", "c", "ab", "bca", "abcabca", "▁ab"])
+    probs = rng.dirichlet(np.ones(8), size=3).T
+    words = ["".join(rng.choice(list("abcx"), n)) for n in (1, 2, 7, 63, 64, 65, 300)]
+    want = lattice.forward(words[:6], probs)
+    # All positions at once, with one scale for all languages: good while these are not far apart.
+    whole = [lattice._forward([w], probs)[0][0] for w in words]
+    monkeypatch.setattr(language_id, "LONG_WORD", 0)
+    assert np.allclose(lattice.forward(words, probs), whole, rtol=1e-9) and np.allclose(want, whole[:6])
+    monkeypatch.setattr(language_id, "SEGMENTS", 3)
+    monkeypatch.setattr(language_id, "SEGMENT_LETTERS", 16)
+    assert np.allclose(lattice.forward(words, probs), whole, rtol=1e-9)
+
+
+def test_a_text_without_blanks_takes_seconds_and_little_memory(spark):
+    text = "".join(np.random.default_rng(4).choice(list("etaoinshrdlu"), 1_000_000))
+    rows = [(1, "the cat and the dog " * 50, "en"), (2, "der hund und die katze " * 50, "de"), (3, text, "en"), (4, text, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    began = time.monotonic()
+    found = {r.doc_id: r.lang_pred for r in language_id.identify(df, PIECES).collect()}
+    assert (found[1], found[2]) == ("en", "de") and set(found) == {1, 2, 3, 4}
+    assert time.monotonic() - began < 180
+
+
+def brute_fit(rows, pieces, rounds, rng_probs=None):
+    """The fit by listing every segmentation of every word."""
+    langs = sorted({lang for _, lang in rows})
+    number = {p: i for i, p in enumerate(pieces)}
+    probs = np.full((len(pieces), len(langs)), 1 / len(pieces))
+
+    def cuts(word):
+        if not word:
+            yield []
+        for n in range(1, len(word) + 1):
+            if word[:n] in number or n == 1:
+                yield from ([number.get(word[:n], -1), *rest] for rest in cuts(word[n:]))
+
+    def weight(cut, lang):
+        return np.prod([probs[i, lang] if i >= 0 else language_id.UNKNOWN for i in cut])
+
+    for _ in range(rounds):
+        counts = np.zeros_like(probs)
+        for text, lang in rows:
+            own = langs.index(lang)
+            for word in text.split():
+                found = [(c, weight(c, own)) for c in cuts("▁" + word)]
+                total = sum(w for _, w in found)
+                for c, w in found:
+                    for i in c:
+                        if i >= 0:
+                            counts[i, own] += w / total
+        probs = (counts + language_id.ADDED) / (counts.sum(axis=0) + language_id.ADDED * len(pieces))
+
+    def posterior(text):
+        likely = np.array(
+            [sum(np.log(sum(weight(c, k) for c in cuts("▁" + w))) for w in text.split()) for k in range(len(langs))]
+        )
+        likely = np.exp(likely - likely.max())
+        return likely / likely.sum()
+
+    return langs, probs, posterior
+
+
+def test_fit_and_prediction_equal_brute_force(spark, monkeypatch):
+    pieces = ["▁", "a", "b", "c", "▁a", "ab", "bc", "cab", "abc", "▁ca"]
+    monkeypatch.setattr(language_id, "pieces_of", lambda path: pieces)
+    rows = [("abc cab ab", "x"), ("ab ab abc a", "x"), ("cab bcc ca dab", "y"), ("bc bca cab", "y"), ("abcab c", "z")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, text string, lang string")
+    langs, probs = language_id.fit(df, "small-vocabulary")
+    want_langs, want, posterior = brute_fit(rows, pieces, language_id.ROUNDS)
+    assert langs == want_langs and np.allclose(probs, want, rtol=1e-4)
+    for r in language_id.predict(df, "small-vocabulary", langs, want).collect():
+        p = posterior(r.text)
+        assert r.lang_pred == langs[int(p.argmax())] and abs(r.score - p.max()) < 1e-4
+
+
 def test_long_pieces_of_the_vocabulary_are_used():
     pieces = language_id.pieces_of(PIECES)
     assert "▁international" in pieces and max(map(len, pieces)) == 16
@@ -254,7 +335,12 @@ def test_components_equal_brute_force(spark):
     check_components(collect("op4_jaccard_join", spark), docs)
 
 
-def test_links_near_the_threshold_are_found(spark):
+@pytest.mark.parametrize("block, leaders, apart", [(512, 3, 93), (4, 3, 93), (3, 0, 93), (4, 0, 50)])
+def test_links_near_the_threshold_are_found(spark, monkeypatch, block, leaders, apart):
+    """With long lists in several blocks, and with nothing tied by stars before the search."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "LEADERS", leaders)
+    monkeypatch.setattr(jaccard_join, "APART", apart)
     rng = np.random.default_rng(3)
     words = [f"w{i}" for i in range(400)]
     base = [words[i] for i in rng.integers(0, 400, 120)]
@@ -269,6 +355,49 @@ def test_links_near_the_threshold_are_found(spark):
     check_components(jaccard_join.link_documents(df).collect(), docs)
 
 
+def test_near_copies_linked_only_through_one_text(spark, monkeypatch):
+    """2,000 texts that differ from one text in one word each, beside texts that share half of it."""
+    rng = np.random.default_rng(6)
+    base = [f"w{i}" for i in range(44)]
+    docs = [(0, " ".join(base))]
+    for i in range(1, 2001):
+        text = list(base)
+        text[int(rng.integers(5, 39))] = f"own{i}"
+        docs.append((i, " ".join(text)))
+    for i in range(2001, 2600):  # long passages in common, too short for a link
+        docs.append((i, " ".join(base[:30] + [f"x{i}-{k}" for k in range(14)])))
+    seen = {}
+
+    def counted(df, label, stored=jaccard_join.stored):
+        out = stored(df, label)
+        seen[label] = max(seen.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", counted)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(8)
+    found = jaccard_join.link_documents(df).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: 0 if i <= 2000 else i for i, _ in docs}
+    # Nothing grows with the square of the group: all tables stay within the postings.
+    assert max(seen.values()) <= 2600 * 40 and seen["partners"] < 10_000
+
+
+def test_large_components_that_share_a_passage_are_probed(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 8)
+    rng = np.random.default_rng(9)
+    passage = [f"p{i}" for i in range(60)]
+    docs = []
+    for group in range(3):
+        own = [f"g{group}-{i}" for i in range(40 + 5 * group)]
+        for i in range(40):
+            text = passage + own
+            text[int(rng.integers(70, 95))] = f"v{group}-{i}"
+            docs.append((len(docs), " ".join(text)))
+    bridge = passage + [f"g0-{i}" for i in range(20)] + [f"g1-{i}" for i in range(20)]
+    docs += [(len(docs) + k, " ".join(passage[: 60 - k] + bridge[60:])) for k in range(12)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    check_components(jaccard_join.link_documents(df).collect(), docs)
+
+
 def test_odd_documents_are_linked(odd, empty):
     check_components(jaccard_join.link_documents(odd).collect(), ODD_TEXTS)
     assert jaccard_join.link_documents(empty).collect() == []
@@ -340,6 +469,27 @@ def test_ledger_scans_only_unseen_blobs(spark):
     assert spark.read.parquet(folder).count() == 5
 
 
+@pytest.mark.parametrize("bound", [0, 1 << 20])
+def test_incremental_scans_send_the_few(spark, monkeypatch, bound):
+    """With every side shuffled or broadcast, with most blobs known or none."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", bound)
+    folder = shared_dir(spark, "ledger")
+    first = [(i, f"secret=abcdefgh{i % 50}" if i % 3 else "token: hothothot") for i in range(300)]
+    more = first + [(900, "secret=abcdefgh3"), (901, "password=brandnew1"), (None, "password=brandnew1"), (902, None)]
+    for rows in (first, more):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string")
+        found = secret_scan.scan_versions(df, folder).collect()
+        assert sorted((str(r.doc_id), secret_text(r.findings)) for r in found) == sorted(
+            (str(i), brute.span_text(t)) for i, t in rows
+        )
+    blobs = {t or "" for _, t in more}
+    assert spark.read.parquet(folder).count() == len(blobs)
+
+
+def secret_text(findings):
+    return ",".join(f"{f['kind']}:{f['start']}:{f['end']}" for f in findings)
+
+
 def test_redaction_cuts_spans_only(odd):
     texts = {r.doc_id: r.text for r in secret_scan.redact(odd).collect()}
     before = dict(ODD_TEXTS)
@@ -367,6 +517,17 @@ def test_elias_fano_selects():
         assert len(ef.high) * 8 <= 3 * len(values) + 8
 
 
+def test_chosen_documents_are_looked_up(spark, monkeypatch):
+    monkeypatch.setattr(token_store, "BLOCK_IDS", 600)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    folder = token_store.write_store(docs, WORD_TOKENIZER, shared_dir(spark, "store"))
+    want = brute.token_rows(brute.rows(SF_DIR, "documents"))
+    wanted = docs.select("doc_id").filter("doc_id % 7 = 0").unionAll(spark.createDataFrame([(-5,), (None,), (0,)], "doc_id bigint"))
+    found = token_store.look_up(spark, folder, wanted).collect()
+    crc = lambda r: zlib.crc32(np.frombuffer(r.ids, f"<u{r.width}").astype("<u4").tobytes())
+    assert {r.doc_id: (r.start, r.n_tokens, crc(r)) for r in found} == {i: w for i, w in want.items() if i % 7 == 0}
+
+
 def test_odd_texts_are_stored(spark, odd, empty):
     found = token_store.stored_tokens(odd, WORD_TOKENIZER).collect()
     ordered = sorted(found, key=lambda r: r.start)
@@ -501,18 +662,70 @@ def test_derivatives_of_odd_pages(spark, tmp_path):
     assert warc.build_derivatives(warc.page_responses(pages.limit(0)), "page_id").collect() == []
 
 
-def test_all_names_of_html_are_decoded_once(spark):
+def test_all_names_of_html_are_decoded_once():
     want = {f"x&{n}y": f"x{c}y" for n, c in html.entities.html5.items() if n.endswith(";")}
     want |= {"&amp;copy;&copy;": "&copy;©", "&copy": "&copy", "&nosuch;&;&": "&nosuch;&;&", "&#38;lt;&lt": "&lt;&lt"}
-    df = spark.createDataFrame([(t,) for t in want], "text string")
-    found = df.select("text", warc.decode_references(F.col("text")).alias("decoded")).collect()
-    assert len(want) > 2100 and {r.text: r.decoded for r in found} == want
-
-
-def test_query_equals_sql_but_for_the_names_it_lacks(spark, monkeypatch):
-    known = ("lt", "gt", "quot", "apos", "nbsp", "amp")
-    monkeypatch.setattr(warc, "NAMES", {n: c for n, c in warc.NAMES.items() if n in known})
-    assert oracle.compare(spark, "op9_warc", SF_DIR) is None
+    assert len(want) > 2100 and {t: warc.decode_references(t) for t in want} == want
+
+
+def three_passes(page: str) -> str:
+    """The text of a page whose tags do not stand inside each other, by one expression after another."""
+    hidden = "".join(rf"|<{t}\b[^>]*>.*?</{t}\s*>" for t in sorted(warc.HIDDEN))
+    page = re.sub(f"(?is)<!--.*?-->{hidden}", "", page)
+    page = re.sub(rf"(?ia)</?({'|'.join(sorted(warc.BLOCKS))})\b[^>]*>", "\n", page)
+    return warc.squeeze(warc.decode_references(re.sub("<[a-zA-Z/!?][^>]*>", "", page)))
+
+
+def test_one_pass_reads_pages_as_three_do():
+    rng = np.random.default_rng(11)
+    parts = ["<p>", "</p >", "<B x='1'>", "<br/>", "<!-- c -->", "<script a>", "</SCRIPT >", "<style>", "</style>", "<?x?>",
+             "a &lt; b", "1 < 2", "&", "\n \t", "<scripts>", "</noscript>", "<template>x</template>", "<h1>", "<h7>", "-->", "\xa0"]
+    for _ in range(500):
+        page = "".join(parts[i] for i in rng.integers(0, len(parts), 25))
+        assert warc.plain_text(page) == three_passes(page), page
+    assert warc.plain_text("a<p") == "a<p" and warc.plain_text("a<!-- b <p>c") == "ac"
+
+
+@pytest.mark.parametrize("piece", ["<p ", "<script>", "<!--", '<a href="', "<title>", '<html lang="', "&amp", " \n", "<a ", "<x></"])
+def test_time_grows_with_the_page_whatever_its_tags(piece):
+    page = piece * (1_000_000 // len(piece))
+    began = time.process_time()
+    for f in (warc.plain_text, warc.title_of, warc.language_of, warc.links_of):
+        f(page)
+    assert time.process_time() - began < 10
+
+
+def test_responses_are_read_derived_and_read_again(spark, tmp_path):
+    def response(i, body, extra="", charset="utf-8"):
+        http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset={charset}\r\n\r\n".encode() + body
+        head = (
+            f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:{i}>\r\nWARC-Date: 2024-05-0{i}T00:00:00Z\r\n"
+            f"WARC-Target-URI: http://a/{i}\r\n{extra}Content-Type: application/http; msgtype=response\r\nContent-Length: {len(http)}\r\n\r\n"
+        )
+        return head.encode() + http + b"\r\n\r\n"
+
+    info = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 3\r\n\r\na\r\n\r\n\r\n"
+    one = response(1, "<p>né".encode("latin-1"), "WARC-IP-Address: 10.0.0.1\r\nWARC-Payload-Digest: sha1:ABC\r\n", "latin-1")
+    two = response(2, b"<title>T</title>WARC/1.0\r\n\r\nx\xff", charset="no-such")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.warc.gz").write_bytes(gzip.compress(info) + gzip.compress(one))
+    (tmp_path / "in/b.warc").write_bytes(two + info)
+    responses = warc.read_responses(spark, f"{tmp_path}/in")
+    found = {(r.refers_to, r.record_type): r for r in warc.build_derivatives(responses).collect()}
+    assert len(found) == 4
+    record = found["<urn:uuid:1>", "conversion"]
+    assert "WARC-IP-Address: 10.0.0.1\r\n" in record.record and "WARC-Refers-To-Date: 2024-05-01T00:00:00Z\r\n" in record.record
+    assert record.payload_digest == "sha1:ABC" and "WARC-Source-Payload-Digest: sha1:ABC\r\n" in record.record
+    assert record.record.endswith("\r\n\r\nné") and "Digest: sha1:ABC\r\nWARC-Block" in record.record
+    other = found["<urn:uuid:2>", "conversion"]
+    assert other.payload_digest == "sha256:" + brute.sha256("<title>T</title>WARC/1.0\r\n\r\nx\ufffd")
+    warc.write_warc(warc.build_derivatives(responses), f"{tmp_path}/out")
+    again = {(r.record_id, r.warc_type): bytes(r.block).decode() for r in warc.read_records(spark, f"{tmp_path}/out").collect()}
+    assert again == {(r.derived_id, r.record_type): r.record.split("\r\n\r\n", 1)[1] for r in found.values()}
+    with pytest.raises(ValueError):
+        list(warc.parse_records(one[:-30]))
+    with pytest.raises(ValueError):
+        list(warc.parse_records(gzip.compress(one)[:-9]))
 
 
 def test_written_files_are_warc_records(spark):
@@ -522,8 +735,6 @@ def test_written_files_are_warc_records(spark):
     warc.write_warc(records, folder)
     seen = 0
     for row in spark.read.format("binaryFile").load(folder).select("content").collect():
-        import gzip
-
         data = gzip.decompress(bytes(row.content))
         while data:
             head, rest = data.split(b"\r\n\r\n", 1)

@@ -65,6 +65,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """`names`, each with as many underscores in front as no column of `df` has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def small_side(df: DataFrame, rows: int) -> DataFrame:
     """`df` marked for broadcast when its counted `rows` are within the bound."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

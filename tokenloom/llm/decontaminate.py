@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import small_side, stored
+from tokenloom.llm.common import free_names, small_side, stored
 
 WIDTH = 5
 THRESHOLD = 0.75
@@ -129,6 +129,7 @@ def drop_leaks(docs: DataFrame, items: DataFrame, *, threshold: float = THRESHOL
     found = find_leaks(
         docs.select(text_key(F.col("text")).alias("doc_id"), "text"), items, threshold=threshold
     )
-    bad = stored(found.select(F.col("doc_id").alias("__bad")).distinct(), "leaking")
+    (name,) = free_names(docs, "leaking")
+    bad = stored(found.select(F.col("doc_id").alias(name)).distinct(), "leaking")
     key = text_key(F.col("text"))
-    return docs.join(small_side(bad, bad.count()), key == F.col("__bad"), "left_anti")
+    return docs.join(small_side(bad, bad.count()), key == F.col(name), "left_anti")

@@ -29,7 +29,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import kept, python_tasks, stored, unsigned_share
+from tokenloom.llm.common import free_names, kept, python_tasks, stored, unsigned_share
 from tokenloom.llm.words import RowMemo, mapped_bytes, small_batches, split_words
 
 # Bound of the fitting sample: labelled rows per language, in expectation.
@@ -39,6 +39,9 @@ ROUNDS = 2
 UNKNOWN, ADDED = 1e-7, 0.1
 MOST_LANGUAGES = 500
 MEMO_WORDS = 1 << 17
+# Words of more letters are scored by segments; in fitting they count as several words.
+LONG_WORD = 256
+SEGMENTS, SEGMENT_LETTERS = 256, 256
 BLOCK_WORDS = 1 << 14
 UNDECIDED = "und"
 MIN_SCORE = 0.3
@@ -125,7 +128,71 @@ class Lattice:
 
     def forward(self, words: list[str], probs: np.ndarray) -> np.ndarray:
         """Log probability of each word (rows) in each language (columns of `probs`)."""
-        return self._by_length(words, lambda part: self._forward(part, probs)[0], probs.shape[1])
+        out = np.zeros((len(words), probs.shape[1]))
+        short = [i for i, w in enumerate(words) if len(w) <= LONG_WORD]
+        if short:
+            part = [words[i] for i in short]
+            out[short] = self._by_length(part, lambda p: self._forward(p, probs)[0], probs.shape[1])
+        for i, w in enumerate(words):
+            if len(w) > LONG_WORD:
+                out[i] = self._forward_long(w, probs)
+        return out
+
+    def _forward_long(self, word: str, probs: np.ndarray) -> np.ndarray:
+        """The forward pass over one long word, a block of SEGMENTS segments at a time.
+
+        What follows a position depends on the last `longest` forward values only, linearly. So
+        all segments of a block advance side by side, each from every unit vector of these
+        values, and the resulting matrices are then applied one after another.
+        """
+        text = np.frombuffer((MARK + word).encode("utf-32-le"), dtype=np.uint32)
+        k, langs = self.longest, probs.shape[1]
+        # Rows n and n + 1: an unknown character and no piece; n + 2: a step of certainty, for filling up.
+        table = np.vstack([probs, np.full((1, langs), UNKNOWN), np.zeros((1, langs)), np.ones((1, langs))])
+        state = np.zeros((k, langs))
+        state[0] = 1.0
+        logs = np.zeros(langs)
+        for start in range(0, len(text), SEGMENTS * SEGMENT_LETTERS):
+            ids = self._piece_ids(text, start, min(start + SEGMENTS * SEGMENT_LETTERS, len(text)))
+            fill = -ids.shape[1] % SEGMENT_LETTERS
+            filled = np.full((k, fill), self.n + 1, dtype=ids.dtype)
+            filled[0] = self.n + 2
+            ids = np.concatenate([ids, filled], axis=1).reshape(k, -1, SEGMENT_LETTERS)
+            # last[j]: the values j positions back, as (segment, unit vector, language).
+            last = np.zeros((k, ids.shape[1], k, langs))
+            last[np.arange(k), :, np.arange(k)] = 1.0
+            scale = np.zeros((ids.shape[1], langs))
+            for step in range(SEGMENT_LETTERS):
+                weights = table[ids[:, :, step]]
+                now = np.einsum("ksl,ksul->sul", weights, last)
+                last = np.concatenate([now[None], last[:-1]])
+                if step % 8 == 7 or step == SEGMENT_LETTERS - 1:
+                    top = np.maximum(last.max(axis=(0, 2)), 1e-300)
+                    last /= top[None, :, None, :]
+                    scale += np.log(top)
+            for segment in range(ids.shape[1]):
+                state = np.einsum("kul,ul->kl", last[:, segment], state)
+                top = np.maximum(state.max(axis=0), 1e-300)
+                state /= top
+                logs += np.log(top) + scale[segment]
+        return np.log(np.maximum(state[0], 1e-300)) + logs
+
+    def _piece_ids(self, text: np.ndarray, start: int, stop: int) -> np.ndarray:
+        """(length - 1, position): the piece of each length that ends after each of text[start:stop]."""
+        begin = max(start - self.longest + 1, 0)
+        letters = text[begin:stop].astype(np.uint64)
+        out = np.full((self.longest, stop - start), self.n + 1, dtype=np.int32)
+        h = np.zeros(len(letters), dtype=np.uint64)
+        for length in range(1, min(self.longest, len(letters)) + 1):
+            h = (h[: len(letters) - length + 1] ^ letters[length - 1 :]) * _PRIME + np.uint64(1)
+            at = np.flatnonzero(self.filter[self._slot(h)])
+            found = np.minimum(np.searchsorted(self.hashes, h[at]), len(self.hashes) - 1)
+            hit = self.hashes[found] == h[at]
+            ends = at[hit] + begin + length - 1 - start
+            inside = ends >= 0
+            out[length - 1, ends[inside]] = self.ids[found[hit]][inside]
+        out[0][out[0] > self.n] = self.n
+        return out
 
     def _by_length(self, words: list[str], run, columns: int) -> np.ndarray:
         out = np.zeros((len(words), columns))
@@ -168,11 +235,15 @@ class Lattice:
         return totals, (values, scales, edges, table)
 
     def expected(self, words: list[str], counts: np.ndarray, lang: np.ndarray, probs: np.ndarray):
-        """Expected piece counts (pieces x languages) of words that each belong to a language."""
+        """Expected piece counts (pieces x languages) of words, ascending in length, that each belong
+        to a language."""
         out = np.zeros((self.n + 1, probs.shape[1]))
-        for at in range(0, len(words), BLOCK_WORDS):
-            part = words[at : at + BLOCK_WORDS]
-            own, weight = lang[at : at + BLOCK_WORDS], counts[at : at + BLOCK_WORDS]
+        at, step = 0, 0
+        while (at := at + step) < len(words):
+            longest = len(words[min(at + BLOCK_WORDS, len(words)) - 1]) + 1
+            step = max(1, min(BLOCK_WORDS, (BLOCK_WORDS * 32) // longest))
+            part = words[at : at + step]
+            own, weight = lang[at : at + step], counts[at : at + step]
             totals, (values, scales, edges, table) = self._forward(part, probs)
             mine = totals[np.arange(len(part)), own]
             lengths = np.array([len(w) + 1 for w in part])
@@ -255,10 +326,12 @@ def _expectation(words: DataFrame, vocabulary: str, number: dict, probs: np.ndar
         table = held.value.astype(np.float64)
         total = np.zeros_like(table)
         for b in batches:
-            text = b["word"].to_pylist()
+            cut = [[w[i : i + LONG_WORD] for i in range(0, len(w), LONG_WORD)] for w in b["word"].to_pylist()]
+            times = [len(c) for c in cut]
+            text = [w for c in cut for w in c]
             order = np.argsort([len(w) for w in text], kind="stable")
-            lang = np.array([number[x] for x in b["lang"].to_pylist()], dtype=np.int64)
-            n = np.asarray(b["n"], dtype=np.float64)
+            lang = np.repeat(np.array([number[x] for x in b["lang"].to_pylist()], dtype=np.int64), times)
+            n = np.repeat(np.asarray(b["n"], dtype=np.float64), times)
             total += lattice(vocabulary).expected([text[i] for i in order], n[order], lang[order], table)
         piece, lang = np.nonzero(total)
         columns = [pa.array(piece, pa.int32()), pa.array(lang, pa.int32()), pa.array(total[piece, lang])]
@@ -268,12 +341,18 @@ def _expectation(words: DataFrame, vocabulary: str, number: dict, probs: np.ndar
     return found.groupBy("piece", "lang").agg(F.sum("n").alias("n"))
 
 
-def predict(docs: DataFrame, vocabulary: str, langs: list[str], probs: np.ndarray) -> DataFrame:
-    """`docs` with lang_pred and score; only the text is looked at."""
+def predict(
+    docs: DataFrame,
+    vocabulary: str,
+    langs: list[str],
+    probs: np.ndarray,
+    names: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """`docs` with the predicted language and its score as `names`; only the text is looked at."""
     python_tasks(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(probs.astype(np.float32))
     model = hashlib.sha256(probs.tobytes()).hexdigest()
-    schema = docs.select("*").schema.add("lang_pred", "string").add("score", "double")
+    schema = docs.select("*").schema.add(names[0], "string").add(names[1], "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = held.value.astype(np.float64)
@@ -282,11 +361,11 @@ def predict(docs: DataFrame, vocabulary: str, langs: list[str], probs: np.ndarra
             ("word scores", vocabulary, model),
             lambda: RowMemo(lambda w: own.forward(w, table).astype(np.float32), MEMO_WORDS),
         )
-        names = np.array([*langs, UNDECIDED], dtype=object)
+        labels = np.array([*langs, UNDECIDED], dtype=object)
         for b in small_batches(batches):
             best, score = _best(b["text"], memo, len(langs))
-            added = [pa.array(names[best], pa.string()), pa.array(score, pa.float64())]
-            yield pa.record_batch([*b.columns, *added], [*b.schema.names, "lang_pred", "score"])
+            added = [pa.array(labels[best], pa.string()), pa.array(score, pa.float64())]
+            yield pa.record_batch([*b.columns, *added], [*b.schema.names, *names])
 
     return docs.mapInArrow(run, schema)
 
@@ -327,7 +406,6 @@ def keep_identified(docs: DataFrame, vocabulary: str, min_score: float = MIN_SCO
     """`docs` without the undecided texts and those whose score is under `min_score`."""
     out = F.coalesce(held_out(F.col("doc_id")), F.lit(False))
     langs, probs = fit(docs.select("doc_id", "text", "lang").filter(~out), vocabulary)
-    found = predict(docs, vocabulary, langs, probs)
-    return found.filter((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= min_score)).select(
-        *docs.columns
-    )
+    lang, score = free_names(docs, "lang_pred", "score")
+    found = predict(docs, vocabulary, langs, probs, (lang, score))
+    return found.filter((F.col(lang) != UNDECIDED) & (F.col(score) >= min_score)).select(*docs.columns)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import path_exists, python_tasks, small_side, stored
+from tokenloom.llm.common import free_names, join_uneven, path_exists, python_tasks, small_side, stored
 from tokenloom.session import shared_dir
 
 # Fixed patterns and least lengths: kind, pattern, group whose length counts, least length.
@@ -92,27 +92,31 @@ def scan_versions(
     python_tasks(spark)
     addressed = versions.select(F.col(key).alias("id"), blob_of(F.col(text)).alias("blob"))
     addressed = stored(addressed, "blobs")
-    firsts = addressed.groupBy("blob").agg(F.min("id").alias("first"))
+    firsts = addressed.groupBy("blob").agg(F.min("id").alias("first"), F.count("*").alias("carriers"))
     known = ledger(spark, folder, rule_version)
     seen = F.lit(False)
     if known is not None:
         seen = F.col("known").isNotNull()
         firsts = firsts.join(known.select("blob", F.lit(True).alias("known")), "blob", "left")
-    firsts = firsts.select("blob", "first", seen.alias("seen"))
-    skip = stored(
-        addressed.join(firsts, "blob")
-        .filter(F.col("seen") | ~F.col("id").eqNullSafe(F.col("first")))
-        .select(F.col("id").alias("skip_id"), F.col("blob").alias("skip_blob"))
-        .distinct(),
-        "known-blobs",
-    )
+    firsts = stored(firsts.select("blob", "first", "carriers", seen.alias("seen")), "first-carriers")
+    # One carrier of every unseen blob is scanned. Only ids move: those to scan, or where they are most rows,
+    # those to leave out.
+    scan = firsts.filter("not seen").select(F.col("first").alias("own_id"), F.col("blob").alias("own_blob"))
+    rows, n = addressed.count(), scan.count()
+    how = "left_semi"
+    if 2 * n > rows:
+        others = join_uneven(addressed, firsts, "blob", "carriers", rows).filter(
+            F.col("seen") | ~F.col("id").eqNullSafe(F.col("first"))
+        )
+        scan = stored(others.select(F.col("id").alias("own_id"), F.col("blob").alias("own_blob")).distinct(), "known-blobs")
+        n, how = scan.count(), "left_anti"
     texts = versions.select(
         F.col(key).alias("id"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
         blob_of(F.col(text)).alias("blob"),
     )
-    same = (F.col("blob") == F.col("skip_blob")) & F.col("id").eqNullSafe(F.col("skip_id"))
-    unseen = texts.join(small_side(skip, skip.count()), same, "left_anti")
+    same = (F.col("blob") == F.col("own_blob")) & F.col("id").eqNullSafe(F.col("own_id"))
+    unseen = texts.join(small_side(scan, n), same, how)
     (
         unseen.select("blob", "text")
         .mapInArrow(_scan, f"blob string, findings {FINDINGS}")
@@ -159,18 +163,18 @@ def redact(docs: DataFrame, folder: str | None = None, mark: str = "[secret]") -
     """
     folder = folder or shared_dir(docs.sparkSession, "secret-ledger")
     scan_versions(docs.select("doc_id", "text"), folder)
+    blob, spans = free_names(docs, "blob", "findings")
     found = (
         ledger(docs.sparkSession, folder, RULE_VERSION)
         .filter(F.size("findings") > 0)
-        .withColumnRenamed("blob", "__blob")
-        .withColumnRenamed("findings", "__found")
+        .select(F.col("blob").alias(blob), F.col("findings").alias(spans))
     )
     found = stored(found, "findings")
     joined = docs.join(
-        small_side(found, found.count()), blob_of(F.col("text")) == F.col("__blob"), "left"
+        small_side(found, found.count()), blob_of(F.col("text")) == F.col(blob), "left"
     )
-    cut = _cut_spans(F.col("text"), F.col("__found"), mark)
-    changed = F.col("__found").isNotNull()
+    cut = _cut_spans(F.col("text"), F.col(spans), mark)
+    changed = F.col(spans).isNotNull()
     out = {"text": F.when(changed, cut).otherwise(F.col("text"))}
     result = joined.withColumns(out)
     if "n_chars" in docs.columns:
