@@ -7,21 +7,22 @@ they share T = t / (1 + t) * (|x| + |y|) shingles. Steps, each exact:
 2. Pre-selection. Each class offers the smaller part (share 1 - 2t/3) of its hashes. Linked
    classes share at least (t / 3) * |x| of those, so a class with fewer offered hashes that
    occur elsewhere links with nothing. Offers are counted per task before they are shuffled.
-3. Lists. The remaining classes' shingles are ordered by list length, rare ones first. As in
-   DivideSkip a class sets its L longest lists apart (L = t / 2 of its size); a partner must
-   be met at least T - L times in the short lists.
-4. Stars. Each class is first compared with the classes that lead most of its short lists.
-   Classes tied like that need no further comparison among themselves.
-5. Search. For every class the short lists that reach into other components are merged, with
-   occurrences counted, and partners below T - L are left out. The others are probed: their
+3. Lists. The remaining classes' shingles are ordered by list length, rare ones first.
+4. Stars. Each class is first compared with the classes that lead most of its lists: those
+   whose own shingles stand in the longest lists, and others at random. Rounds go on as long as they tie
+   much. Classes tied like that need no further comparison among themselves.
+5. Search. As in DivideSkip a class sets its L longest lists apart (L = APART % of t of its
+   size). For every class the other lists that reach into several components are merged,
+   with occurrences counted, and partners below T - L are left out. The others are probed: their
    whole sets are intersected, first one pair of every two components, then the pairs that
    are still apart. Long lists are divided into blocks of BLOCK members.
 6. Connected components over the links, and back to all documents.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing;
 repeated rows are documents of their own with equal sets; a null doc_id is never a
-component_id unless nothing else is in the component; an empty table gives no rows. Shingles and
-sets are compared by 64-bit hashes.
+component_id unless nothing else is in the component; an empty table gives no rows; a text of any
+length is one set, hashed in pieces and held by one task at a time. Shingles and sets are compared by
+64-bit hashes.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import python_tasks, small_side, stored
+from tokenloom.llm.common import free_names, join_uneven, python_tasks, small_side, stored
 from tokenloom.llm.components import connected_components
 from tokenloom.llm.shingles import shingle_sets
 from tokenloom.llm.words import small_batches
@@ -44,9 +45,12 @@ OFFERS_PER_TASK = 1 << 21
 # Texts whose offers are counted together before they are shuffled.
 OFFER_BYTES = 1 << 24
 BLOCK = 512
-# Leaders of a list (by so many different orders), and those a class is compared with.
+# The part of t * |x|, in hundredths, that a class sets apart: its longest lists, which are not merged.
+APART = 93
+# Leaders of a list (by so many different orders), those a class is compared with, and rounds of comparing.
 LEADER_ORDERS = 3
 LEADERS = 3
+STAR_ROUNDS = 6
 
 
 def _node(values: np.ndarray) -> int:
@@ -101,11 +105,49 @@ def _offers(threshold: int):
     return run
 
 
-def _count_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, hits) of one range of hashes: postings whose hash another class offers too."""
+def _summed(nodes: np.ndarray, hits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    found, at = np.unique(nodes, return_inverse=True)
+    return found, np.bincount(at, weights=hits, minlength=len(found)).astype(np.int64)
+
+
+def _count_hits(groups: int):
+    """(part, nodes, hits): the counts of one range of hashes, a row for each of `groups` groups of nodes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counted = _hits_in_range(batches)
+        if counted is None:
+            return
+        nodes, hits = counted
+        part = nodes % groups
+        order = np.argsort(part, kind="stable")
+        starts = np.flatnonzero(np.diff(part[order], prepend=-1))
+        offsets = pa.array(np.append(starts, len(nodes)).astype(np.int32))
+        yield pa.record_batch(
+            [
+                pa.array(part[order][starts].astype(np.int32)),
+                pa.ListArray.from_arrays(offsets, pa.array(nodes[order])),
+                pa.ListArray.from_arrays(offsets, pa.array(hits[order])),
+            ],
+            ["part", "nodes", "hits"],
+        )
+
+    return run
+
+
+def _sum_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, hits) over all ranges; what is held is a number for every node met so far."""
+    nodes, hits = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for b in batches:
+        more = [np.asarray(b[c].flatten(), dtype=np.int64) for c in ("nodes", "hits")]
+        nodes, hits = _summed(np.concatenate([nodes, more[0]]), np.concatenate([hits, more[1]]))
+    yield pa.record_batch([pa.array(nodes), pa.array(hits)], ["node", "hits"])
+
+
+def _hits_in_range(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray] | None:
+    """(nodes, hits) of one range of hashes: postings whose hash another class offers too."""
     parts = [[np.asarray(b[c]) for c in ("h", "node", "hits")] for b in batches]
     if not parts:
-        return
+        return None
     h, node, hits = (np.concatenate(x) for x in zip(*parts))
     counted = hits > 0
     nodes, amounts = [node[counted]], [hits[counted].astype(np.int64)]
@@ -123,9 +165,7 @@ def _count_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hit = new_node & others[number] & ~several
     nodes.append(node[hit])
     amounts.append(np.ones(int(hit.sum()), dtype=np.int64))
-    found, at = np.unique(np.concatenate(nodes), return_inverse=True)
-    sums = np.bincount(at, weights=np.concatenate(amounts), minlength=len(found)).astype(np.int64)
-    yield pa.record_batch([pa.array(found), pa.array(sums)], ["node", "hits"])
+    return _summed(np.concatenate(nodes), np.concatenate(amounts))
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,9 +207,9 @@ def _candidate_sets(docs: DataFrame, classes: DataFrame, threshold: int) -> Data
     offers = docs.select("text").mapInArrow(_offers(threshold), "h bigint, node bigint, hits int")
     hits = (
         offers.repartition(tasks, "h")
-        .mapInArrow(_count_hits, "node bigint, hits bigint")
-        .groupBy("node")
-        .agg(F.sum("hits").alias("hits"))
+        .mapInArrow(_count_hits(tasks), "part int, nodes array<bigint>, hits array<bigint>")
+        .repartition(tasks, "part")
+        .mapInArrow(_sum_hits, "node bigint, hits bigint")
     )
     alive = stored(
         classes.join(hits, "node").filter(F.col("hits") * 300 >= F.col("n") * threshold),
@@ -186,20 +226,40 @@ def _candidate_sets(docs: DataFrame, classes: DataFrame, threshold: int) -> Data
 
 
 def _short_lists(sets: DataFrame, threshold: int) -> DataFrame:
-    """(h, node, n): the members of short lists, for classes that may still have a partner."""
+    """(h, node, n, rare, hub): the members of short lists, for classes that may still have a partner.
+
+    `rare` marks the lists that are merged in the search; `hub` is higher for a class whose
+    shingles stand in longer lists, as those of a text that many others were copied from do.
+    """
     posts = sets.select("node", "n", F.explode("hashes").alias("h"))
     lengths = posts.groupBy("h").agg(F.count("*").alias("length")).filter("length > 1")
     ordered = (
         posts.join(lengths, "h")
         .groupBy("node", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("length", "h"))).alias("lists"))
+        .agg(
+            F.sort_array(F.collect_list(F.struct("length", "h"))).alias("lists"),
+            (F.sum(F.log2("length")) / F.first("n")).alias("hub"),
+        )
     )
     single = F.col("n") - F.size("lists")
-    apart = F.expr(f"{threshold} * n div 200")
-    kept = F.greatest(F.col("n") - apart - single, F.lit(0)).cast("int")
-    return ordered.filter(F.size("lists") >= _part(str(threshold))).select(
-        "node", "n", F.explode(F.slice("lists", F.lit(1), kept)["h"]).alias("h")
+
+    def first(apart: str) -> Column:
+        """How many of the sorted lists remain when that many of a class's lists are set apart."""
+        return F.greatest(F.col("n") - F.expr(apart) - single, F.lit(0)).cast("int")
+
+    kept = ordered.filter(F.size("lists") >= _part(str(threshold))).select(
+        "node",
+        "n",
+        "hub",
+        first(_apart_share(threshold)).alias("rarest"),
+        F.posexplode(F.slice("lists", F.lit(1), first(f"{threshold} * n div 200"))["h"]).alias("at", "h"),
     )
+    return kept.select("h", "node", "n", (F.col("at") < F.col("rarest")).alias("rare"), "hub")
+
+
+def _apart_share(threshold: int, n: str = "n") -> str:
+    """How many of its longest lists a class of n shingles sets apart in the search."""
+    return f"({APART} * {threshold} * {n}) div 10000"
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -216,17 +276,25 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     )
 
 
-def _stars(short: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Links between classes and the leaders of most of their short lists."""
-    orders = range(LEADER_ORDERS)
-    lead = [
-        F.min(F.struct(F.xxhash64(F.lit(k), "node").alias("at"), "node", "n")).alias(f"lead_{k}") for k in orders
+def _stars(posts: DataFrame, sets: DataFrame, threshold: int, seed: int) -> DataFrame:
+    """Links between classes and the leaders of most of their lists, in other components.
+
+    `posts` has (h, node, n, hub, component). A list is led by its best hub and by the first
+    members in orders that change with the seed.
+    """
+    orders = [F.struct((-F.col("hub")).alias("at"), "node", "n", "component")]
+    orders += [
+        F.struct(F.xxhash64(F.lit(seed), F.lit(k), "node").cast("double").alias("at"), "node", "n", "component")
+        for k in range(LEADER_ORDERS - 1)
     ]
-    leaders = short.groupBy("h").agg(F.count("*").alias("m"), *lead).filter("m > 1")
+    lead = [F.min(order).alias(f"lead_{k}") for k, order in enumerate(orders)]
+    leaders = posts.groupBy("h").agg(F.count("*").alias("m"), *lead).filter("m > 1")
+    nodes = [F.struct(f"lead_{k}.node", f"lead_{k}.n", f"lead_{k}.component") for k in range(LEADER_ORDERS)]
     led = (
-        short.join(leaders, "h")
-        .select("node", "n", F.explode(F.array_distinct(F.array(*[f"lead_{k}" for k in orders]))).alias("leader"))
-        .filter(F.col("node") != F.col("leader.node"))
+        posts.select("h", "node", "n", "component")
+        .join(leaders, "h")
+        .select("node", "n", "component", F.explode(F.array_distinct(F.array(*nodes))).alias("leader"))
+        .filter(F.col("component") != F.col("leader.component"))
         .filter(similar_size(F.col("n"), F.col("leader.n"), threshold))
         .groupBy("node", F.col("leader.node").alias("to"))
         .count()
@@ -237,14 +305,86 @@ def _stars(short: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return _verified(pairs, sets, threshold)
 
 
+def _in_components(short: DataFrame, tied: DataFrame | None) -> DataFrame:
+    """`short` with the component of each class, its own number while nothing ties it, and its members."""
+    if tied is None:
+        return short.withColumns({"component": F.col("node"), "members": F.lit(1).cast("bigint")})
+    sizes = tied.groupBy("component").agg(F.count("*").alias("members"))
+    known = tied.join(sizes, "component")
+    return short.join(known, "node", "left").withColumns(
+        {"component": F.coalesce("component", "node"), "members": F.coalesce("members", F.lit(1).cast("bigint"))}
+    )
+
+
+def _crossing(posts: DataFrame, threshold: int) -> DataFrame:
+    """The postings in lists of several components, of classes with enough of them.
+
+    A class meets a partner at least (t / 2) * |x| times in such lists.
+    """
+    for _ in range(2):
+        lists = (
+            posts.groupBy("h")
+            .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+            .filter("lo <> hi")
+        )
+        crossing = posts.join(lists.select("h"), "h")
+        enough = (
+            crossing.groupBy("node", "n").agg(F.count("*").alias("k")).filter(F.expr(f"k * 200 >= n * {threshold}"))
+        )
+        posts = stored(crossing.join(enough.select("node"), "node"), "crossing-lists")
+    return posts
+
+
+def _tie(short: DataFrame, sets: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(links, components, crossing postings): rounds of stars as long as they tie much.
+
+    Later rounds compare what is still apart with other leaders. They spare the search, which finds whatever
+    links they miss.
+    """
+    posts = _in_components(short, None)
+    links = stored(_stars(posts, sets, threshold, 0), "stars")
+    tied = stored(connected_components(links), "tied")
+    posts = _crossing(_in_components(short, tied), threshold)
+    open_before = posts.select("node").distinct().count()
+    for seed in range(1, STAR_ROUNDS):
+        if not open_before:
+            break
+        more = stored(_stars(posts, sets, threshold, seed), "stars")
+        if not more.limit(1).count():
+            break
+        links = stored(links.unionByName(more), "links")
+        tied = stored(connected_components(links), "tied")
+        posts = _crossing(_in_components(posts.drop("component", "members"), tied), threshold)
+        still = posts.select("node").distinct().count()
+        if still * 10 > open_before * 9:
+            break
+        open_before = still
+    return links, tied, posts
+
+
+def _blocks(held: str) -> Column:
+    return F.expr(f"cast(({held} + {BLOCK - 1}) div {BLOCK} as int)")
+
+
+def _member() -> Column:
+    return F.struct("node", "n", "k", "component", "members")
+
+
+def _larger(members: Column, component: Column) -> Column:
+    """Whether a component of that many members and that number comes after the row's own."""
+    own = F.col("members")
+    return (members > own) | ((members == own) & (component > F.col("component")))
+
+
 def _merge_lists(threshold: int):
     """Count the occurrences of every partner over the lists of a class, which stand together."""
+    apart = APART * threshold
 
     def partners(x: int, n: int, ys: list[np.ndarray], sizes: list[np.ndarray]):
         y, at, counts = np.unique(np.concatenate(ys), return_index=True, return_counts=True)
-        m = np.concatenate(sizes)[at]
+        m = np.concatenate(sizes)[at].astype(np.int64)
         total = -(-threshold * (n + m) // (100 + threshold))
-        skipped = threshold * np.maximum(n, m) // 200
+        skipped = apart * np.maximum(n, m) // 10_000
         enough = counts >= total - skipped
         y, counts = y[enough], counts[enough]
         return pa.record_batch([pa.array(np.full(len(y), x)), pa.array(y), pa.array(counts)], ["a", "b", "met"])
@@ -266,47 +406,72 @@ def _merge_lists(threshold: int):
     return run
 
 
-def _search(short: DataFrame, tied: DataFrame, threshold: int) -> DataFrame:
-    """(a, b, met): classes of different components of `tied` (node, component) that meet in
-    enough short lists, and in how many."""
-    posts = stored(
-        short.join(tied, "node", "left").withColumn("component", F.coalesce("component", "node")),
-        "short-lists",
+def _search(posts: DataFrame, threshold: int) -> DataFrame:
+    """(a, b, met): classes of different components that meet in enough rare lists, and in how many.
+
+    `posts` are the crossing postings; pairs that cannot meet often enough, by the lists
+    that both have left, are dropped before anything is emitted for them.
+    """
+    posts = posts.filter("rare").select("h", "node", "n", "component", "members")
+    lists = posts.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+    left = posts.groupBy("node").agg(F.count("*").alias("k"))
+    posts = stored(posts.join(lists.select("h"), "h").join(left, "node"), "rare-lists")
+    # A component with BLOCK members in a list is a group of that list, all others make one.
+    groups = posts.groupBy("h", "component").agg(F.count("*").alias("held"), F.max("members").alias("members"))
+    heavy = groups.filter(F.col("held") >= BLOCK).withColumn("blocks", _blocks("held"))
+    light = (
+        groups.filter(F.col("held") < BLOCK)
+        .groupBy("h")
+        .agg(F.sum("held").alias("held"), F.max("members").alias("largest"))
+        .withColumn("blocks", _blocks("held"))
     )
-    # A class meets a partner at least (t / 2) * |x| times in lists of several components.
-    for _ in range(2):
-        lists = (
-            posts.groupBy("h")
-            .agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-            .filter("lo <> hi")
-        )
-        crossing = posts.select("h", "node", "n", "component").join(lists.select("h", "m"), "h")
-        enough = (
-            crossing.groupBy("node", "n").agg(F.count("*").alias("k")).filter(F.expr(f"k * 200 >= n * {threshold}"))
-        )
-        posts = stored(crossing.drop("m").join(enough.select("node"), "node"), "crossing-lists")
-    lengths = posts.groupBy("h").agg(F.count("*").alias("m"))
-    blocks = F.expr(f"cast((m + {BLOCK - 1}) div {BLOCK} as int)")
-    posts = posts.join(lengths.filter("m > 1"), "h").withColumn("blocks", blocks)
-    members = (
-        posts.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .groupBy("h", "block")
-        .agg(F.collect_list(F.struct("node", "n", "component")).alias("members"))
+    of_heavy = heavy.select("h", "component", "held", F.col("blocks").alias("own_blocks"))
+    total = posts.count()
+    sides = join_uneven(posts, of_heavy, ["h", "component"], "held", total).select(
+        "h", F.lit(True).alias("heavy"), F.col("component").alias("group"),
+        F.pmod(F.xxhash64("node"), F.col("own_blocks")).cast("int").alias("block"), _member().alias("member"),
+    )
+    others = join_uneven(posts.join(of_heavy, ["h", "component"], "left_anti"), light, "h", "held", total).select(
+        "h", F.lit(False).alias("heavy"), F.lit(0).cast("bigint").alias("group"),
+        F.pmod(F.xxhash64("component"), F.col("blocks")).cast("int").alias("block"), _member().alias("member"),
+    )
+    key = ["h", "heavy", "group", "block"]
+    members = sides.unionByName(others).groupBy(*key).agg(F.collect_list("member").alias("ys"))
+    # A class looks into all groups of larger components; so a pair is met from one side in all lists.
+    into_light = posts.join(light.select("h", "largest", "blocks"), "h").filter("largest >= members").drop("largest")
+    into_light = into_light.withColumns({"heavy": F.lit(False), "group": F.lit(0).cast("bigint")})
+
+    def least_met(n: Column, m: Column) -> Column:
+        total = F.call_function("div", (n + m) * threshold + (99 + threshold), F.lit(100 + threshold))
+        return total - F.call_function("div", F.greatest(n, m) * (APART * threshold), F.lit(10_000))
+
+    # It looks into a large component only where the lists it shares with that suffice for some size there.
+    spans = posts.groupBy("component").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    wide = heavy.join(spans, "component").select("h", F.col("component").alias("group"), F.col("members").alias("largest"), "blocks", "lo", "hi")
+    lo = F.greatest("lo", _part(str(threshold)).cast("bigint"))
+    hi = F.least("hi", F.expr(f"(n * 100) div {threshold}"))
+    into_heavy = posts.join(wide, "h").filter(_larger(F.col("largest"), F.col("group"))).filter(lo <= hi)
+    least = F.least(least_met(F.col("n"), lo), least_met(F.col("n"), hi))
+    shared = into_heavy.groupBy("node", "group").agg(F.count("*").alias("shared"), F.max(least).alias("least"))
+    into_heavy = (
+        into_heavy.join(shared.filter("shared >= least").select("node", "group"), ["node", "group"])
+        .select(*posts.columns, "blocks", F.lit(True).alias("heavy"), "group")
     )
-    probes = posts.select(
-        "h", "node", "n", "component", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    probes = into_light.select(*into_heavy.columns).unionByName(into_heavy).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     )
+
     met = F.filter(
-        "members",
-        lambda y: (y["node"] > F.col("node"))
-        & (y["component"] != F.col("component"))
-        & similar_size(y["n"], F.col("n"), threshold),
+        "ys",
+        lambda y: _larger(y["members"], y["component"])
+        & similar_size(y["n"], F.col("n"), threshold)
+        & (least_met(y["n"], F.col("n")) <= F.least(y["k"], F.col("k"))),
     )
     found = (
-        probes.join(members, ["h", "block"])
+        probes.join(members, key)
         .select("node", "n", met.alias("met"))
         .filter(F.size("met") > 0)
-        .select("node", "n", F.col("met.node").alias("ys"), F.col("met.n").alias("sizes"))
+        .select("node", "n", F.col("met.node").alias("ys"), F.col("met.n").cast("array<int>").alias("sizes"))
     )
     pairs = (
         found.repartition("node")
@@ -374,9 +539,8 @@ def _linked(docs: DataFrame, threshold: int) -> DataFrame:
     )
     sets = _candidate_sets(docs, classes, threshold)
     short = stored(_short_lists(sets, threshold), "short-lists")
-    stars = stored(_stars(short, sets, threshold), "stars")
-    tied = stored(connected_components(stars), "tied")
-    links = _links_between(_search(short, tied, threshold), stars, tied, sets, threshold)
+    stars, tied, crossing = _tie(short, sets, threshold)
+    links = _links_between(_search(crossing, threshold), stars, tied, sets, threshold)
     found = stored(connected_components(links), "components")
     joined = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
@@ -411,14 +575,12 @@ def keep_one(docs: DataFrame, *, threshold: int = THRESHOLD) -> DataFrame:
         marked.groupBy("doc_id", "text_hash").agg(F.max("keeper").alias("keeper"), F.count("*").alias("rows")),
         "near-copies",
     )
-    drop = marked.filter(~F.col("keeper")).select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")
-    )
-    key = (F.col("doc_id").eqNullSafe(F.col("__id"))) & (F.xxhash64("text") == F.col("__hash"))
+    own_id, own_hash = free_names(docs, "id", "hash")
+    named = [F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash)]
+    key = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.xxhash64("text") == F.col(own_hash))
+    drop = marked.filter(~F.col("keeper")).select(*named)
     kept = docs.join(small_side(drop, drop.count()), key, "left_anti")
-    repeated = marked.filter("keeper and rows > 1").select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")
-    )
+    repeated = marked.filter("keeper and rows > 1").select(*named)
     n = repeated.count()
     if not n:
         return kept
