@@ -6,7 +6,8 @@ its token ids as little-endian unsigned 16- or 32-bit integers, and the ends of
 in the concatenated array as an Elias-Fano sequence. Of each end the `low_bits` lowest bits are
 packed side by side; the rest is a bit vector in which end i sets bit (end >> low_bits) + i, so
 about two bits and the low bits are spent on a document and no table of 64-bit offsets exists.
-`select(i)` finds the i-th set bit from a sample of every SAMPLE-th one and the bytes after it.
+`select(i)` finds the i-th set bit from a sample of every SAMPLE-th one and the bytes after it; all
+readers get their boundaries from it, `look_up` those of chosen documents alone.
 
 Encoding happens where a text stands: a batch's distinct words are encoded once by the tokenizers
 library and a worker remembers MEMO_WORDS of them. That equals encoding the text as one, because
@@ -46,6 +47,8 @@ END_ID = 2
 SAMPLE = 64
 BLOCK_IDS = 1 << 18
 MEMO_WORDS = 1 << 18
+# Text bytes encoded at once.
+ENCODE_BYTES = 1 << 22
 MEMO_LENGTH = 64
 DOCS_PER_PART = 50_000
 WORDS_AT_ONCE = 4096
@@ -229,8 +232,9 @@ def encoded_rows(docs: DataFrame, path: str, cuts: list[tuple], end_id: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
         end = np.array([end_id], dtype=own.dtype)
-        for b in small_batches(batches):
+        for b in small_batches(batches, most=ENCODE_BYTES):
             rows = [np.concatenate([x, end]) for x in own.texts(b["text"])]
+            pa.default_memory_pool().release_unused()
             keys = zip(b["doc_id"].to_pylist(), b["salt"].to_pylist())
             yield pa.record_batch(
                 [
@@ -339,6 +343,33 @@ def read_sums(spark, folder: str) -> DataFrame:
     )
 
 
+def look_up(spark, folder: str, wanted: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, width, ids) of the documents whose doc_id is in `wanted`.
+
+    Only blocks that hold one are read, and in them only the wanted boundaries are selected.
+    """
+    blocks = spark.read.schema(STORE_SCHEMA).parquet(folder)
+    index = blocks.select("part", "block", F.posexplode("doc_ids").alias("at", "doc_id"))
+    named = index.join(wanted.select("doc_id").filter("doc_id is not null").distinct(), "doc_id", "left_semi")
+    places = named.groupBy("part", "block").agg(F.sort_array(F.collect_list("at")).alias("places"))
+    found = _located(spark, folder).join(small_side(places, places.count()), ["part", "block"])
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    names = ["doc_id", "start", "n_tokens", "width", "ids"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(len(b)):
+                part = {f: b[f][i].as_py() for f in b.schema.names}
+                ef = EliasFano(len(part["doc_ids"]), part["low_bits"], part["low"], part["high"], part["samples"])
+                size, rows = part["width"], []
+                for k in part["places"]:
+                    start, end = ef.select(k - 1) if k else 0, ef.select(k)
+                    rows.append((part["doc_ids"][k], part["first"] + start, end - start, size, part["ids"][start * size : end * size]))
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+
+    return found.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, width int, ids binary")
+
+
 def _located(spark, folder: str) -> DataFrame:
     """The blocks with `first`, the ids before each.
 
@@ -359,14 +390,14 @@ def _located(spark, folder: str) -> DataFrame:
 
 
 def _documents(rows: Callable, kinds: list, names: list[str]):
-    """Decode each block's boundaries and turn it into rows of documents."""
+    """Select each document's boundaries in its block and turn the block into rows of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(len(b)):
                 part = {f: b[f][i].as_py() for f in b.schema.names}
                 ef = EliasFano(len(part["doc_ids"]), part["low_bits"], part["low"], part["high"], part["samples"])
-                ends = ef.values()
+                ends = np.array([ef.select(k) for k in range(ef.n)], dtype=np.int64)
                 starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
                 columns = rows(part, starts, ends)
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
