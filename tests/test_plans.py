@@ -121,6 +121,22 @@ def test_blocks_take_one_key_per_start(spark):
     assert plan.count("Exchange") == 3
 
 
+def test_chunks_are_never_broadcast(spark, monkeypatch):
+    from tokenloom.operators import blocks
+    from tokenloom.operators.blocks import cut_blocks
+
+    starts = spark.range(5).selectExpr("'val' split", "id batch_id", "0 row_id", "id start")
+    chunks = spark.range(4).selectExpr("'val' split", "id chunk_id", "array(1, 2, 3, 4) tokens")
+    for beside in (chunks, chunks.withColumn("halo", F.col("tokens"))):
+        few = cut_blocks(starts, beside, 4)
+        assert "BroadcastHashJoin" in plan_of(few) and "BuildRight" in plan_of(few)
+        with monkeypatch.context() as patched:
+            patched.setattr(blocks, "BROADCAST_DRAWS", 4)
+            for many in (cut_blocks(starts, beside, 4), cut_blocks(starts, beside, 4, n_starts=5)):
+                assert "SortMergeJoin" in plan_of(many) and "BroadcastExchange" not in plan_of(many)
+                assert sorted(many.collect()) == sorted(few.collect())
+
+
 def test_large_inputs_are_not_spread(spark, monkeypatch):
     from tokenloom.operators import layout
 

@@ -61,11 +61,11 @@ def cut_blocks(
     Chunks of `chunk_size` tokens (block_size if not given) that carry the block_size tokens after
     them as `halo` hold every block that starts in them, so this is an equi-join on one key per
     start and tokens are shuffled once. Chunks of block_size tokens without a halo are joined by two keys. When
-    `n_starts` is known and small the starts are broadcast and the chunk table is only
-    scanned; otherwise both sides shuffle.
+    the starts are few (`n_starts`, or counted here) they are broadcast and the chunk table is only
+    scanned; otherwise both sides shuffle. Chunks are never broadcast.
     """
     chunk_size = chunk_size or block_size
-    small = n_starts is not None and n_starts <= BROADCAST_DRAWS
+    small = (starts.count() if n_starts is None else n_starts) <= BROADCAST_DRAWS
     joined = _beside_halo if "halo" in chunks.columns else _beside_following
     offset = (F.col("start") % chunk_size).cast("int")
     # block_size + 1 tokens, those beyond the chunk from its halo.
@@ -78,19 +78,23 @@ def cut_blocks(
     )
 
 
+def _sided(wanted: DataFrame, small: bool) -> DataFrame:
+    """Starts to broadcast if they are few; otherwise no side is. Spark reckons an array column as
+    one element, so it would take many chunks for a small table and collect them all on the driver."""
+    return F.broadcast(wanted) if small else wanted.hint("merge")
+
+
 def _beside_halo(starts: DataFrame, chunks: DataFrame, size: int, small: bool) -> DataFrame:
     """Every start with the tokens and the halo of its chunk."""
     wanted = starts.withColumn("chunk_id", int_div(F.col("start"), size))
-    wanted = F.broadcast(wanted) if small else wanted
-    return chunks.select("split", "chunk_id", "tokens", "halo").join(wanted, ["split", "chunk_id"])
+    return chunks.select("split", "chunk_id", "tokens", "halo").join(_sided(wanted, small), ["split", "chunk_id"])
 
 
 def _beside_following(starts: DataFrame, chunks: DataFrame, size: int, small: bool) -> DataFrame:
     """The same with the next chunk as halo: two keys per start, met again by start."""
     first = int_div(F.col("start"), size)
     wanted = starts.withColumn("chunk_id", F.explode(F.array(first, first + 1)))
-    wanted = F.broadcast(wanted) if small else wanted
-    pairs = chunks.select("split", "chunk_id", "tokens").join(wanted, ["split", "chunk_id"])
+    pairs = chunks.select("split", "chunk_id", "tokens").join(_sided(wanted, small), ["split", "chunk_id"])
     is_own = F.col("chunk_id") == first
     return pairs.groupBy(*DRAW).agg(
         F.first(F.when(is_own, F.col("tokens")), ignorenulls=True).alias("tokens"),
