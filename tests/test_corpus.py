@@ -224,3 +224,26 @@ def test_remove_rows(spark):
     assert kept([]) == ["Foo", "bar", None, "ÄRGER"]
     assert kept(["^b", "är"]) == ["Foo", None]
     assert kept(["(o)\\1", "x"]) == ["bar", None, "ÄRGER"]
+
+
+def test_tasks_get_small_batches_of_text(spark):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from tokenloom.operators.chunks import pack_chunks
+    from tokenloom.operators.vocab import char_decoder, encode_chars
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    @F.arrow_udf("long")
+    def batch_bytes(texts: pa.Array) -> pa.Array:
+        return pa.array([texts.nbytes] * len(texts))
+
+    vocab = spark.createDataFrame([(0, "x")], "id int, ch string")
+    texts = spark.range(0, 2000, 1, 1).select(F.lit("val").alias("split"), F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 10_000).alias("text"))
+    encoded = encode_chars(texts, vocab)
+    uses = [lambda: encode_chars(texts, vocab), lambda: char_decoder(vocab), lambda: pack_chunks(encoded.limit(0), 4)]
+    for use in uses:
+        spark.conf.unset(key)
+        use()
+        assert texts.agg(F.max(batch_bytes("text"))).first()[0] < 5 << 20

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tokenloom.operators.ranges import store_ranges, sum_before
 from tokenloom.operators.vocab import narrow_id
+from tokenloom.session import bound_batches
 
 # Tokens that one task puts in order (64 MB).
 TOKENS_PER_SHARD = 1 << 24
@@ -244,6 +245,7 @@ def pack_chunks(
     if size < 1:
         raise ValueError("size must be at least 1")
     spark = encoded.sparkSession
+    bound_batches(spark)
     shards = divide_stream(encoded, size, halo, tokens_per_shard)
     schema = CHUNK_SCHEMA + (", halo array<int>" if halo else "")
     if not shards.count:

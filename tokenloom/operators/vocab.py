@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tokenloom.functions.text import characters
+from tokenloom.session import bound_batches
 
 # Fixed value: there are 0x110000 Unicode code points, the bound on any vocabulary.
 CODE_POINTS = 0x110000
@@ -51,6 +52,7 @@ def char_encoder(vocab: DataFrame):
     encoded by one gather from a code-point table. A character outside the
     vocabulary is an error.
     """
+    bound_batches(vocab.sparkSession)
     table = np.full(CODE_POINTS, -1, dtype=np.int32)
     for row in vocab.select("id", "ch").collect():
         table[ord(row["ch"])] = row["id"]
@@ -95,6 +97,7 @@ def encode_chars(pieces: DataFrame, vocab: DataFrame) -> DataFrame:
 
 def char_decoder(vocab: DataFrame):
     """A function array<int> column -> text column, the inverse of `char_encoder`."""
+    bound_batches(vocab.sparkSession)
     rows = sorted((row["id"], row["ch"]) for row in vocab.select("id", "ch").collect())
     if [number for number, _ in rows] != list(range(len(rows))):
         raise ValueError("the vocabulary's ids are not 0, 1, 2, ...")

@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Bytes of rows that Spark hands to a Python task at once.
+ARROW_BYTES = 4 << 20
+
+
 def build_session(app: str = "tokenloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators assume; `conf` keys use `__` for `.`."""
     builder = SparkSession.builder.appName(app)
@@ -31,6 +35,15 @@ def build_session(app: str = "tokenloom", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of ARROW_BYTES (or one longer row) in this session.
+
+    Spark's own bounds, 64 MB and 10,000 rows, are reached only by large tasks; Python holds each
+    batch several times over, as text, code points and ids.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder name that driver and executors can all reach.
 
