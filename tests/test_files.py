@@ -470,3 +470,40 @@ def test_metrics_and_checkpoints(spark, tmp_path):
     records = spark.read.parquet(save_checkpoints(log, str(tmp_path / "c"), "runs/"))
     assert sorted(tuple(r) for r in records.collect()) == [
         ("r", 250, 4.0, "runs/r/iter-250"), ("r", 750, 3.0, "runs/r/iter-750")]
+
+
+def test_small_ranges_share_tasks_and_read_little(tmp_path, monkeypatch):
+    from tokenloom.sources import ranged_text
+
+    path = tmp_path / "x.txt"
+    path.write_bytes(b"0123456789abcde\n" * (1 << 16))
+    options = {"files": json.dumps([[str(path), 1 << 20]]), "range_bytes": str(1 << 10), "piece_bytes": "100"}
+    reader = ranged_text.RangedTextReader(options)
+    planned = reader.partitions()
+    assert sum(len(p.ranges) for p in planned) == 1024 and len(planned) == 64
+    asked, resolve = [], ranged_text.resolve
+
+    class Counted:
+        def __init__(self, file):
+            self.file = file
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.file.close()
+
+        def read(self, n):
+            asked.append(n)
+            return self.file.read(n)
+
+        def __getattr__(self, name):
+            return getattr(self.file, name)
+
+    class Files:
+        def open_input_file(self, name):
+            return Counted(resolve(name)[0].open_input_file(name))
+
+    monkeypatch.setattr(ranged_text, "resolve", lambda name: (Files(), name))
+    text = "".join(t for p in planned for b in reader.read(p) for t in b.column("text").to_pylist())
+    assert text == "0123456789abcde\n" * (1 << 16) and max(asked) < 1 << 17

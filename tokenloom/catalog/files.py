@@ -241,6 +241,13 @@ def vocab_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing.unionAll(read_vocab(spark, path))
 
 
+def save_once(df: DataFrame, label: str) -> DataFrame:
+    """`df` written to a shared folder and read back, where several passes follow."""
+    folder = shared_dir(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 @query(
     "text_roundtrip",
     """
@@ -253,12 +260,19 @@ def text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = export_text(documents(spark, sf_dir), shared_dir(spark, "text"))
     corpus = read_text(spark, join(path, "*.txt"), range_bytes=1 << 18, piece_bytes=1 << 14)
     lines = F.split("text", "\n")
-    pieces = corpus.withColumn("breaks", (F.size(lines) - 1).cast("bigint"))
+    pieces = save_once(corpus.withColumn("breaks", (F.size(lines) - 1).cast("bigint")), "pieces")
     placed = sum_before(
-        store_ranges(pieces, ["doc_id"]), partition=[], order=["doc_id"], value="breaks", out="before"
-    )
-    numbered = placed.select("before", F.posexplode(lines).alias("at", "line"))
-    # A line that a piece or a file ends in goes on, by nothing, in the next one.
-    whole = numbered.groupBy((F.col("before") + F.col("at")).alias("line_no")).agg(F.max("line").alias("line"))
+        store_ranges(pieces.select("doc_id", "breaks"), ["doc_id"]),
+        partition=[], order=["doc_id"], value="breaks", out="before",
+    )
+    starts = placed.select("doc_id", "before")
+    numbered = pieces.join(starts, "doc_id").select(
+        "doc_id", "breaks", "before", F.posexplode(lines).alias("at", "line")
+    ).withColumn("line_no", F.col("before") + F.col("at"))
+    # A line that a piece or a file ends in goes on in the next one; all others are in one piece.
+    inside = (F.col("at") > 0) & (F.col("at") < F.col("breaks"))
+    parts = F.array_sort(F.collect_list(F.struct("doc_id", "line")))
+    ends = numbered.filter(~inside).groupBy("line_no").agg(F.array_join(parts["line"], "").alias("line"))
     total = pieces.agg(F.sum("breaks")).first()[0]
+    whole = numbered.filter(inside).select("line_no", "line").unionAll(ends)
     return whole.filter(F.col("line_no") < total)

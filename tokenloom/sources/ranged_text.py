@@ -1,8 +1,8 @@
 """A data source that reads text files of any size by byte range.
 
 Spark's text reader gives whole files (at most 2 GB each) or lines without any order.
-This one plans tasks of about `range_bytes`, many small files or a part of a large one, each with the
-number of its first byte, and emits (path, byte_offset, position, text), either line by line or in
+This one plans ranges of about `range_bytes`, many small files or a part of a large one, each with the
+number of its first byte, several small ones for a task where there are many, and emits (path, byte_offset, position, text), either line by line or in
 pieces that may be tokenised on their own. A stretch of FORCED pieces
 without any place for such a cut is cut at the next character, so that no row, and no
 reading past a range, is unbounded.
@@ -15,12 +15,22 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tokenloom.sources.files import resolve
 
 READ_BYTES = 4 << 20
+# A range is read to its end and so many bytes further at once; the next cut mostly lies there.
+READ_PAST = 1 << 16
+# Starting a task costs more than reading a small range: a task takes several of them up to so
+# many bytes, as long as there are so many tasks.
+TASK_BYTES = 16 << 20
+LEAST_TASKS = 64
+# Rows and bytes of text that a task hands over at once.
+BATCH_ROWS = 1 << 14
+BATCH_BYTES = 4 << 20
 # A forced cut ends every stretch of so many pieces that has no other.
 FORCED = 8
 # Bytes kept before a position, enough for the character and the line break around it.
@@ -84,15 +94,26 @@ class RangedTextReader(DataSourceReader):
                     room = self.range_bytes
                 planned[-1].ranges.append(ByteRange(path, start, stop, number << self.file_bits))
                 room -= stop - start
-        return planned
-
-    def read(self, part: ByteRanges) -> Iterator[tuple]:
+        together = max(min(TASK_BYTES // self.range_bytes, len(planned) // LEAST_TASKS), 1)
+        return [
+            ByteRanges([r for p in planned[i : i + together] for r in p.ranges])
+            for i in range(0, len(planned), together)
+        ]
+
+    def read(self, part: ByteRanges) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
         for own in part.ranges:
             for offset, raw in self._units(own):
                 text = raw.decode(self.encoding, self.errors)
                 if self.unit == "line":
                     text = text.removesuffix("\n").removesuffix("\r")
-                yield own.path, offset, own.first + offset, text
+                rows.append((own.path, offset, own.first + offset, text))
+                held += len(raw)
+                if held >= BATCH_BYTES or len(rows) >= BATCH_ROWS:
+                    yield _batch(rows)
+                    rows, held = [], 0
+        if rows:
+            yield _batch(rows)
 
     def _units(self, part: ByteRange) -> Iterator[tuple[int, bytes]]:
         """(offset, bytes) from the first cut at or after `start` up to the first cut at
@@ -105,7 +126,7 @@ class RangedTextReader(DataSourceReader):
         buffer, scanned = bytearray(), 0
         with filesystem.open_input_file(path) as file:
             file.seek(base)
-            while block := file.read(READ_BYTES):
+            while block := file.read(min(max(part.stop - file.tell(), 0) + READ_PAST, READ_BYTES)):
                 buffer += block
                 cuts = (base + cut for cut in self._cuts(buffer, scanned))
                 if stretches:
@@ -144,6 +165,12 @@ class RangedTextReader(DataSourceReader):
             yield cut
 
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+    return pa.record_batch(columns, ["path", "byte_offset", "position", "text"])
+
+
 class _Stretches:
     """Fixed stretches of a file; one without a cut of its own ends in a forced one.
 
