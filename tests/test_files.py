@@ -507,3 +507,22 @@ def test_small_ranges_share_tasks_and_read_little(tmp_path, monkeypatch):
     monkeypatch.setattr(ranged_text, "resolve", lambda name: (Files(), name))
     text = "".join(t for p in planned for b in reader.read(p) for t in b.column("text").to_pylist())
     assert text == "0123456789abcde\n" * (1 << 16) and max(asked) < 1 << 17
+
+
+def test_many_small_members_take_few_tasks(spark, tmp_path):
+    import zipfile
+
+    from tokenloom.sources.archives import _listed, _spread, read_extracted, unzip_files
+
+    for k in range(40):
+        with zipfile.ZipFile(tmp_path / f"{k}.zip", "w") as archive:
+            for i in range(100):
+                archive.writestr(f"d{k}/{i}.txt", f"{k} é {i}")
+    glob, target = str(tmp_path / "*.zip"), str(tmp_path / "out")
+    assert _spread(_listed(spark, glob)).rdd.getNumPartitions() == 16
+    before = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    files = read_extracted(unzip_files(spark, glob, target), target)
+    assert "binaryFile" not in files._jdf.queryExecution().toString()
+    rows = {r["member"]: bytes(r["content"]).decode() for r in files.collect()}
+    assert rows == {f"d{k}/{i}.txt": f"{k} é {i}" for k in range(40) for i in range(100)}
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == before

@@ -28,7 +28,7 @@ from tokenloom.plans.prepare import prepare_corpus
 from tokenloom.session import shared_dir
 from tokenloom.sinks.files import export_text, save_csv, save_parquet
 from tokenloom.sinks.tokens import write_chunks, write_token_files, write_vocab
-from tokenloom.sources.archives import list_members, read_members, unzip_files
+from tokenloom.sources.archives import list_members, read_extracted, read_members, unzip_files
 from tokenloom.sources.csv import read_csv
 from tokenloom.sources.files import join, publish, resolve
 from tokenloom.sources.parquet import read_each_parquet, read_parquets
@@ -192,13 +192,8 @@ def zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zip_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     glob = write_archives(documents(spark, sf_dir), shared_dir(spark, "zip"))
     target = shared_dir(spark, "extracted")
-    listed = unzip_files(spark, glob, target)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(target)
-    content = files.select(
-        F.regexp_extract("_metadata.file_path", r"(d\d/\d+\.txt)$", 1).alias("member"),
-        F.md5("content").alias("text_md5"),
-    )
-    return listed.join(content, "member").select(archive_number(), "member", "n_bytes", "text_md5")
+    files = read_extracted(unzip_files(spark, glob, target), target)
+    return files.select(archive_number(), "member", "n_bytes", F.md5("content").alias("text_md5"))
 
 
 @query(

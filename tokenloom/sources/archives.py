@@ -10,17 +10,20 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tokenloom.session import shared_dir
-from tokenloom.sources.files import join, publish, resolve
+from tokenloom.sources.files import few_listing_tasks, join, publish, resolve
 
 PART_BYTES = 8 << 20
 ROWS_PER_FRAME = 1000
 # Neighbouring members stay together up to this size, so that not every task opens every
 # archive; a larger member is a run of its own. Opening a member counts as so many bytes.
 RUN_BYTES = 64 << 20
-MEMBER_BYTES = 1 << 20
+MEMBER_BYTES = 1 << 16
 LEAST_TASKS = 16
+# A task streams its members, so more of them need no more memory; shuffles of names stay small.
+MOST_TASKS = 1 << 12
 
 _MEMBERS = "zip_path string, ordinal int, member string, n_bytes bigint"
 _LISTED = _MEMBERS + ", name string, run int, weight bigint"
@@ -46,31 +49,35 @@ def _runs(weights: list[int]) -> list[int]:
 def _listed(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """The entries with their normalised name, run and weight."""
 
+    columns = ["zip_path", "ordinal", "member", "n_bytes", "name", "run", "weight"]
+
     def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            ready = []
             for path in batch["zip_path"]:
                 filesystem, name = resolve(path)
                 with filesystem.open_input_file(name) as file, zipfile.ZipFile(file) as archive:
                     infos = archive.infolist()
                 weights = [info.file_size + MEMBER_BYTES for info in infos]
-                yield pd.DataFrame(
-                    {
-                        "zip_path": path,
-                        "ordinal": range(len(infos)),
-                        "member": [info.filename for info in infos],
-                        "n_bytes": [info.file_size for info in infos],
-                        "name": [posixpath.normpath(info.filename) for info in infos],
-                        "run": _runs(weights),
-                        "weight": weights,
-                    }
-                )
-
-    archives = (
-        spark.read.format("binaryFile")
-        .load(paths)
-        .select(F.col("_metadata.file_path").alias("zip_path"))
-    )
-    return archives.mapInPandas(entries, _LISTED)
+                for i, (info, run) in enumerate(zip(infos, _runs(weights))):
+                    own = posixpath.normpath(info.filename)
+                    ready.append((path, i, info.filename, info.file_size, own, run, weights[i]))
+                if len(ready) >= ROWS_PER_FRAME:
+                    yield pd.DataFrame(ready, columns=columns)
+                    ready = []
+            if ready:
+                yield pd.DataFrame(ready, columns=columns)
+
+    with few_listing_tasks(spark):
+        found = spark.read.format("binaryFile").load(paths)
+    return found.select(F.col("_metadata.file_path").alias("zip_path")).mapInPandas(entries, _LISTED)
+
+
+def _stored_listing(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The listing written once, for plans that look at it several times."""
+    folder = shared_dir(spark, "listing")
+    _listed(spark, paths).write.parquet(folder)
+    return spark.read.schema(_LISTED).parquet(folder)
 
 
 def read_members(
@@ -99,7 +106,7 @@ def read_members(
         if ready:
             yield pd.DataFrame(ready, columns=columns)
 
-    return _spread(_listed(spark, paths)).mapInPandas(
+    return _spread(_stored_listing(spark, paths)).mapInPandas(
         contents, "zip_path string, ordinal int, member string, part int, content binary"
     )
 
@@ -110,7 +117,7 @@ def unzip_files(spark: SparkSession, paths: str | list[str], dir_save: str) -> D
     Two entries with one name, or a name that leaves `dir_save`, fail the job. A file
     appears under its final name only when complete, so lost tasks may be repeated.
     """
-    members = _listed(spark, paths).filter(~F.col("member").endswith("/"))
+    members = _stored_listing(spark, paths).filter(~F.col("member").endswith("/"))
     clash = members.groupBy("name").count().filter("count > 1").first()
     if clash is not None:
         raise ValueError(f"{clash['count']} archive entries are named {clash['name']!r}")
@@ -119,13 +126,16 @@ def unzip_files(spark: SparkSession, paths: str | list[str], dir_save: str) -> D
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         filesystem, root = resolve(dir_save)
-        written = []
+        written, made = [], set()
         for row, archive, info in _opened(batches):
             name = posixpath.normpath(row.member)
             if name.startswith(("/", "..")):
                 raise ValueError(f"archive entry {row.member!r} leaves the target folder")
             final = join(root, name)
-            filesystem.create_dir(posixpath.dirname(final), recursive=True)
+            folder = posixpath.dirname(final)
+            if folder not in made:
+                filesystem.create_dir(folder, recursive=True)
+                made.add(folder)
             temporary = f"{final}.{uuid.uuid4().hex}.tmp"
             with archive.open(info) as stream, filesystem.open_output_stream(temporary) as out:
                 while block := stream.read(PART_BYTES):
@@ -143,12 +153,43 @@ def unzip_files(spark: SparkSession, paths: str | list[str], dir_save: str) -> D
     return spark.read.parquet(listing)
 
 
+def read_extracted(files: DataFrame, dir_save: str) -> DataFrame:
+    """Add `content`: the bytes of the file that `unzip_files` put below `dir_save`, for the rows it gave.
+
+    Tasks open the files by name, so no folder of them is listed on the driver. A missing file is
+    an error. A file is a row and is held whole.
+    """
+
+    columns = [*files.columns, "content"]
+
+    def contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        filesystem, root = resolve(dir_save)
+        ready, held = [], 0
+        for batch in batches:
+            for row, member in zip(batch.itertuples(index=False, name=None), batch["member"]):
+                with filesystem.open_input_stream(join(root, posixpath.normpath(member))) as file:
+                    block = file.read()
+                ready.append((*row, block))
+                held += len(block)
+                if held >= PART_BYTES or len(ready) >= ROWS_PER_FRAME:
+                    yield pd.DataFrame(ready, columns=columns)
+                    ready, held = [], 0
+        if ready:
+            yield pd.DataFrame(ready, columns=columns)
+
+    spread = files.repartition(_tasks(files.agg(F.sum(F.col("n_bytes") + F.lit(MEMBER_BYTES))).first()[0] or 0), "member")
+    return spread.mapInPandas(contents, T.StructType([*files.schema, T.StructField("content", T.BinaryType())]))
+
+
+def _tasks(total: int) -> int:
+    return max(min(-(-total // RUN_BYTES), MOST_TASKS), min(total // MEMBER_BYTES, LEAST_TASKS), 1)
+
+
 def _spread(members: DataFrame) -> DataFrame:
     """Runs over a number of tasks that follows from the bytes; it is given, so adaptive
     execution does not merge what is a small table of names but much work."""
     total = members.agg(F.sum("weight")).first()[0] or 0
-    tasks = max(-(-total // RUN_BYTES), min(total // MEMBER_BYTES, LEAST_TASKS), 1)
-    return members.repartition(tasks, "zip_path", "run")
+    return members.repartition(_tasks(total), "zip_path", "run")
 
 
 def _opened(batches: Iterator[pd.DataFrame]):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import unquote, urlparse
 
 from pyarrow import fs
@@ -9,6 +11,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 
+LISTING_TASKS = 64
+
+
 def resolve(path: str) -> tuple[fs.FileSystem, str]:
     """File system and path for a plain path or a URI as Spark prints it."""
     scheme = urlparse(path).scheme
@@ -21,17 +26,27 @@ def join(folder: str, *names: str) -> str:
     return "/".join([folder.rstrip("/"), *names])
 
 
+@contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Frames loaded inside list their files in LISTING_TASKS tasks at most; Spark's own way is a
+    task for each path that a glob stands for, up to 10,000."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), LISTING_TASKS)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def list_files(spark: SparkSession, paths: str | list[str]) -> list[tuple[str, int]]:
     """(path, length) of every file behind paths, folders or globs, sorted by path.
 
     This is the listing Spark keeps on the driver for any file scan; no content is read.
     """
-    rows = (
-        spark.read.format("binaryFile")
-        .load(paths)
-        .select(F.col("_metadata.file_path"), F.col("length"))
-        .collect()
-    )
+    with few_listing_tasks(spark):
+        found = spark.read.format("binaryFile").load(paths)
+    rows = found.select(F.col("_metadata.file_path"), F.col("length")).collect()
     return sorted((row[0], row[1]) for row in rows)
 
 
