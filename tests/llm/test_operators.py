@@ -21,6 +21,7 @@ from tokenloom.llm import (
     ann,
     byte_bpe,
     common,
+    components,
     decontaminate,
     jaccard_join,
     language_id,
@@ -335,6 +336,35 @@ def test_components_equal_brute_force(spark):
     check_components(collect("op4_jaccard_join", spark), docs)
 
 
+def test_small_graphs_are_tied_without_rounds_of_shuffles(spark):
+    """Chains, a hub, repeated edges, loops and nulls; shuffles and one task give the same components."""
+    rng = np.random.default_rng(5)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(-300, 300, (250, 2))]
+    pairs += [(k, k + 1) for k in range(1000, 1120)] + [(5000, k) for k in range(4000, 4100)]
+    pairs += pairs[:20] + [(7000, 7000), (None, 1), (2, None)]
+    expected = {}
+    for a, b in pairs:
+        if a is None or b is None or a == b:
+            continue
+        old = {expected.setdefault(a, a), expected.setdefault(b, b)}
+        for node, c in expected.items():
+            if c in old:
+                expected[node] = min(old)
+    edges = spark.createDataFrame(pairs, "a bigint, b bigint")
+    tracker = spark.sparkContext.statusTracker()
+    jobs = {}
+    for few in (0, components.FEW_EDGES):
+        spark.sparkContext.setJobGroup(f"tie-{few}", "components")
+        try:
+            rows = components.connected_components(edges, few=few).collect()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        jobs[few] = len(tracker.getJobIdsForGroup(f"tie-{few}"))
+        assert len(rows) == len(expected) and {r["node"]: r["component"] for r in rows} == expected
+    assert jobs[components.FEW_EDGES] <= 6 < jobs[0]
+    assert components.connected_components(edges.limit(0)).collect() == []
+
+
 @pytest.mark.parametrize("block, leaders, apart", [(512, 3, 93), (4, 3, 93), (3, 0, 93), (4, 0, 50)])
 def test_links_near_the_threshold_are_found(spark, monkeypatch, block, leaders, apart):
     """With long lists in several blocks, and with nothing tied by stars before the search."""

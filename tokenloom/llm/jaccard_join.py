@@ -418,7 +418,9 @@ def _search(posts: DataFrame, threshold: int) -> DataFrame:
     posts = stored(posts.join(lists.select("h"), "h").join(left, "node"), "rare-lists")
     # A component with BLOCK members in a list is a group of that list, all others make one.
     groups = posts.groupBy("h", "component").agg(F.count("*").alias("held"), F.max("members").alias("members"))
-    heavy = groups.filter(F.col("held") >= BLOCK).withColumn("blocks", _blocks("held"))
+    heavy = stored(groups.filter(F.col("held") >= BLOCK).withColumn("blocks", _blocks("held")), "large-groups")
+    if not heavy.limit(1).count():
+        heavy = heavy.limit(0)  # known to be empty, so the plan leaves out its joins
     light = (
         groups.filter(F.col("held") < BLOCK)
         .groupBy("h")
