@@ -5,6 +5,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tokenloom import schemas
@@ -29,7 +30,7 @@ from tokenloom.plans.generate import generate_step, model_context
 from tokenloom.plans.prepare import prepare_corpus, sample_blocks
 from tokenloom.plans.report import step_report
 from tokenloom.sources.tables import read_chunks, read_vocab
-from tokenloom.streaming.runlog import live_best, live_tracking
+from tokenloom.streaming.runlog import FEW_ROWS, RunTracker, live_best, live_tracking
 from tokenloom.streaming.sinks import latest_rows, start_batches
 
 MODEL = {"vocab_size": 50304, "n_embed": 384, "n_layers": 6, "bias": True}
@@ -285,6 +286,106 @@ def test_a_long_backlog_is_applied_by_groups_and_rejects_are_seen(spark, tmp_pat
     assert last["best_val_loss"] == pytest.approx(5.0 - 1.9999) and last["seconds"] == 1.0
 
 
+class OneRun:
+    """The state of one key, with a count of the calls on it."""
+
+    def __init__(self):
+        self.calls, self.value, self.groups, self.timers = 0, None, {}, set()
+
+    def getValueState(self, name, schema):
+        return ValueOf(self)
+
+    def getMapState(self, name, key, value):
+        return MapOf(self)
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+
+class ValueOf:
+    def __init__(self, run):
+        self.run = run
+
+    def exists(self):
+        self.run.calls += 1
+        return self.run.value is not None
+
+    def get(self):
+        self.run.calls += 1
+        return self.run.value
+
+    def update(self, value):
+        self.run.calls += 1
+        self.run.value = tuple(value)
+
+
+class MapOf(ValueOf):
+    def containsKey(self, key):
+        self.run.calls += 1
+        return key in self.run.groups
+
+    def getValue(self, key):
+        self.run.calls += 1
+        return self.run.groups[key]
+
+    def updateValue(self, key, value):
+        self.run.calls += 1
+        self.run.groups[key] = value
+
+    def removeKey(self, key):
+        self.run.calls += 1
+        del self.run.groups[key]
+
+    def keys(self):
+        self.run.calls += 1
+        return list(self.run.groups)
+
+
+class At:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def tracked_alone(slices):
+    """(values reported, state) of one run whose rows (iter, ms) come in slices, each with a watermark."""
+    run = OneRun()
+    tracker = RunTracker(log_interval=10)
+    tracker.init(run)
+    out = []
+    for rows, watermark in slices:
+        logged = [Row(iter=i, at=ms * 1000, val_loss=float(-i), work=1.0) for i, ms in rows]
+        if logged:
+            tracker.handleInputRows(("r",), iter(logged), At(None))
+        for due in sorted(t for t in run.timers if t <= watermark):
+            run.timers.discard(due)
+            out += tracker.handleExpiredTimer(("r",), At(watermark), None)
+    return out, run
+
+
+def test_a_short_run_is_read_and_written_once_per_call():
+    out, run = tracked_alone([([(0, 1), (1, 2), (2, 3)], 3), ([(3, 4), (1, 5)], 5)])
+    assert [(r["iter"], r["rejected"]) for r in out] == [(0, 0), (1, 0), (2, 0), (3, 1)]
+    # Rows: read, write and a timer. Timer: read and write. Two slices of both.
+    assert run.calls == 10 and not run.timers
+
+
+def test_waiting_rows_move_to_groups_and_back():
+    n = 2 * FEW_ROWS + 100
+    rows = [(i, i + 1) for i in range(n)]
+    cut = FEW_ROWS - 10
+    slices = [(rows[:cut], 5), (rows[cut:n - 3], 5), (rows[:2], FEW_ROWS), ([], n - 5), (rows[n - 3:], n - 1), ([], n)]
+    out, run = tracked_alone(slices)
+    assert sorted(r["iter"] for r in out if r["iter"] is not None) == list(range(n))
+    assert [r["iter"] for r in out if r["iter"] is not None] == list(range(n))
+    assert [r["best_val_loss"] for r in out if r["iter"] is not None] == [float(-i) for i in range(n)]
+    assert out[-1]["rejected"] == 2
+    assert not run.groups and not run.timers and not any(run.value[7:])
+
+
 def test_report(spark):
     t0 = datetime.datetime(2024, 1, 1)
     steps = spark.createDataFrame(

@@ -33,17 +33,6 @@ LIVE_LOG = T.StructType(
     ]
 )
 
-# (best, average, time, iter, rejected) after the last applied row; times are microseconds since
-# 1970, free of any time zone.
-_STATE = T.StructType(
-    [
-        T.StructField("best", T.DoubleType()),
-        T.StructField("average", T.DoubleType()),
-        T.StructField("at", T.LongType()),
-        T.StructField("iter", T.LongType()),
-        T.StructField("rejected", T.LongType()),
-    ]
-)
 # The rows of a group, a list for each column.
 _GROUP = T.StructType([T.StructField("group", T.LongType())])
 _WAITING = T.StructType(
@@ -54,8 +43,24 @@ _WAITING = T.StructType(
         T.StructField("work", T.ArrayType(T.DoubleType())),
     ]
 )
+# (best, average, time, iter, rejected) after the last applied row, the earliest time that waits, whether
+# rows wait by groups, and else the waiting rows; times are microseconds since 1970, free of any time zone.
+_STATE = T.StructType(
+    [
+        T.StructField("best", T.DoubleType()),
+        T.StructField("average", T.DoubleType()),
+        T.StructField("at", T.LongType()),
+        T.StructField("iter", T.LongType()),
+        T.StructField("rejected", T.LongType()),
+        T.StructField("earliest", T.LongType()),
+        T.StructField("grouped", T.BooleanType()),
+        *(T.StructField(f"waiting_{f.name}", f.dataType) for f in _WAITING),
+    ]
+)
 GROUP_ITERS = 1 << 10
 HELD_ROWS = 1 << 14
+# Rows of a run that wait beside its other state; more lie by groups.
+FEW_ROWS = 1 << 10
 
 
 NEW_RUN = (NO_BEST, NO_AVERAGE, None, -1, 0)
@@ -80,6 +85,13 @@ def advance(state: tuple | None, row: Row, log_interval: int, first_iter: int =
     return (best, average, row.at, row.iter, rejected), report
 
 
+def _by_group(rows: list[tuple]) -> dict[int, list[tuple]]:
+    groups: dict[int, list[tuple]] = {}
+    for row in rows:
+        groups.setdefault(row[0] // GROUP_ITERS, []).append(row)
+    return groups
+
+
 class RunTracker(StatefulProcessor):
     """Rows wait until the watermark has passed them and are then applied in `iter` order.
     A second row for an iteration that waits, and a row at or before the last applied
@@ -88,9 +100,10 @@ class RunTracker(StatefulProcessor):
     iterations should therefore use a new run_id. Rows older than the watermark never arrive here
     (Spark drops and counts them).
 
-    Waiting rows lie in state by groups of GROUP_ITERS consecutive iterations, which are taken in order one
-    at a time: of a backlog of any length a task holds a group, a few rows on their way into
-    state, and the numbers of the groups."""
+    A run's few waiting rows are a part of its one state value, which costs one read and one write. More than
+    FEW_ROWS lie by groups of GROUP_ITERS consecutive iterations, which are taken in order one at a time: of a
+    backlog of any length a task holds a group, a few rows on their way into state, and the numbers of the
+    groups."""
 
     def __init__(self, log_interval: int, first_iter: int = 0):
         self.log_interval = log_interval
@@ -102,21 +115,36 @@ class RunTracker(StatefulProcessor):
         self.waiting = handle.getMapState("waiting", _GROUP, _WAITING)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        held: dict[int, list] = {}
-        count, earliest = 0, None
+        state, before, grouped, held = self._load()
+        earliest = before
         for row in rows:
-            held.setdefault(row.iter // GROUP_ITERS, []).append((row.iter, row.at, row.val_loss, row.work))
+            held.append((row.iter, row.at, row.val_loss, row.work))
             earliest = row.at if earliest is None else min(earliest, row.at)
-            count += 1
-            if count >= HELD_ROWS:
+            if len(held) >= HELD_ROWS:
                 self._put(held)
-                held, count = {}, 0
-        self._put(held)
-        self.handle.registerTimer(earliest // 1000)
+                held, grouped = [], True
+        if grouped or len(held) > FEW_ROWS:
+            self._put(held)
+            held, grouped = [], True
+        # Rows that wait have a timer already, at or before their earliest.
+        if before is None or earliest < before:
+            self.handle.registerTimer(earliest // 1000)
+        self._save(state, earliest, grouped, held)
         return iter(())
 
-    def _put(self, held: dict[int, list]) -> None:
-        for group, rows in held.items():
+    def _load(self) -> tuple[tuple, int | None, bool, list[tuple]]:
+        """(state, earliest time that waits, whether rows wait by groups, the rows that wait here)."""
+        value = self.run.get()
+        if value is None:
+            return NEW_RUN, None, False, []
+        return tuple(value[:5]), value[5], value[6], list(zip(*value[7:]))
+
+    def _save(self, state: tuple, earliest: int | None, grouped: bool, held: list[tuple]) -> None:
+        columns = zip(*held) if held else [()] * len(_WAITING)
+        self.run.update((*state, earliest, grouped, *map(list, columns)))
+
+    def _put(self, held: list[tuple]) -> None:
+        for group, rows in _by_group(held).items():
             self.waiting.updateValue((group,), tuple(zip(*[*self._group(group), *rows])))
 
     def _group(self, group: int) -> list[tuple]:
@@ -126,12 +154,13 @@ class RunTracker(StatefulProcessor):
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        state = tuple(self.run.get()) if self.run.exists() else NEW_RUN
-        reported, earliest = state[4], None
-        for group in sorted(k[0] for k in self.waiting.keys()):
+        state, _, grouped, held = self._load()
+        here = _by_group(held)
+        reported, earliest, left, still = state[4], None, [], False
+        for group in sorted([k[0] for k in self.waiting.keys()] if grouped else here):
             due: dict[int, Row] = {}
             later, rejected = [], 0
-            for iteration, at, val_loss, work in self._group(group):
+            for iteration, at, val_loss, work in self._group(group) if grouped else here[group]:
                 if at // 1000 > watermark:
                     later.append((iteration, at, val_loss, work))
                     earliest = at if earliest is None else min(earliest, at)
@@ -139,8 +168,11 @@ class RunTracker(StatefulProcessor):
                     rejected += 1
                 else:
                     due[iteration] = Row(iter=iteration, at=at, val_loss=val_loss, work=work)
-            if later:
+            if not grouped:
+                left += later
+            elif later:
                 self.waiting.updateValue((group,), tuple(zip(*later)))
+                still = True
             else:
                 self.waiting.removeKey((group,))
             state = (*state[:4], state[4] + rejected)
@@ -152,7 +184,7 @@ class RunTracker(StatefulProcessor):
             yield Row(**dict(zip(LIVE_LOG.names, (*key, *[None] * 7, state[4]))))
         if earliest is not None:
             self.handle.registerTimer(earliest // 1000)
-        self.run.update(state)
+        self._save(state, earliest, still, left)
 
     def close(self) -> None:
         pass
