@@ -87,6 +87,26 @@ def test_query_over_its_table(spark):
     check(spark, docs, QUERIES["op12_spelling"](spark, folder).collect())
 
 
+def test_words_are_never_broadcast(spark, monkeypatch):
+    """However small Spark reckons a side to be; with roots, forms and near words."""
+    plans, store = [], spelling.stored
+
+    def plan_of(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def noted(df, label):
+        plans.append(plan_of(df))
+        return store(df, label)
+
+    monkeypatch.setattr(spelling, "stored", noted)
+    docs = [(k, "wording " * 24 + "wordings " * 12 + "wordingss " * 6 + "swordingss " * 3) for k in range(4)]
+    found = spelling.group_variants(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    joined = [p for p in [*plans, plan_of(found)] if "Join" in p]
+    # Forms with the near words below them, two rounds of roots or more, and the result.
+    assert len(joined) > 3 and not any("BroadcastExchange" in p for p in joined)
+    check(spark, docs, found.collect())
+
+
 def test_neighbourhoods_are_full():
     for word in ("a", "abba", "cabdacb"):
         letters = spelling.SYMBOLS[:4]

@@ -9,7 +9,7 @@
    deletions, insertions and replacements, as rolling hashes. Those that are in no case a reduced
    word of the vocabulary are left out by a bitmap of fixed size before anything is shuffled.
 4. Join of the rest with the reduced vocabulary, then verification: pairs of words at edit
-   distance one in their original letters.
+   distance one in their original letters. Joins of words shuffle both sides.
 5. A word's form is its most frequent near word, if that is FORM_RATIO times as frequent; roots
    follow forms by pointer doubling.
 
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import python_tasks, small_side, stored
+from tokenloom.llm.common import python_tasks, stored
 from tokenloom.llm.shingles import BASE, INVERSE, mixed
 
 MIN_LENGTH = 5
@@ -161,6 +161,13 @@ def _bitmap(codes: DataFrame, bits: int) -> bytes:
     return out.tobytes()
 
 
+def _shuffled(df: DataFrame) -> DataFrame:
+    """`df` as a side of a join that shuffles both sides. Spark reckons stored words by their
+    compressed files and generated neighbours as no more than the words they come from, so it
+    would take tables of any size for small ones and collect them on the driver."""
+    return df.hint("merge")
+
+
 def near_words(vocabulary: DataFrame) -> DataFrame:
     """(word, n, near, m): every two words of (word, n) at edit distance one, both ways."""
     spark = vocabulary.sparkSession
@@ -179,8 +186,8 @@ def near_words(vocabulary: DataFrame) -> DataFrame:
     words = coded.select("code", "word", "n")
     others = coded.select(F.col("code").alias("near"), F.col("word").alias("other"), F.col("n").alias("m"))
     return (
-        pairs.join(words, "code")
-        .join(others, "near")
+        pairs.join(_shuffled(words), "code")
+        .join(_shuffled(others), "near")
         .filter(F.levenshtein("word", "other", 1) == 1)
         .select("word", "n", F.col("other").alias("near"), "m")
     )
@@ -189,10 +196,9 @@ def near_words(vocabulary: DataFrame) -> DataFrame:
 def _roots(links: DataFrame) -> DataFrame:
     """(word, root): forms followed to the last, from (word, form), in doubling steps."""
     current = stored(links.select("word", F.col("form").alias("root")), "roots")
-    n = current.count()
     while True:
         ahead = current.select(F.col("word").alias("root"), F.col("root").alias("beyond"))
-        joined = current.join(small_side(ahead, n), "root", "left")
+        joined = current.join(_shuffled(ahead), "root", "left")
         moved = stored(joined.select("word", F.coalesce("beyond", "root").alias("root"), F.col("beyond").isNotNull().alias("open")), "roots")
         current = moved.drop("open")
         if not moved.filter("open").limit(1).count():
@@ -206,7 +212,7 @@ def group_variants(docs: DataFrame) -> DataFrame:
     found = near_words(vocabulary).groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
     enough = -F.col("best.m") >= FORM_RATIO * F.col("n")
     formed = stored(
-        vocabulary.join(found, "word", "left").select(
+        vocabulary.join(_shuffled(found), "word", "left").select(
             "word",
             "n",
             F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"),
@@ -216,4 +222,4 @@ def group_variants(docs: DataFrame) -> DataFrame:
         "forms",
     )
     roots = _roots(formed.filter("form is not null"))
-    return formed.join(roots, "word", "left").withColumn("root", F.coalesce("root", "word"))
+    return formed.join(_shuffled(roots), "word", "left").withColumn("root", F.coalesce("root", "word"))
